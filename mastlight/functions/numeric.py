@@ -21,6 +21,11 @@ def half_up_tenth(value: Column) -> Column:
     return F.floor(value * 10 + F.lit(0.5)) / 10
 
 
-def mean(total: Column, count: Column) -> Column:
-    """Average from partial sums; NULL when nothing was counted."""
-    return F.when(count > 0, total / count)
+def exact_round_sql(value: str, digits: int) -> str:
+    """``exact_round`` as SQL text over a SQL expression."""
+    return f"round(cast({value} AS decimal(38,10)), {digits})"
+
+
+def rounded_sql(value: str, digits: int) -> str:
+    """``rounded`` as SQL text over a SQL expression."""
+    return f"cast({exact_round_sql(value, digits)} AS double)"

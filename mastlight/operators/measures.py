@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mastlight.functions.numeric import mean, rounded
+from mastlight.functions.numeric import rounded_sql
 
 
 @dataclass(frozen=True)
@@ -26,17 +26,11 @@ class Measure:
     def partial(self) -> list[Column]:
         """Aggregates over raw rows."""
         if self.kind == "rows":
-            return [F.count("*").alias(f"{self.name}_n")]
+            return [F.expr(f"count(*) AS {self.name}_n")]
         if self.kind == "matches":
-            return [F.count_if(F.expr(self.value)).alias(f"{self.name}_n")]
-        total = F.sum(F.expr(self.value)).alias(f"{self.name}_s")
-        if self.kind == "total":
-            return [total]
-        return [total, F.count(F.expr(self.value)).alias(f"{self.name}_n")]
-
-    def merge(self) -> list[Column]:
-        """Aggregates over partial rows, keeping the partial form."""
-        return [F.sum(name).alias(name) for name in self.partial_names()]
+            return [F.expr(f"count_if({self.value}) AS {self.name}_n")]
+        summed = F.expr(f"sum({self.value}) AS {self.name}_s")
+        return [summed] if self.kind == "total" else [summed, F.expr(f"count({self.value}) AS {self.name}_n")]
 
     def partial_names(self) -> list[str]:
         if self.kind in ("rows", "matches"):
@@ -46,11 +40,13 @@ class Measure:
     def result(self) -> Column:
         """Final value from merged partial columns; counts of nothing are 0, other values NULL."""
         if self.kind in ("rows", "matches"):
-            return F.coalesce(F.col(f"{self.name}_n"), F.lit(0)).alias(self.name)
-        value = F.col(f"{self.name}_s")
+            return F.expr(f"coalesce({self.name}_n, 0) AS {self.name}")
+        value = f"{self.name}_s"
         if self.kind == "mean":
-            value = mean(value, F.col(f"{self.name}_n"))
-        return (value if self.digits is None else rounded(value, self.digits)).alias(self.name)
+            value = f"CASE WHEN {self.name}_n > 0 THEN {self.name}_s / {self.name}_n END"
+        if self.kind == "total" and self.digits is None:
+            return F.expr(f"{value} AS {self.name}")
+        return F.expr(f"{rounded_sql(value, self.digits)} AS {self.name}")
 
 
 def rows(name: str) -> Measure:
@@ -73,8 +69,13 @@ def partials(measures: Sequence[Measure]) -> list[Column]:
     return [c for m in measures for c in m.partial()]
 
 
+def partial_names(measures: Sequence[Measure]) -> list[str]:
+    return [n for m in measures for n in m.partial_names()]
+
+
 def merges(measures: Sequence[Measure]) -> list[Column]:
-    return [c for m in measures for c in m.merge()]
+    """Aggregates over partial rows, keeping the partial form."""
+    return [F.expr(f"sum({n}) AS {n}") for n in partial_names(measures)]
 
 
 def results(measures: Sequence[Measure]) -> list[Column]:

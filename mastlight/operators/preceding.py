@@ -4,66 +4,137 @@ A plain range join would match every fact row with every window that covers it.
 row is first snapped to the part of the time line it lies in: windows are cut into clock cells
 (minutes or hours), and cells are cut again at the window edges.  Parts do not overlap and no
 window edge lies inside one, so a fact row joins exactly one part and is summed up there, before
-the shuffle.  Windows are then made up from whole parts, whose number depends on the windows and
-not on the facts.
+the shuffle.  Windows are then made up from parts, whose number depends on the windows and not on
+the facts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mastlight.operators.measures import Measure, merges, partials
+from mastlight.operators.measures import Measure, merges, partial_names, partials
 from mastlight.operators.timeslice import at_or_after, before
+from mastlight.session import pinned
 
+#: Column with the category counts of a window: array of (category, total), unordered.
+CATEGORIES = "_categories"
 
-@dataclass(frozen=True)
-class Summary:
-    """Merged partial aggregates per window, and optionally per window and category."""
 
-    stats: DataFrame
-    categories: DataFrame | None = None
+def _floor(time: str, cell: str) -> Column:
+    return F.expr(f"cast(date_trunc('{cell}', {time}) AS timestamp_ntz)")
 
 
-def _floor(time: Column, cell: str) -> Column:
-    return F.date_trunc(cell, time).cast("timestamp_ntz")
-
-
-def _step(cell: str) -> Column:
-    return F.expr(f"INTERVAL 1 {cell.upper()}")
+def parts_of(windows: DataFrame, keys: Sequence[str], cell: str) -> DataFrame:
+    """All cells the windows touch, cut at every window edge: keys, cell, [part, part_end)."""
+    marks = F.expr(
+        f"explode(concat(sequence(cast(date_trunc('{cell}', lower) AS timestamp_ntz), upper, "
+        f"INTERVAL 1 {cell}), array(lower, upper)))"
+    )
+    points = windows.select(*keys, marks.alias("part")).distinct()
+    points = points.withColumn("cell", _floor("part", cell))
+    following = F.lead("part").over(Window.partitionBy(*keys, "cell").orderBy("part"))
+    return points.withColumn("part_end", F.coalesce(following, F.expr(f"cell + INTERVAL 1 {cell}")))
 
 
-def _maybe_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
-    return F.broadcast(df) if bounded else df
+def snap(
+    windows: DataFrame,
+    facts: DataFrame,
+    time: str,
+    keys: Sequence[str],
+    measures: Sequence[Measure],
+    cell: str,
+    category: str | None,
+    bounded: bool,
+) -> DataFrame:
+    """Partial aggregates of the facts per keys, cell, part and category."""
+    edges = windows.agg(F.min("lower").alias("lower"), F.max("upper").alias("upper"))
+    facts = at_or_after(facts, time, edges.select("lower").scalar())
+    facts = before(facts, time, edges.select("upper").scalar())
+    parts = parts_of(windows, keys, cell)
+    parts = parts.withColumnsRenamed({k: f"_part_{k}" for k in keys})
+    if bounded:
+        parts = F.broadcast(parts)
+    located = facts.withColumn("_cell", _floor(time, cell))
+    test = (F.col("_cell") == F.col("cell")) & (F.col(time) >= F.col("part")) & (F.col(time) < F.col("part_end"))
+    for key in keys:
+        test = test & (F.col(key) == F.col(f"_part_{key}"))
+    kind = [F.col(category).alias("_category")] if category else []
+    return located.join(parts, test).groupBy(*keys, "cell", "part", *kind).agg(*partials(measures))
 
 
-def spans_of(windows: DataFrame, keys: Sequence[str], cell: str) -> DataFrame:
-    """One row per window and clock cell it touches."""
-    return windows.select(
+def _from_cells(
+    windows: DataFrame, snapped: DataFrame, keys: Sequence[str], kind: Sequence[str], cell: str,
+    measures: Sequence[Measure],
+) -> DataFrame:
+    """Windows meet the parts of every cell they touch.  For few windows."""
+    spans = windows.select(
         *keys,
         "lower",
         "upper",
-        F.explode(
-            F.sequence(_floor(F.col("lower"), cell), _floor(F.col("upper"), cell), _step(cell))
+        F.expr(
+            f"explode(sequence(cast(date_trunc('{cell}', lower) AS timestamp_ntz), upper, INTERVAL 1 {cell}))"
         ).alias("cell"),
     )
+    covered = F.broadcast(spans).join(snapped, [*keys, "cell"]).filter("part >= lower AND part < upper")
+    return covered.groupBy(*keys, "upper", *kind).agg(*merges(measures))
 
 
-def parts_of(spans: DataFrame, keys: Sequence[str], cell: str) -> DataFrame:
-    """The covered cells cut at every window edge: key, cell, [part, part_end)."""
-    inside = [
-        F.when(_floor(F.col(edge), cell) == F.col("cell"), F.col(edge)) for edge in ("lower", "upper")
-    ]
-    points = (
-        spans.select(*keys, "cell", F.explode(F.array("cell", *inside)).alias("part"))
-        .filter("part IS NOT NULL")
-        .distinct()
+def _from_edges(
+    windows: DataFrame, snapped: DataFrame, keys: Sequence[str], kind: Sequence[str], cell: str,
+    measures: Sequence[Measure],
+) -> DataFrame:
+    """Windows as the rest of their first cell, the cells between, and the start of their last cell.
+
+    The first and last cell come from running sums within a cell, and the cells between are summed
+    once for all windows that end in the same cell, so the work is linear in the windows even when
+    many of them crowd into one cell.  Sums are only added, never subtracted.
+    """
+    names = partial_names(measures)
+    totals = snapped.groupBy(*keys, "cell", *kind).agg(*merges(measures))
+    markers = windows.select(
+        *keys, "upper", F.expr("explode(array(lower, upper))").alias("part")
+    ).withColumn("cell", _floor("part", cell))
+    if kind:
+        markers = markers.join(totals.select(*keys, "cell", *kind), [*keys, "cell"])
+    lined_up = snapped.withColumn("upper", F.lit(None).cast("timestamp_ntz")).unionByName(
+        markers, allowMissingColumns=True
     )
-    following = F.lead("part").over(Window.partitionBy(*keys, "cell").orderBy("part"))
-    return points.withColumn("part_end", F.coalesce(following, F.col("cell") + _step(cell)))
+    # A marker sorts before the rows of its own part, so "before" leaves them out and "from" has them.
+    is_data = F.col("upper").isNull()
+    cells = Window.partitionBy(*keys, "cell", *kind)
+    ahead = cells.orderBy("part", is_data).rowsBetween(Window.unboundedPreceding, -1)
+    behind = cells.orderBy(F.desc("part"), is_data.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    is_tail = F.col("part") == F.col("upper")
+    edges = (
+        lined_up.select(
+            *keys, "upper", "part", *kind,
+            *[F.sum(n).over(ahead).alias(f"_a_{n}") for n in names],
+            *[F.sum(n).over(behind).alias(f"_b_{n}") for n in names],
+        )
+        .filter("upper IS NOT NULL")
+        .select(
+            *keys, "upper", *kind,
+            *[F.when(is_tail, F.col(f"_a_{n}")).otherwise(F.col(f"_b_{n}")).alias(n) for n in names],
+        )
+    )
+    ends = windows.select(
+        *keys, "upper", _floor("lower", cell).alias("_first"), _floor("upper", cell).alias("_last")
+    )
+    between = F.expr(
+        f"explode(sequence(_first + INTERVAL 1 {cell}, _last - INTERVAL 1 {cell}, INTERVAL 1 {cell}))"
+    )
+    middles = (
+        ends.select(*keys, "_first", "_last").distinct()
+        .select(*keys, "_first", "_last", between.alias("cell"))
+        .join(totals, [*keys, "cell"])
+        .groupBy(*keys, "_first", "_last", *kind)
+        .agg(*merges(measures))
+    )
+    inner = ends.join(middles, [*keys, "_first", "_last"]).select(*keys, "upper", *kind, *names)
+    return edges.unionByName(inner).groupBy(*keys, "upper", *kind).agg(*merges(measures))
 
 
 def preceding_stats(
@@ -75,50 +146,35 @@ def preceding_stats(
     cell: str,
     category: str | None = None,
     bounded: bool = True,
-) -> Summary:
+) -> DataFrame:
     """Partial aggregates of the facts in each half-open window ``[lower, upper)``.
 
-    ``windows`` has distinct ``keys, lower, upper``.  ``bounded`` says that there are few of them
-    (a list limit), so their parts may be broadcast; otherwise Spark picks the join.
+    ``windows`` has distinct ``keys, lower, upper``, all of one length of at least two cells.
+    ``bounded`` says that there are few of them (a list limit), so their parts may be broadcast;
+    otherwise the snapped facts are pinned and combined without any broadcast.  Output: keys,
+    upper, partial columns, and the category counts where there is a ``category``.
     """
-    spans = spans_of(windows, keys, cell)
-    parts = parts_of(spans, keys, cell)
-    edges = windows.agg(F.min("lower").alias("lower"), F.max("upper").alias("upper"))
-    facts = at_or_after(facts, time, edges.select("lower").scalar())
-    facts = before(facts, time, edges.select("upper").scalar())
-
-    located = facts.withColumn("_cell", _floor(F.col(time), cell)).alias("f")
-    parts = _maybe_broadcast(parts, bounded).alias("p")
-    test = F.col("f._cell") == F.col("p.cell")
-    for key in keys:
-        test = test & (F.col(f"f.{key}") == F.col(f"p.{key}"))
-    test = test & (F.col(f"f.{time}") >= F.col("p.part")) & (F.col(f"f.{time}") < F.col("p.part_end"))
-    kept = [F.col(f"p.{k}") for k in keys]
-    kind = [F.col(f"f.{category}").alias("_category")] if category else []
-    wanted = [c for c in facts.columns if c not in (*keys, "cell", "part", "part_end")]
-    snapped = (
-        located.join(parts, test)
-        .select(*kept, F.col("p.cell").alias("cell"), F.col("p.part").alias("part"),
-                *[F.col(f"f.{c}") for c in wanted], *kind)
-        .groupBy(*keys, "cell", "part", *(["_category"] if category else []))
-        .agg(*partials(measures))
-    )
-    covered = spans.join(snapped, [*keys, "cell"]).filter("part >= lower AND part < upper")
-    return _summarise(covered, [*keys, "upper"], measures, category)
-
-
-def _summarise(
-    covered: DataFrame, window: list[str], measures: Sequence[Measure], category: str | None
-) -> Summary:
+    snapped = snap(windows, facts, time, keys, measures, cell, category, bounded)
+    kind = ["_category"] if category else []
+    if bounded:
+        combined = _from_cells(windows, snapped, keys, kind, cell, measures)
+    else:
+        combined = _from_edges(windows, pinned(snapped), keys, kind, cell, measures)
+    return _fold(combined, [*keys, "upper"], measures, category)
+
+
+def _fold(
+    combined: DataFrame, window: list[str], measures: Sequence[Measure], category: str | None
+) -> DataFrame:
+    """One row per window; its categories, which are few, become an array."""
     if not category:
-        return Summary(covered.groupBy(*window).agg(*merges(measures)))
+        return combined
     counted = next(m for m in measures if m.kind == "rows").partial_names()[0]
-    per_category = covered.groupBy(*window, "_category").agg(*merges(measures))
-    stats = per_category.groupBy(*window).agg(*merges(measures))
-    named = per_category.filter("_category IS NOT NULL").select(
-        *window, F.col("_category").alias("category"), F.col(counted).alias("total")
+    named = F.expr(
+        f"collect_list(CASE WHEN _category IS NOT NULL AND {counted} > 0 "
+        f"THEN struct(_category AS category, {counted} AS total) END)"
     )
-    return Summary(stats, named)
+    return combined.groupBy(*window).agg(*merges(measures), named.alias(CATEGORIES))
 
 
 def daily_stats(
@@ -129,27 +185,21 @@ def daily_stats(
     measures: Sequence[Measure],
     days_back: int,
     category: str | None = None,
-) -> Summary:
+) -> DataFrame:
     """Partial aggregates of date-grain facts over ``[day - days_back, day]`` for each window.
 
     ``windows`` has distinct ``keys, day``.  Facts shrink to one row per key and date first.
     """
     span = windows.select(
-        *keys, "day", F.explode(F.sequence(F.date_sub("day", days_back), F.col("day"))).alias("_date")
+        *keys, "day", F.expr(f"explode(sequence(date_sub(day, {days_back}), day))").alias("_date")
     )
     first = windows.agg(F.date_sub(F.min("day"), days_back).alias("d")).scalar()
     last = windows.agg(F.max("day").alias("d")).scalar()
-    kind = [F.col(category).alias("_category")] if category else []
+    kind = ["_category"] if category else []
     daily = (
         facts.filter((F.col(date) >= first) & (F.col(date) <= last))
-        .groupBy(*keys, F.col(date).alias("_date"), *kind)
+        .groupBy(*keys, F.col(date).alias("_date"), *([F.col(category).alias("_category")] if category else []))
         .agg(*partials(measures))
     )
-    covered = span.join(daily, [*keys, "_date"])
-    return _summarise(covered, [*keys, "day"], measures, category)
-
-
-def as_map(categories: DataFrame, window: Sequence[str], name: str) -> DataFrame:
-    """Category counts as one map per window, with sorted keys."""
-    entries = F.sort_array(F.collect_list(F.struct("category", "total")))
-    return categories.groupBy(*window).agg(F.map_from_entries(entries).alias(name))
+    combined = span.join(daily, [*keys, "_date"]).groupBy(*keys, "day", *kind).agg(*merges(measures))
+    return _fold(combined, [*keys, "day"], measures, category)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mastlight.fixed_values import BAD_HEALTH, HIGH_PRIORITY
 from mastlight.operators.listing import clamp_limit
-from mastlight.operators.measures import Measure, average, matches, results, rows, total
-from mastlight.operators.preceding import Summary, as_map, daily_stats, preceding_stats
-from mastlight.session import shared_folder
+from mastlight.operators.measures import Measure, average, matches, rows, total
+from mastlight.operators.preceding import CATEGORIES, daily_stats, preceding_stats
+from mastlight.schemas import PARTITION_COLUMN
+from mastlight.session import pinned
 
 
 def _one_of(column: str, words: tuple[str, ...]) -> str:
@@ -41,6 +43,10 @@ class Block:
     def keys(self) -> list[str]:
         return ["operator"] if self.by_operator else []
 
+    @property
+    def window(self) -> list[str]:
+        return [*self.keys, "day" if self.days is not None else "upper"]
+
     @property
     def cell(self) -> str:
         return "minute" if self.hours <= 6 else "hour"
@@ -125,98 +131,81 @@ def newest_outages(outages: DataFrame, limit: int | str | None = 100) -> DataFra
     return slim.orderBy(F.desc_nulls_first("started_at"), *tie).limit(clamp_limit(limit, 100, 500))
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """Checkpoint in the shared folder, so that ten blocks do not repeat the top-k scan."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
-def block_summary(block: Block, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> Summary:
+def block_summary(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
     """Partial aggregates per distinct window (outages that share one are computed once)."""
-    needed = [*block.keys, block.time, *([block.category] if block.category else [])]
-    keep = [c for c in facts.columns if c in needed or _is_used(c, block) or c == "event_date"]
-    facts = facts.select(*keep)
+    block = BLOCKS[name]
+    used = {*block.keys, block.time, block.category, PARTITION_COLUMN}
+    facts = facts.select(*[c for c in facts.columns if c in used or _measured(c, block)])
     if block.days is not None:
         windows = outages.select(*block.keys, F.to_date("started_at").alias("day")).distinct()
         return daily_stats(
             windows, facts, block.time, block.keys, block.measures, block.days, block.category
         )
-    upper = F.col("started_at").alias("upper")
-    lower = (F.col("started_at") - F.make_dt_interval(hours=F.lit(block.hours))).alias("lower")
-    windows = outages.select(*block.keys, lower, upper).distinct()
+    lower = F.expr(f"started_at - INTERVAL {block.hours} HOURS AS lower")
+    windows = outages.select(*block.keys, lower, F.col("started_at").alias("upper")).distinct()
     return preceding_stats(
         windows, facts, block.time, block.keys, block.measures, block.cell, block.category, bounded
     )
 
 
-def _is_used(column: str, block: Block) -> bool:
-    return any(m.value and column in m.value for m in block.measures)
+def _measured(column: str, block: Block) -> bool:
+    return any(m.value and re.search(rf"\b{column}\b", m.value) for m in block.measures)
 
 
-def _anchored(outages: DataFrame, block: Block) -> tuple[DataFrame, list[str]]:
-    """Outages with the window column that the block's summary is keyed by."""
-    if block.days is not None:
-        return outages.withColumn("day", F.to_date("started_at")), [*block.keys, "day"]
-    return outages.withColumn("upper", F.col("started_at")), [*block.keys, "upper"]
+def _with_block(left: DataFrame, name: str, facts: DataFrame, outages: DataFrame, bounded: bool) -> DataFrame:
+    """``left`` (which has upper and day) with the block's partial columns."""
+    summary = block_summary(name, outages, facts, bounded)
+    # At most one row per listed outage when the list is limited.
+    small = F.broadcast(summary) if bounded else summary
+    return left.join(small, BLOCKS[name].window, "left")
 
 
-def _small(df: DataFrame, bounded: bool) -> DataFrame:
-    return F.broadcast(df) if bounded else df
+def _finals(block: Block) -> list[Column]:
+    return [
+        F.expr(f"coalesce({m.name}_s, 0) AS {m.name}") if m.name in ZERO_TOTALS else m.result()
+        for m in block.measures
+    ]
+
+
+def _anchored(outages: DataFrame) -> DataFrame:
+    return outages.selectExpr("*", "started_at AS upper", "to_date(started_at) AS day")
 
 
 def block_stats(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
     """The given outages with one block's columns; ``bounded`` for a limited list of outages."""
-    block = BLOCKS[name]
-    summary = block_summary(block, outages, facts, bounded)
-    left, window = _anchored(outages, block)
-    out = left.join(_small(summary.stats, bounded), window, "left")
-    finals = [
-        F.coalesce(c, F.lit(0)).alias(m.name) if m.name in ZERO_TOTALS else c
-        for m, c in zip(block.measures, results(block.measures))
-    ]
-    return out.select(*outages.columns, *finals)
+    out = _with_block(_anchored(outages), name, facts, outages, bounded)
+    return out.select(*outages.columns, *_finals(BLOCKS[name]))
 
 
 def block_categories(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
     """Category counts before each outage as rows: outage columns, category, total."""
-    block = BLOCKS[name]
-    summary = block_summary(block, outages, facts, bounded)
-    left, window = _anchored(outages, block)
-    return left.join(_small(summary.categories, bounded), window).select(
-        *outages.columns, "category", "total"
+    out = _with_block(_anchored(outages), name, facts, outages, bounded)
+    return out.select(*outages.columns, F.explode(CATEGORIES).alias("_entry")).select(
+        *outages.columns, "_entry.category", "_entry.total"
     )
 
 
-def correlate_outages(
-    tables: Mapping[str, DataFrame], limit: int | str | None = 100, pin: bool = True
-) -> DataFrame:
+def correlate_outages(tables: Mapping[str, DataFrame], limit: int | str | None = 100) -> DataFrame:
     """Each of the newest outages with the statistics of all ten fact tables before it.
 
-    ``limit=None`` takes every outage; nothing is broadcast then.
+    Category counts are maps with sorted keys.  ``limit=None`` takes every outage; nothing is
+    broadcast then.
     """
     bounded = limit is not None
-    chosen = newest_outages(tables["outages"], limit)
-    outages = pinned(chosen) if pin else chosen
-    out = outages.withColumns({"upper": F.col("started_at"), "day": F.to_date("started_at")})
-    columns = list(outages.columns)
-    for block in BLOCKS.values():
-        summary = block_summary(block, outages, tables[block.table], bounded)
-        window = [*block.keys, "day" if block.days is not None else "upper"]
-        out = out.join(_small(summary.stats, bounded), window, "left")
-        finals = {
-            m.name: F.coalesce(c, F.lit(0)) if m.name in ZERO_TOTALS else c
-            for m, c in zip(block.measures, results(block.measures))
-        }
-        names = list(finals)
+    outages = pinned(newest_outages(tables["outages"], limit))
+    out = _anchored(outages)
+    columns = list(out.columns)
+    for name, block in BLOCKS.items():
+        out = _with_block(out, name, tables[block.table], outages, bounded)
+        finals = _finals(block)
         if block.map_name:
-            maps = as_map(summary.categories, window, block.map_name)
-            out = out.join(_small(maps, bounded), window, "left")
-            empty = F.create_map().cast("map<string,bigint>")
-            finals[block.map_name] = F.coalesce(F.col(block.map_name), empty)
-            names.append(block.map_name)
-        out = out.select(*columns, "upper", "day", *[c.alias(n) for n, c in finals.items()])
-        columns += names
-    result = out.select(*columns).withColumnRenamed("id", "outage_id")
-    return result.orderBy(F.desc_nulls_first("started_at"), *(["outage_id"] if "outage_id" in result.columns else []))
+            finals.append(
+                F.expr(
+                    f"map_from_entries(coalesce(array_sort({CATEGORIES}), array())) AS {block.map_name}"
+                )
+            )
+        out = out.select(*columns, *finals)
+        columns = out.columns
+    result = out.drop("upper", "day").withColumnRenamed("id", "outage_id")
+    tie = ["outage_id"] if "outage_id" in result.columns else []
+    return result.orderBy(F.desc_nulls_first("started_at"), *tie)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "mastlight", master: str | None = None, **conf: str) -> SparkSession:
@@ -17,6 +17,8 @@ def build_session(app: str = "mastlight", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column costs more than building the plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -46,3 +48,11 @@ def shared_folder(spark: SparkSession) -> str:
 def new_work_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder for one job's tables and stream checkpoints."""
     return os.path.join(shared_folder(spark), "mastlight", f"{label}-{uuid.uuid4().hex}")
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder: computed once, read by every later step."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

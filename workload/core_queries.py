@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mastlight.functions.geo import nearest_city
 from mastlight.operators.latest import best_tower_per_cell, latest_readings
 from mastlight.plans import correlate, listings, recommend, risk, summaries
+from mastlight.session import pinned
 from mastlight.sources.readings import resolve_towers
 from workload.views import AS_OF, Tables
 
@@ -65,7 +66,7 @@ def _with_outages(build: Callable[[Tables, DataFrame], DataFrame], limit: int |
     def run(spark: SparkSession, folder: str) -> DataFrame:
         tables = Tables(spark, folder)
         chosen = correlate.newest_outages(tables["outages"], limit)
-        return build(tables, chosen if limit is None else correlate.pinned(chosen))
+        return build(tables, chosen if limit is None else pinned(chosen))
 
     return run
 

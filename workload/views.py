@@ -351,26 +351,26 @@ def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The view as a DataFrame over the Parquet table in ``folder``."""
-    if name == "network_penetration":
-        return spark.sql(
-            _penetration_sql().replace("FROM customer)", "FROM {customer})"),
-            customer=base_table(spark, folder, "customer"),
-        )
-    base, columns = VIEWS[name]
-    return base_table(spark, folder, base).selectExpr(*[f"{_pick(e, 0)} AS {c}" for c, e in columns.items()])
-
-
 class Tables(dict):
-    """All views of one folder by name, built when first asked for."""
+    """All views of one folder by name, built when first asked for; each base table is opened once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__()
         self.spark, self.folder = spark, folder
+        self.base: dict[str, DataFrame] = {}
+
+    def _base(self, name: str) -> DataFrame:
+        if name not in self.base:
+            self.base[name] = base_table(self.spark, self.folder, name)
+        return self.base[name]
 
     def __missing__(self, name: str) -> DataFrame:
-        if name != "network_penetration" and name not in VIEWS:
+        if name == "network_penetration":
+            sql = _penetration_sql().replace("FROM customer)", "FROM {customer})")
+            self[name] = self.spark.sql(sql, customer=self._base("customer"))
+        elif name in VIEWS:
+            base, columns = VIEWS[name]
+            self[name] = self._base(base).selectExpr(*[f"{_pick(e, 0)} AS {c}" for c, e in columns.items()])
+        else:
             raise KeyError(name)
-        self[name] = view(self.spark, self.folder, name)
         return self[name]
