@@ -27,14 +27,20 @@ def _floor(time: str, cell: str) -> Column:
     return F.expr(f"cast(date_trunc('{cell}', {time}) AS timestamp_ntz)")
 
 
-def parts_of(windows: DataFrame, keys: Sequence[str], cell: str) -> DataFrame:
+def parts_of(windows: DataFrame, keys: Sequence[str], cell: str, bounded: bool) -> DataFrame:
     """All cells the windows touch, cut at every window edge: keys, cell, [part, part_end)."""
-    marks = F.expr(
-        f"explode(concat(sequence(cast(date_trunc('{cell}', lower) AS timestamp_ntz), upper, "
-        f"INTERVAL 1 {cell}), array(lower, upper)))"
-    )
-    points = windows.select(*keys, marks.alias("part")).distinct()
-    points = points.withColumn("cell", _floor("part", cell))
+    first, last = f"cast(date_trunc('{cell}', lower) AS timestamp_ntz)", f"cast(date_trunc('{cell}', upper) AS timestamp_ntz)"
+    cells = f"sequence(_first, _last, INTERVAL 1 {cell})"
+    ranged = windows.selectExpr(*keys, "lower", "upper", f"{first} AS _first", f"{last} AS _last")
+    if bounded:
+        points = ranged.selectExpr(*keys, f"explode(concat({cells}, array(lower, upper))) AS part")
+    else:
+        # Many windows share their first and last cell: list the cells between only once.
+        shared = ranged.select(*keys, "_first", "_last").distinct()
+        points = shared.selectExpr(*keys, f"explode({cells}) AS part").unionByName(
+            ranged.selectExpr(*keys, "explode(array(lower, upper)) AS part")
+        )
+    points = points.distinct().withColumn("cell", _floor("part", cell))
     following = F.lead("part").over(Window.partitionBy(*keys, "cell").orderBy("part"))
     return points.withColumn("part_end", F.coalesce(following, F.expr(f"cell + INTERVAL 1 {cell}")))
 
@@ -53,7 +59,7 @@ def snap(
     edges = windows.agg(F.min("lower").alias("lower"), F.max("upper").alias("upper"))
     facts = at_or_after(facts, time, edges.select("lower").scalar())
     facts = before(facts, time, edges.select("upper").scalar())
-    parts = parts_of(windows, keys, cell)
+    parts = parts_of(windows, keys, cell, bounded)
     parts = parts.withColumnsRenamed({k: f"_part_{k}" for k in keys})
     if bounded:
         parts = F.broadcast(parts)
