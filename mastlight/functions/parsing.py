@@ -1,131 +1,146 @@
-"""Normalisers that turn source text into typed columns.
+"""Normalisers that turn source text into typed values, as Spark SQL text.
 
-Bad input becomes NULL (the caller decides whether that rejects the row); nothing raises under
-ANSI mode.
+Each function takes a SQL expression and returns one, for ``selectExpr`` or ``F.expr``.  Building
+text keeps wide normalisations cheap to plan.  Bad input becomes NULL (the caller decides whether
+that rejects the row); nothing raises under ANSI mode.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from mastlight.fixed_values import BOOLEAN_WORDS, NETWORK_SYNONYMS
 
-_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_RADIX = ((r"^0[xX][0-9a-fA-F]+$", 16), (r"^0[oO][0-7]+$", 8), (r"^0[bB][01]+$", 2))
-_LEADING_INT = r"^\s*([+-]?[0-9]+)"
-_LEADING_FLOAT = r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)"
-_MAX_DOUBLE = 1.7976931348623157e308
+_DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_RADIX = (("^0[xX][0-9a-fA-F]+$", 16), ("^0[oO][0-7]+$", 8), ("^0[bB][01]+$", 2))
+_LEADING_INT = "^[ \t]*([+-]?[0-9]+)"
+_LEADING_FLOAT = "^[ \t]*([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?)"
+_MAX_DOUBLE = "1.7976931348623157E308D"
+_MAX_MILLIS = "8.64E15D"
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def listed(words: Sequence[str]) -> str:
+    """A SQL list of string literals."""
+    return ", ".join(quoted(w) for w in words)
 
-def first_present(available: Sequence[str], names: Sequence[str]) -> Column:
+
+def first_present(available: Sequence[str], names: Sequence[str]) -> str:
     """First of ``names`` that the source has and that is not the empty string, else NULL."""
-    found = [F.nullif(F.col(f"`{n}`"), F.lit("")) for n in names if n in available]
-    if not found:
-        return F.lit(None).cast("string")
-    return F.coalesce(*found)
+    found = [f"nullif(`{n}`, '')" for n in names if n in available]
+    return f"coalesce({', '.join(found)})" if found else "cast(NULL AS string)"
 
 
-def _finite(value: Column) -> Column:
-    return F.when(F.abs(value) <= F.lit(_MAX_DOUBLE), value)
+def _finite(value: str) -> str:
+    return f"CASE WHEN abs({value}) <= {_MAX_DOUBLE} THEN {value} END"
 
 
-def number(text: Column) -> Column:
+def number(text: str) -> str:
     """Strict number: the whole trimmed text must be a finite literal.  Empty or NULL gives NULL."""
-    trimmed = F.trim(text)
-    out = F.when(trimmed.rlike(_DECIMAL), _finite(trimmed.try_cast("double")))
-    for pattern, radix in _RADIX:
-        out = out.when(
-            trimmed.rlike(pattern),
-            F.conv(F.substring(trimmed, 3, 64), radix, 10).try_cast("double"),
-        )
+    trimmed = f"trim({text})"
+    radixes = " ".join(
+        f"WHEN {trimmed} RLIKE {quoted(pattern)} THEN try_cast(conv(substring({trimmed}, 3), {radix}, 10) AS double)"
+        for pattern, radix in _RADIX
+    )
     # A non-empty text of blanks reads as zero.
-    return out.when((trimmed == "") & (text != ""), F.lit(0.0))
+    return (
+        f"CASE WHEN {trimmed} RLIKE {quoted(_DECIMAL)} THEN {_finite(f'try_cast({trimmed} AS double)')} "
+        f"{radixes} WHEN {trimmed} = '' AND {text} <> '' THEN 0D END"
+    )
 
 
-def leading_float(text: Column) -> Column:
+def leading_float(text: str) -> str:
     """Longest numeric prefix as a double (``'6.5N'`` -> 6.5), else NULL."""
-    return _finite(F.nullif(F.regexp_extract(text, _LEADING_FLOAT, 1), F.lit("")).try_cast("double"))
+    digits = f"nullif(regexp_extract({text}, {quoted(_LEADING_FLOAT)}, 1), '')"
+    return _finite(f"try_cast({digits} AS double)")
 
 
-def leading_int(text: Column, to: str = "int") -> Column:
+def leading_int(text: str, to: str = "int") -> str:
     """Integer prefix (``'42.7ms'`` -> 42), else NULL; out of the target's range gives NULL."""
-    digits = F.nullif(F.regexp_extract(text, _LEADING_INT, 1), F.lit(""))
-    return digits.try_cast("decimal(38,0)").try_cast(to)
+    digits = f"nullif(regexp_extract({text}, {quoted(_LEADING_INT)}, 1), '')"
+    return f"try_cast(try_cast({digits} AS decimal(38,0)) AS {to})"
 
 
-def clamp(value: Column, low, high) -> Column:
+def clamp(value: str, low: float, high: float) -> str:
     """Limit to [low, high], keeping NULL (``least``/``greatest`` alone would drop it)."""
-    kind = F.when(value.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), value)))
-    return kind
+    return f"CASE WHEN ({value}) IS NOT NULL THEN least({high}, greatest({low}, {value})) END"
 
 
-def clean_text(text: Column, fallback: str | Column, length: int) -> Column:
+def clean_text(text: str, fallback: str, length: int) -> str:
     """Trimmed text, ``fallback`` when empty, cut to ``length`` characters."""
-    default = fallback if isinstance(fallback, Column) else F.lit(fallback)
-    return F.substring(F.coalesce(F.nullif(F.trim(text), F.lit("")), default), 1, length)
+    return f"substring(coalesce(nullif(trim({text}), ''), {quoted(fallback)}), 1, {length})"
 
 
-def network_generation(text: Column, unknown: str | None = None) -> Column:
+def network_generation(text: str, unknown: str | None = None) -> str:
     """Canonical 2G..5G.  Other names become ``unknown``, or stay upper-cased when it is None."""
-    raw = F.upper(clean_text(text, "4G", 10))
-    out = None
-    for generation, names in NETWORK_SYNONYMS.items():
-        hit = raw.isin(*names)
-        out = F.when(hit, generation) if out is None else out.when(hit, generation)
-    return out.otherwise(raw if unknown is None else F.lit(unknown))
+    raw = f"upper({clean_text(text, '4G', 10)})"
+    cases = " ".join(f"WHEN {raw} IN ({listed(n)}) THEN {quoted(g)}" for g, n in NETWORK_SYNONYMS.items())
+    return f"CASE {cases} ELSE {raw if unknown is None else quoted(unknown)} END"
 
 
 def network_parameter(value: str) -> str:
-    """The generation a list filter asks for; names it does not know mean 4G."""
+    """The generation a list filter asks for; names it does not know mean 4G.  (A plain value.)"""
     name = ((value or "").strip() or "4G")[:10].upper()
     return next((g for g, names in NETWORK_SYNONYMS.items() if name in names), "4G")
 
 
-def boolean(text: Column, words: str = "plain") -> Column:
+def boolean(text: str, words: str = "plain") -> str:
     """Three-valued boolean from a word list of ``BOOLEAN_WORDS``."""
     yes, no = BOOLEAN_WORDS[words]
-    raw = F.lower(F.trim(text))
-    return F.when(raw.isin(*yes), F.lit(True)).when(raw.isin(*no), F.lit(False))
+    raw = f"lower(trim({text}))"
+    return f"CASE WHEN {raw} IN ({listed(yes)}) THEN true WHEN {raw} IN ({listed(no)}) THEN false END"
+
 
+def timestamp(text: str) -> str:
+    """UTC wall time of a date/time text, to the millisecond.
 
-def timestamp(text: Column) -> Column:
-    """UTC wall time of a date/time text: ISO forms, and slash dates year- or month-first."""
-    raw = F.trim(text)
-    iso = F.when(raw.rlike(r"^[0-9]{4}(-|$)"), raw.try_cast("timestamp"))
-    slashed = F.coalesce(
-        F.try_to_timestamp(raw, F.lit("yyyy/M/d[ H:mm[:ss]]")),
-        F.try_to_timestamp(raw, F.lit("M/d/yyyy[ H:mm[:ss]]")),
+    Reads ISO forms, and slash dates year- or month-first.
+    """
+    raw = f"trim({text})"
+    slashed = ", ".join(
+        f"try_to_timestamp({raw}, '{form}[ H:mm[:ss]]')" for form in ("yyyy/M/d", "M/d/yyyy")
     )
-    return F.coalesce(iso, F.when(raw.contains("/"), slashed)).cast("timestamp_ntz")
+    parsed = (
+        f"CASE WHEN {raw} RLIKE '^[0-9]{{4}}(-|$)' THEN try_cast({raw} AS timestamp) "
+        f"WHEN contains({raw}, '/') THEN coalesce({slashed}) END"
+    )
+    return f"cast(date_trunc('millisecond', {parsed}) AS timestamp_ntz)"
 
 
-def date(text: Column) -> Column:
+def date(text: str) -> str:
     """UTC date of a date/time text."""
-    return timestamp(text).cast("date")
+    return f"cast({timestamp(text)} AS date)"
 
 
-def month_start(text: Column) -> Column:
+def month_start(text: str) -> str:
     """``YYYY-MM`` means the first of that month; longer texts are read as dates."""
     raw = clean_text(text, "", 20)
-    return date(F.when(F.length(raw) == 7, F.concat(raw, F.lit("-01"))).otherwise(raw))
+    return date(f"CASE WHEN length({raw}) = 7 THEN concat({raw}, '-01') ELSE {raw} END")
+
 
+def epoch_millis(value: str) -> str:
+    """UTC wall time of epoch milliseconds; out of range gives NULL."""
+    safe = f"CASE WHEN abs({value}) <= {_MAX_MILLIS} THEN {value} END"
+    return f"cast(timestamp_millis(cast({safe} AS bigint)) AS timestamp_ntz)"
 
-def epoch_or_text_timestamp(text: Column) -> Column:
-    """Timestamp from epoch seconds, epoch milliseconds (above 1e12) or date text."""
-    n = number(text)
-    millis = F.when(n > F.lit(1e12), n).otherwise(n * 1000)
-    from_epoch = F.timestamp_millis(F.when(F.abs(millis) <= F.lit(8.64e15), millis).cast("bigint"))
+
+def epoch_or_text_timestamp(text: str, parsed: str) -> str:
+    """Timestamp from date text, or from ``parsed`` (its number): seconds, or milliseconds above 1e12."""
+    millis = f"(CASE WHEN {parsed} > 1E12D THEN {parsed} ELSE {parsed} * 1000 END)"
     return (
-        F.when(n.isNotNull(), from_epoch.cast("timestamp_ntz"))
-        .when(F.length(text) > 0, timestamp(text))
+        f"CASE WHEN {parsed} IS NOT NULL THEN {epoch_millis(millis)} "
+        f"WHEN length({text}) > 0 THEN {timestamp(text)} END"
     )
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Whole minutes, rounded half up, never negative; NULL while either end is missing."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    millis = F.floor(F.greatest(F.lit(0), micros) / 1000)
-    return F.when(micros.isNotNull(), F.floor(millis / 60000 + F.lit(0.5)).cast("int"))
+    micros = f"unix_micros(cast({end} AS timestamp)) - unix_micros(cast({start} AS timestamp))"
+    return (
+        f"CASE WHEN {start} IS NOT NULL AND {end} IS NOT NULL THEN "
+        f"cast(floor(floor(greatest(0L, {micros}) / 1000) / 60000 + 0.5D) AS int) END"
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mastlight.fixed_values import FEED_ENTITIES, FEED_SOURCE
@@ -21,57 +21,43 @@ SEVERITY_NAMES = ("severity", "score", "value", "level")
 SIGNAL_NAMES = ("signal_type", "signal")
 
 
-def _kind(value: Column) -> Column:
-    """Type name of a variant; an absent field gives NULL, JSON null gives VOID."""
-    return F.schema_of_variant(value)
+def _variant(name: str, row: str = "row") -> str:
+    return f"try_variant_get({row}, '$.{name}', 'variant')"
 
 
-def _get(row: Column, name: str, to: str = "variant") -> Column:
-    return F.try_variant_get(row, f"$.{name}", to)
+def _kind(name: str) -> str:
+    """Type name of a field; an absent field gives NULL, JSON null gives VOID."""
+    return f"schema_of_variant({_variant(name)})"
 
 
-def _truthy_text(row: Column, names: Sequence[str]) -> Column:
+def _text(name: str) -> str:
+    return f"try_variant_get(row, '$.{name}', 'string')"
+
+
+def _truthy(names: Sequence[str]) -> str:
     """Text of the first field that is neither absent, null, empty, zero nor false."""
-    choices = []
-    for name in names:
-        value, text = _get(row, name), _get(row, name, "string")
-        kind = _kind(value)
-        empty = (
-            kind.isin("VOID")
-            | (text == "")
-            | ((kind != "STRING") & (text.try_cast("double") == 0))
-            | ((kind == "BOOLEAN") & (text == "false"))
-        )
-        choices.append(F.when(value.isNotNull() & ~F.coalesce(empty, F.lit(False)), text))
-    return F.coalesce(*choices)
-
-
-def _severity(row: Column) -> Column:
-    """Number in the first field that is present and not null; anything unreadable is 0."""
-    choices = []
-    for name in SEVERITY_NAMES:
-        value, text = _get(row, name), _get(row, name, "string")
-        kind = _kind(value)
-        read = F.when(kind == "BOOLEAN", text.try_cast("boolean").cast("double")).otherwise(parsing.number(text))
-        choices.append(F.when(value.isNotNull() & (kind != "VOID"), F.coalesce(read, F.lit(0.0))))
-    return F.coalesce(*choices, F.lit(0.0))
-
-
-def _signals(row: Column) -> Column:
-    """Lower-cased signal names: the non-empty list, else the single name, else 'unknown'."""
-    listed = _get(row, "signal_types", "array<variant>")
-    single = F.array(F.coalesce(_truthy_text(row, SIGNAL_NAMES), F.lit("unknown")))
-    names = F.transform(
-        listed, lambda s: F.coalesce(F.nullif(s.try_cast("string"), F.lit("")), F.lit("unknown"))
-    )
-    return F.transform(F.when(F.size(listed) > 0, names).otherwise(single), F.lower)
+    choices = [
+        f"CASE WHEN {_kind(n)} = 'VOID' OR {_text(n)} = '' THEN NULL "
+        f"WHEN {_kind(n)} <> 'STRING' AND ({_text(n)} = 'false' OR try_cast({_text(n)} AS double) = 0) THEN NULL "
+        f"ELSE {_text(n)} END"
+        for n in names
+    ]
+    return f"coalesce({', '.join(choices)})"
+
 
+def _present(names: Sequence[str]) -> str:
+    """Kind and text of the first field that is neither absent nor null."""
+    choices = [
+        f"CASE WHEN {_kind(n)} <> 'VOID' THEN struct({_kind(n)} AS kind, {_text(n)} AS text) END" for n in names
+    ]
+    return f"coalesce({', '.join(choices)})"
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """One response per file, in a folder per entity: ``<path>/entity_code=<code>/*.json``."""
+
+def read_feed(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
+    """Responses below ``<path>/entity_code=<code>/``: one per file, or one per line."""
     responses = (
-        spark.read.option("wholetext", True).option("basePath", path).schema("value STRING, entity_code STRING")
-    ).text(path)
+        spark.read.option("wholetext", not per_line).schema("value STRING, entity_code STRING").text(path)
+    )
     # Entities are a fixed list of five, so this lookup is always broadcast.
     entities = spark.createDataFrame(FEED_ENTITIES, "operator STRING, entity_type STRING, entity_code STRING")
     return responses.join(F.broadcast(entities), "entity_code").select(
@@ -81,35 +67,54 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 def outages_from_feed(responses: DataFrame) -> DataFrame:
     """Rows of the outages table from ``operator, entity_type, entity_code, body`` responses."""
-    body = responses.withColumn("body", F.try_parse_json("body"))
-    whole = F.try_variant_get("body", "$", "array<variant>")
+    entity = ("operator", "entity_type", "entity_code")
+    # A container that is there but holds no list stands for no rows.
     inside = [
-        F.when(
-            _get(F.col("body"), name).isNotNull() & (_kind(_get(F.col("body"), name)) != "VOID"),
-            F.coalesce(_get(F.col("body"), name, "array<variant>"), F.expr("array()").cast("array<variant>")),
-        )
-        for name in CONTAINERS
+        f"CASE WHEN schema_of_variant({_variant(n, 'body')}) <> 'VOID' THEN "
+        f"coalesce(try_variant_get(body, '$.{n}', 'array<variant>'), cast(array() AS array<variant>)) END"
+        for n in CONTAINERS
     ]
-    row = F.col("row")
-    rows = body.select(
-        "operator", "entity_type", "entity_code", F.explode(F.coalesce(whole, *inside)).alias("row")
+    listed = f"coalesce(try_variant_get(body, '$', 'array<variant>'), {', '.join(inside)})"
+    rows = (
+        responses.selectExpr(*entity, "try_parse_json(body) AS body")
+        .selectExpr(*entity, f"{listed} AS listed")
+        .selectExpr(*entity, "explode(listed) AS row")
+    )
+    # Texts first and types after, so that no look-up is repeated.
+    texts = rows.selectExpr(
+        *entity,
+        f"{_truthy(START_NAMES)} AS start_text",
+        f"{_truthy(END_NAMES)} AS end_text",
+        f"{_present(SEVERITY_NAMES)} AS level",
+        "try_variant_get(row, '$.signal_types', 'array<variant>') AS signal_list",
+        f"{_truthy(SIGNAL_NAMES)} AS signal_text",
+        "to_json(row) AS raw_data",
+    )
+    numbers = texts.selectExpr(
+        "*",
+        f"{parsing.number('start_text')} AS start_number",
+        f"{parsing.number('end_text')} AS end_number",
+        f"{parsing.number('level.text')} AS level_number",
+    )
+    severity = "CASE WHEN level.kind = 'BOOLEAN' THEN if(level.text = 'true', 1D, 0D) ELSE level_number END"
+    names = (
+        "CASE WHEN size(signal_list) > 0 THEN transform(signal_list, "
+        "s -> lower(coalesce(nullif(try_cast(s AS string), ''), 'unknown'))) "
+        "ELSE array(lower(coalesce(signal_text, 'unknown'))) END"
     )
-    typed = rows.select(
-        F.lit(FEED_SOURCE).alias("source"),
-        "entity_type",
-        "entity_code",
-        "operator",
-        _severity(row).alias("severity"),
-        _signals(row).alias("signals"),
-        parsing.epoch_or_text_timestamp(_truthy_text(row, START_NAMES)).alias("started_at"),
-        parsing.epoch_or_text_timestamp(_truthy_text(row, END_NAMES)).alias("ended_at"),
-        F.to_json(row).alias("raw_data"),
+    typed = numbers.selectExpr(
+        *entity,
+        f"'{FEED_SOURCE}' AS source",
+        f"coalesce({severity}, 0D) AS severity",
+        f"{names} AS signals",
+        f"{parsing.epoch_or_text_timestamp('start_text', 'start_number')} AS started_at",
+        f"{parsing.epoch_or_text_timestamp('end_text', 'end_number')} AS ended_at",
+        "raw_data",
     ).filter("started_at IS NOT NULL")
-    return typed.withColumns(
-        {
-            "signal_type": F.explode("signals"),
-            "duration_min": parsing.minutes_between(F.col("started_at"), F.col("ended_at")),
-        }
+    return typed.selectExpr(
+        "*",
+        "explode(signals) AS signal_type",
+        f"{parsing.minutes_between('started_at', 'ended_at')} AS duration_min",
     ).select(*TABLES["outages"].columns)
 
 
@@ -123,21 +128,14 @@ def sync_outages(store: TableStore, responses: DataFrame, nulls_equal: bool = Fa
     folder = new_work_folder(spark, "stage-outages")
     outages_from_feed(responses).write.parquet(folder)
     found = spark.read.parquet(folder)
-    before = _rows_per_operator(store, "before")
-    order = ["severity", "duration_min", "raw_data"]
-    # Pin the counts before the table changes.
-    counted = before.collect()  # one row per feed operator
-    store.merge_new("outages", found, order, nulls_equal=nulls_equal)
-    before = spark.createDataFrame(counted, before.schema)
+    counted = _rows_per_operator(store, "before").collect()  # one row per feed operator
+    store.merge_new("outages", found, ["severity", "duration_min", "raw_data"], nulls_equal=nulls_equal)
+    before = spark.createDataFrame(counted, "operator STRING, before BIGINT")
     return (
         found.groupBy("operator").agg(F.count("*").alias("found"))
         .join(F.broadcast(before), "operator", "left")
         .join(F.broadcast(_rows_per_operator(store, "after")), "operator", "left")
-        .select(
-            "operator",
-            "found",
-            (F.coalesce("after", F.lit(0)) - F.coalesce("before", F.lit(0))).alias("inserted"),
-        )
+        .selectExpr("operator", "found", "coalesce(after, 0) - coalesce(before, 0) AS inserted")
     )
 
 

@@ -80,6 +80,5 @@ def load_towers(store: TableStore, path: str, force: bool = False) -> LoadReport
         store.clear("readings")
     raw = with_position(read_tower_csv(store.spark, path))
     staged = _stage(store.spark, normalise_towers(raw, POSITION), "towers")
-    # Ids count the accepted rows in file order; duplicates use up a number but are not stored.
-    numbered = with_ordinal(staged.filter("_valid"), "id").withColumn("id", F.col("id").cast("int"))
+    numbered = with_ordinal(staged, "id").withColumn("id", F.col("id").cast("int"))
     return _finish(store, "towers", staged, numbered, None)

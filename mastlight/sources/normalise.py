@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mastlight.fixed_values import MNC_OPERATORS, RADIO_NETWORKS
@@ -15,29 +13,22 @@ from mastlight.sources.layouts import Field, Layout
 _EPOCH = "1970-01-01"
 
 
-def _typed(spec: Field, raw: Column) -> Column:
+def typed(spec: Field, raw: str) -> str:
+    """SQL of the field's value from its source text."""
     if spec.kind == "text":
-        fallback = "" if spec.required else spec.fallback
-        return parsing.clean_text(raw, fallback, spec.length)
-    if spec.kind == "number":
-        return parsing.number(raw)
-    if spec.kind == "int":
-        return parsing.leading_int(raw)
+        return parsing.clean_text(raw, "" if spec.required else spec.fallback, spec.length)
     if spec.kind == "network":
         return parsing.network_generation(raw)
     if spec.kind == "boolean":
         return parsing.boolean(raw, spec.words)
-    if spec.kind == "timestamp":
-        return parsing.timestamp(raw)
-    if spec.kind == "date":
-        return parsing.date(raw)
-    if spec.kind == "month":
-        return parsing.month_start(raw)
-    raise ValueError(f"unknown field kind {spec.kind}")
-
-
-def _missing(spec: Field, value: Column) -> Column:
-    return (value == "") if spec.kind == "text" else value.isNull()
+    readers = {
+        "number": parsing.number,
+        "int": parsing.leading_int,
+        "timestamp": parsing.timestamp,
+        "date": parsing.date,
+        "month": parsing.month_start,
+    }
+    return readers[spec.kind](raw)
 
 
 def normalise(raw: DataFrame, layout: Layout, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -45,66 +36,65 @@ def normalise(raw: DataFrame, layout: Layout, keep: tuple[str, ...] = ()) -> Dat
 
     Layouts with an ``id_prefix`` leave a missing id NULL for ``fill_ids``.
     """
-    columns: list[Column] = []
-    bad: list[Column] = []
+    picked, values, bad = [], [], ["false"]
     for spec in layout.fields:
         source = parsing.first_present(raw.columns, spec.names)
         if spec.epoch_when_missing:
-            source = F.coalesce(source, F.lit(_EPOCH))
-        value = _typed(spec, source)
+            source = f"coalesce({source}, '{_EPOCH}')"
+        picked.append(f"{source} AS {spec.target}")
+        value = typed(spec, spec.target)
         if spec is layout.id_field:
-            value = F.substring(F.nullif(F.trim(source), F.lit("")), 1, spec.length)
+            value = f"substring(nullif(trim({spec.target}), ''), 1, {spec.length})"
+        values.append(f"{value} AS {spec.target}")
         if spec.required:
-            bad.append(_missing(spec, value))
-        columns.append(value.alias(spec.target))
-    invalid = reduce(lambda a, b: a | b, bad) if bad else F.lit(False)
-    return raw.select(*columns, (~invalid).alias("_valid"), *keep)
+            bad.append(f"{spec.target} = ''" if spec.kind == "text" else f"{spec.target} IS NULL")
+    # Three steps, so that no expression is repeated inside another.
+    return (
+        raw.selectExpr(*picked, *keep)
+        .selectExpr(*values, *keep)
+        .selectExpr(*[f.target for f in layout.fields], f"NOT ({' OR '.join(bad)}) AS _valid", *keep)
+    )
 
 
 def fill_ids(rows: DataFrame, layout: Layout, ordinal: str = "_ordinal") -> DataFrame:
     """Give rows without an id the prefix followed by their row number."""
     spec = layout.id_field
-    made = F.concat(F.lit(layout.id_prefix), F.col(ordinal).cast("string"))
+    made = f"concat('{layout.id_prefix}', cast({ordinal} AS string))"
     return rows.withColumn(
-        spec.target, F.substring(F.coalesce(F.col(spec.target), made), 1, spec.length)
+        spec.target, F.expr(f"substring(coalesce({spec.target}, {made}), 1, {spec.length})")
+    )
+
+
+def _lookup(table: dict, key: str, default: str) -> str:
+    cases = " ".join(
+        f"WHEN {parsing.quoted(k) if isinstance(k, str) else k} THEN {parsing.quoted(v)}" for k, v in table.items()
     )
+    return f"CASE {key} {cases} ELSE {parsing.quoted(default)} END"
 
 
-def _lookup(table: dict, key: Column) -> Column:
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.create_map(*pairs)[key]
+def _count_or(name: str, default: int, to: str = "int") -> str:
+    return f"cast(coalesce(nullif({parsing.leading_int(name, to)}, 0), {default}) AS {to}) AS {name}"
 
 
 def normalise_towers(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Tower rows: coordinates and ids must be numbers and coordinates not zero."""
-    ids = {name: parsing.leading_int(F.col(name)) for name in ("mcc", "mnc", "lac")}
-    ids["cell_id"] = parsing.leading_int(F.col("cell_id"), "bigint")
-    lat, lon = parsing.leading_float(F.col("lat")), parsing.leading_float(F.col("lon"))
-
-    def count_or(name: str, default: int, to: str = "int") -> Column:
-        return F.coalesce(F.nullif(parsing.leading_int(F.col(name), to), F.lit(0)), F.lit(default)).cast(to)
-
-    radio = F.nullif(F.col("radio"), F.lit(""))
-    typed = raw.select(
-        ids["cell_id"].alias("cell_id"),
-        parsing.clean_text(radio, "GSM", 10).alias("radio"),
-        ids["mcc"].alias("mcc"),
-        ids["mnc"].alias("mnc"),
-        ids["lac"].alias("lac"),
-        lon.alias("lon"),
-        lat.alias("lat"),
-        count_or("range_m", 0).alias("range_m"),
-        count_or("samples", 1).alias("samples"),
-        count_or("average_signal", 0).alias("average_signal"),
-        count_or("created_at", 0, "bigint").alias("created_at"),
-        count_or("updated_at", 0, "bigint").alias("updated_at"),
-        F.coalesce(_lookup(MNC_OPERATORS, ids["mnc"]), F.lit("Unknown")).alias("operator"),
-        F.coalesce(_lookup(RADIO_NETWORKS, radio), F.lit("2G")).alias("network"),
+    out = raw.selectExpr(
+        f"{parsing.leading_int('cell_id', 'bigint')} AS cell_id",
+        f"{parsing.clean_text('radio', 'GSM', 10)} AS radio",
+        *[f"{parsing.leading_int(name)} AS {name}" for name in ("mcc", "mnc", "lac")],
+        f"{parsing.leading_float('lon')} AS lon",
+        f"{parsing.leading_float('lat')} AS lat",
+        _count_or("range_m", 0),
+        _count_or("samples", 1),
+        _count_or("average_signal", 0),
+        _count_or("created_at", 0, "bigint"),
+        _count_or("updated_at", 0, "bigint"),
+        f"{_lookup(MNC_OPERATORS, parsing.leading_int('mnc'), 'Unknown')} AS operator",
+        f"{_lookup(RADIO_NETWORKS, 'radio', '2G')} AS network",
         *keep,
     )
-    located = (F.col("lat") != 0) & (F.col("lon") != 0)
-    identified = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids])
-    typed = typed.withColumn("_valid", F.coalesce(located & identified, F.lit(False)))
+    known = "lat <> 0 AND lon <> 0 AND cell_id IS NOT NULL AND mcc IS NOT NULL AND mnc IS NOT NULL AND lac IS NOT NULL"
+    out = out.withColumn("_valid", F.expr(f"coalesce({known}, false)"))
     city = F.when(F.col("_valid"), geo.nearest_city(F.col("lat"), F.col("lon")))
     columns = [c for c in TABLES["towers"].columns if c != "id"]
-    return typed.withColumn("city", city).select(*columns, "_valid", *keep)
+    return out.withColumn("city", city).select(*columns, "_valid", *keep)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mastlight.fixed_values import MAX_BULK_READINGS, READING_RANGES
@@ -12,104 +14,87 @@ from mastlight.schemas import TABLES
 
 SIGNAL_ERROR = "signal_dbm is required and must be numeric"
 TIME_ERROR = "recorded_at must be a valid date/time"
+MEASURES = ("signal_dbm", "dl_mbps", "ul_mbps", "rsrp", "rsrq")
+PLAIN = ("tower_id", "cell_id", "city", "operator", "network", "latency_ms")
 
 
-def _value(reading: Column, name: str) -> Column:
-    return F.try_variant_get(reading, f"$.{name}", "variant")
+def _text(reading: str, name: str) -> str:
+    return f"try_variant_get({reading}, '$.{name}', 'string')"
 
 
-def _text(reading: Column, name: str) -> Column:
-    return F.try_variant_get(reading, f"$.{name}", "string")
+def _kind(reading: str, name: str) -> str:
+    return f"schema_of_variant(try_variant_get({reading}, '$.{name}', 'variant'))"
 
 
-def _api_number(reading: Column, name: str) -> Column:
+def api_number(kind: str, text: str) -> str:
     """Number of a JSON field.  Only an absent field is missing: null and blank text count as 0."""
-    value, text = _value(reading, name), _text(reading, name)
-    kind = F.schema_of_variant(value)
     return (
-        F.when(kind == "VOID", F.lit(0.0))
-        .when(kind == "BOOLEAN", text.try_cast("boolean").cast("double"))
-        .when(F.trim(text) == "", F.lit(0.0))
-        .otherwise(parsing.number(text))
+        f"CASE WHEN {kind} = 'VOID' OR trim({text}) = '' THEN 0D "
+        f"WHEN {kind} = 'BOOLEAN' THEN if({text} = 'true', 1D, 0D) ELSE {parsing.number(text)} END"
     )
 
 
-def _signal(reading: Column) -> Column:
-    return _api_number(reading, "signal_dbm")
-
-
-def _recorded_at(reading: Column, now: Column) -> Column:
-    """Time of the reading; null, empty, zero or false mean ``now``; a number is epoch milliseconds."""
-    value, text = _value(reading, "recorded_at"), _text(reading, "recorded_at")
-    kind = F.schema_of_variant(value)
-    is_text = kind == "STRING"
-    millis = text.try_cast("double")
-    unset = (
-        value.isNull()
-        | (kind == "VOID")
-        | (is_text & (text == ""))
-        | (~is_text & F.coalesce((millis == 0) | (text == "false"), F.lit(False)))
-    )
-    from_number = F.timestamp_millis(F.when(F.abs(millis) <= F.lit(8.64e15), millis).cast("bigint"))
+def reading_time(kind: str, text: str, now: str) -> str:
+    """Time of a reading: absent, null, empty, zero or false mean ``now``; a number is epoch milliseconds."""
+    millis = f"try_cast({text} AS double)"
     return (
-        F.when(unset, now)
-        .when(is_text, parsing.timestamp(text))
-        .otherwise(from_number.cast("timestamp_ntz"))
+        f"CASE WHEN {kind} IS NULL OR {kind} = 'VOID' OR {text} = '' THEN {now} "
+        f"WHEN {kind} = 'STRING' THEN {parsing.timestamp(text)} "
+        f"WHEN {text} = 'false' OR {millis} = 0 THEN {now} "
+        f"ELSE {parsing.epoch_millis(millis)} END"
     )
 
 
-def reading_error(reading: Column, now: Column) -> Column:
-    """Why a reading is refused, or NULL."""
-    return F.when(_signal(reading).isNull(), SIGNAL_ERROR).when(
-        _recorded_at(reading, now).isNull(), TIME_ERROR
-    )
+def sql_time(now: dt.datetime | str | None) -> str:
+    """SQL of a wall-clock time; None means the time of the query or micro-batch."""
+    if now is None:
+        return "cast(current_timestamp() AS timestamp_ntz)"
+    return f"timestamp_ntz'{now}'"
 
 
-def reading_columns(reading: Column, now: Column) -> list[Column]:
-    """The typed columns of one JSON reading (a variant)."""
+def type_readings(readings: DataFrame, now: dt.datetime | str | None, column: str = "_reading") -> DataFrame:
+    """Typed columns and ``error`` (NULL when accepted) of JSON readings in a variant column."""
+    fields = [f"{_text(column, n)} AS {n}" for n in (*PLAIN, *MEASURES, "recorded_at")]
+    kinds = [f"{_kind(column, n)} AS _kind_{n}" for n in (*MEASURES, "recorded_at")]
     ranges = READING_RANGES
+    measures = [f"{api_number(f'_kind_{n}', n)} AS {n}" for n in MEASURES]
+    typed = readings.selectExpr(*fields, *kinds).selectExpr(
+        f"{parsing.leading_int('tower_id')} AS tower_id",
+        f"{parsing.leading_int('cell_id', 'bigint')} AS cell_id",
+        f"{parsing.clean_text('city', 'Unknown', 60)} AS city",
+        f"{parsing.clean_text('operator', 'Unknown', 20)} AS operator",
+        f"{parsing.network_generation('network', unknown='4G')} AS network",
+        f"{parsing.leading_int('latency_ms')} AS latency_ms",
+        *measures,
+        f"{reading_time('_kind_recorded_at', 'recorded_at', sql_time(now))} AS recorded_at",
+    )
+    limited = {n: f"cast({parsing.clamp(n, *ranges[n])} AS {'int' if n == 'latency_ms' else 'double'}) AS {n}" for n in ranges}
+    return typed.selectExpr(
+        *[limited.get(c, c) for c in TABLES["readings"].columns],
+        f"CASE WHEN signal_dbm IS NULL THEN '{SIGNAL_ERROR}' WHEN recorded_at IS NULL THEN '{TIME_ERROR}' END AS error",
+    )
 
-    def measure(name: str) -> Column:
-        low, high = ranges[name]
-        return parsing.clamp(_api_number(reading, name), float(low), float(high)).alias(name)
-
-    return [
-        parsing.leading_int(_text(reading, "tower_id")).alias("tower_id"),
-        parsing.leading_int(_text(reading, "cell_id"), "bigint").alias("cell_id"),
-        parsing.clean_text(_text(reading, "city"), "Unknown", 60).alias("city"),
-        parsing.clean_text(_text(reading, "operator"), "Unknown", 20).alias("operator"),
-        parsing.network_generation(_text(reading, "network"), unknown="4G").alias("network"),
-        measure("signal_dbm"),
-        parsing.clamp(parsing.leading_int(_text(reading, "latency_ms")), *ranges["latency_ms"]).alias("latency_ms"),
-        measure("dl_mbps"),
-        measure("ul_mbps"),
-        measure("rsrp"),
-        measure("rsrq"),
-        _recorded_at(reading, now).alias("recorded_at"),
-    ]
-
-
-def device_readings(lines: DataFrame, now: Column, body: str = "value") -> DataFrame:
+
+def device_readings(lines: DataFrame, now: dt.datetime | str | None = None, body: str = "value") -> DataFrame:
     """One JSON reading per line; refused readings keep their ``error`` and typed columns."""
-    parsed = lines.select(F.try_parse_json(body).alias("_reading"))
-    reading = F.col("_reading")
-    return parsed.select(*reading_columns(reading, now), reading_error(reading, now).alias("error"))
+    return type_readings(lines.selectExpr(f"try_parse_json({body}) AS _reading"), now)
 
 
-def bulk_readings(requests: DataFrame, now: Column, body: str = "value") -> DataFrame:
+def bulk_readings(requests: DataFrame, now: dt.datetime | str | None = None, body: str = "value") -> DataFrame:
     """Readings of bulk requests (``{"readings": [...]}`` per line), whole requests only.
 
     A request is refused when it is too long or any reading in it is invalid; that is decided
     inside the row, so no shuffle is needed.
     """
-    listed = F.try_variant_get(F.try_parse_json(body), "$.readings", "array<variant>")
-    rows = requests.select(listed.alias("_listed")).filter(
-        (F.size("_listed") <= MAX_BULK_READINGS)
-        & F.forall("_listed", lambda r: reading_error(r, now).isNull())
-    )
-    return rows.select(F.explode("_listed").alias("_reading")).select(
-        *reading_columns(F.col("_reading"), now)
+    signal = api_number(_kind("r", "signal_dbm"), _text("r", "signal_dbm"))
+    time = reading_time(_kind("r", "recorded_at"), _text("r", "recorded_at"), sql_time(now))
+    accepted = (
+        requests.selectExpr(f"try_variant_get(try_parse_json({body}), '$.readings', 'array<variant>') AS _listed")
+        .filter(f"size(_listed) <= {MAX_BULK_READINGS}")
+        .filter(f"forall(_listed, r -> ({signal}) IS NOT NULL AND ({time}) IS NOT NULL)")
+        .selectExpr("explode(_listed) AS _reading")
     )
+    return type_readings(accepted, now).drop("error")
 
 
 def resolve_towers(readings: DataFrame, towers: DataFrame) -> DataFrame:
@@ -118,22 +103,19 @@ def resolve_towers(readings: DataFrame, towers: DataFrame) -> DataFrame:
     Rows that need no lookup get a spread key that matches nothing, so neither NULL cells nor
     resolved rows pile up in one task if the join is shuffled.
     """
-    needs = (F.coalesce("tower_id", F.lit(0)) == 0) & (F.coalesce("cell_id", F.lit(0)) != 0)
-    spread = F.pmod(F.xxhash64("recorded_at", "signal_dbm", "tower_id"), F.lit(4096)) + 1
-    keyed = readings.withColumns(
-        {
-            "_lane": F.when(needs, F.lit(0)).otherwise(spread).cast("bigint"),
-            "_cell": F.coalesce("cell_id", F.lit(0)).cast("bigint"),
-        }
+    needs = "coalesce(tower_id, 0) = 0 AND coalesce(cell_id, 0) <> 0"
+    spread = "pmod(xxhash64(recorded_at, signal_dbm, tower_id), 4096L) + 1"
+    keyed = readings.selectExpr(
+        "*",
+        f"CASE WHEN {needs} THEN 0L ELSE {spread} END AS _lane",
+        "cast(coalesce(cell_id, 0) AS bigint) AS _cell",
     )
-    best = best_tower_per_cell(towers).select(
-        F.lit(0).cast("bigint").alias("_lane"),
-        F.col("cell_id").cast("bigint").alias("_cell"),
-        F.col("id").alias("_found"),
+    best = best_tower_per_cell(towers).selectExpr(
+        "0L AS _lane", "cast(cell_id AS bigint) AS _cell", "cast(id AS int) AS _found"
     )
     out = keyed.join(best, ["_lane", "_cell"], "left")
-    resolved = F.when(F.col("_lane") == 0, F.col("_found")).otherwise(F.col("tower_id"))
-    return out.withColumn("tower_id", resolved.cast("int")).drop("_lane", "_cell", "_found")
+    resolved = F.expr("CASE WHEN _lane = 0 THEN _found ELSE tower_id END")
+    return out.withColumn("tower_id", resolved).select(*readings.columns)
 
 
 def check_all_valid(readings: DataFrame) -> DataFrame:

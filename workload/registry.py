@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mastlight.session import pin_utc
 from workload.core_oracles import core_oracles
 from workload.core_queries import Query, core_queries
+from workload.load_queries import load_oracles, load_queries
 
 
 def _in_utc(query: Query) -> Query:
@@ -18,8 +19,8 @@ def _in_utc(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _in_utc(query) for name, query in core_queries().items()}
+    return {name: _in_utc(query) for name, query in {**core_queries(), **load_queries()}.items()}
 
 
 def all_oracles() -> dict[str, str]:
-    return core_oracles()
+    return {**core_oracles(), **load_oracles()}

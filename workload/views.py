@@ -347,6 +347,11 @@ def duck_view(name: str) -> str:
     return f"SELECT {', '.join(f'{_pick(e, 1)} AS {c}' for c, e in columns.items())} FROM {base}"
 
 
+def view_sql(name: str) -> list[str]:
+    """The view's columns for Spark."""
+    return [f"{_pick(e, 0)} AS {c}" for c, e in VIEWS[name][1].items()]
+
+
 def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -359,7 +364,7 @@ class Tables(dict):
         self.spark, self.folder = spark, folder
         self.base: dict[str, DataFrame] = {}
 
-    def _base(self, name: str) -> DataFrame:
+    def open(self, name: str) -> DataFrame:
         if name not in self.base:
             self.base[name] = base_table(self.spark, self.folder, name)
         return self.base[name]
@@ -367,10 +372,9 @@ class Tables(dict):
     def __missing__(self, name: str) -> DataFrame:
         if name == "network_penetration":
             sql = _penetration_sql().replace("FROM customer)", "FROM {customer})")
-            self[name] = self.spark.sql(sql, customer=self._base("customer"))
+            self[name] = self.spark.sql(sql, customer=self.open("customer"))
         elif name in VIEWS:
-            base, columns = VIEWS[name]
-            self[name] = self._base(base).selectExpr(*[f"{_pick(e, 0)} AS {c}" for c, e in columns.items()])
+            self[name] = self.open(VIEWS[name][0]).selectExpr(*view_sql(name))
         else:
             raise KeyError(name)
         return self[name]
