@@ -44,9 +44,7 @@ class Measure:
         value = f"{self.name}_s"
         if self.kind == "mean":
             value = f"CASE WHEN {self.name}_n > 0 THEN {self.name}_s / {self.name}_n END"
-        if self.kind == "total" and self.digits is None:
-            return F.expr(f"{value} AS {self.name}")
-        return F.expr(f"{rounded_sql(value, self.digits)} AS {self.name}")
+        return F.expr(f"{value if self.digits is None else rounded_sql(value, self.digits)} AS {self.name}")
 
 
 def rows(name: str) -> Measure:

@@ -139,7 +139,7 @@ BLOCK_SQL: dict[str, tuple[str, str, dict[str, str], tuple[str, str] | None]] =
 }
 
 
-def _block(name: str, key: str = "o.id, o.operator, o.started_at") -> str:
+def block_sql(name: str, key: str = "o.id, o.operator, o.started_at") -> str:
     table, condition, aggregates, _ = BLOCK_SQL[name]
     columns = ", ".join(f"{e} AS {n}" for n, e in aggregates.items())
     return f"SELECT {key}, {columns} FROM chosen o LEFT JOIN {table} f ON {condition} GROUP BY {key}"
@@ -158,7 +158,7 @@ def _correlation() -> str:
     views, steps, columns, joins = ["outages"], {"chosen": NEWEST_OUTAGES}, [], []
     for name, (table, _, aggregates, category) in BLOCK_SQL.items():
         views.append(table)
-        steps[f"s_{name}"] = _block(name, "o.id")
+        steps[f"s_{name}"] = block_sql(name, "o.id")
         columns += [f"s_{name}.{c}" for c in aggregates]
         joins.append(f"LEFT JOIN s_{name} ON s_{name}.id = chosen.id")
         if category:
@@ -476,14 +476,14 @@ def core_oracles() -> dict[str, str]:
         out[f"load_breakdown_{table}"] = over(
             table, sql=f"SELECT {keys}, COUNT(*) AS rows{more} FROM {table} GROUP BY {keys}")
     for name, (table, _, _, category) in BLOCK_SQL.items():
-        out[f"correlate_{name}"] = over("outages", table, steps={"chosen": NEWEST_OUTAGES}, sql=_block(name))
+        out[f"correlate_{name}"] = over("outages", table, steps={"chosen": NEWEST_OUTAGES}, sql=block_sql(name))
         if category:
             out[f"correlate_{name}_categories"] = over(
                 "outages", table, steps={"chosen": NEWEST_OUTAGES}, sql=_categories(name))
     for name in ("readings", "hardware", "uptime", "technician"):
         table = BLOCK_SQL[name][0]
         out[f"correlate_{name}_all_outages"] = over(
-            "outages", table, steps={"chosen": "SELECT * FROM outages"}, sql=_block(name))
+            "outages", table, steps={"chosen": "SELECT * FROM outages"}, sql=block_sql(name))
     out["correlate_events_categories_all_outages"] = over(
         "outages", "network_events", steps={"chosen": "SELECT * FROM outages"}, sql=_categories("events"))
     return out

@@ -8,6 +8,7 @@ from mastlight.session import pin_utc
 from workload.core_oracles import core_oracles
 from workload.core_queries import Query, core_queries
 from workload.load_queries import load_oracles, load_queries
+from workload.stream_queries import stream_oracles, stream_queries
 
 
 def _in_utc(query: Query) -> Query:
@@ -19,8 +20,9 @@ def _in_utc(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {name: _in_utc(query) for name, query in {**core_queries(), **load_queries()}.items()}
+    merged = {**core_queries(), **load_queries(), **stream_queries()}
+    return {name: _in_utc(query) for name, query in merged.items()}
 
 
 def all_oracles() -> dict[str, str]:
-    return {**core_oracles(), **load_oracles()}
+    return {**core_oracles(), **load_oracles(), **stream_oracles()}
