@@ -386,8 +386,8 @@ def _nearest_city() -> str:
 def _history(where: str) -> str:
     return over("readings", sql=(
         "SELECT operator, network, city, date_trunc('minute', recorded_at) AS bucket, "
-        "ROUND(AVG(signal_dbm), 6) AS avg_signal, ROUND(AVG(latency_ms), 6) AS avg_latency, "
-        "ROUND(AVG(dl_mbps), 6) AS avg_dl, ROUND(AVG(ul_mbps), 6) AS avg_ul, COUNT(*) AS count "
+        f"{avg('signal_dbm', 6)} AS avg_signal, {avg('latency_ms', 6)} AS avg_latency, "
+        f"{avg('dl_mbps', 6)} AS avg_dl, {avg('ul_mbps', 6)} AS avg_ul, COUNT(*) AS count "
         f"FROM readings WHERE {where} GROUP BY operator, network, city, bucket"
     ))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mastlight.functions.geo import nearest_city
+from mastlight.functions.numeric import rounded
 from mastlight.operators.latest import best_tower_per_cell, latest_readings
 from mastlight.plans import correlate, listings, recommend, risk, summaries
 from mastlight.session import pinned
@@ -92,8 +93,7 @@ def _category_query(name: str, limit: int | None = 500) -> Query:
 def _history(spark: SparkSession, folder: str, **params: object) -> DataFrame:
     out = summaries.readings_history(Tables(spark, folder)["readings"], AS_OF, **params)
     # Plain averages differ in their last bits with the order of addition.
-    rounded = {c: F.round(c, 6) for c in ("avg_signal", "avg_latency", "avg_dl", "avg_ul")}
-    return out.withColumns(rounded)
+    return out.withColumns({c: rounded(F.col(c), 6) for c in ("avg_signal", "avg_latency", "avg_dl", "avg_ul")})
 
 
 def _risks(spark: SparkSession, folder: str, hours: int = 48) -> DataFrame:

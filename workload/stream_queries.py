@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mastlight.functions.numeric import rounded
 from mastlight.functions.scoring import freshness_score
 from mastlight.operators.timeslice import as_time
 from mastlight.session import new_work_folder
@@ -14,7 +15,7 @@ from mastlight.streaming import outages as outage_streams
 from mastlight.streaming import readings as reading_streams
 from mastlight.streaming.runs import append_available
 from workload import raw_files
-from workload.core_oracles import BLOCK_SQL, NOW, block_sql, over
+from workload.core_oracles import BLOCK_SQL, NOW, avg, block_sql, over
 from workload.views import AS_OF, VIEWS, Tables, duck_view, view_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +53,7 @@ def _averages(build: Callable[[DataFrame, str], DataFrame]) -> Query:
         averages = build(stream_view(Tables(spark, folder), "readings"), f"{DELAY_MINUTES} minutes")
         append_available(averages, path, checkpoint)
         out = spark.read.parquet(path)
-        return out.withColumns({c: F.round(c, 6) for c in ("avg_signal", "avg_latency", "avg_dl", "avg_ul")})
+        return out.withColumns({c: rounded(F.col(c), 6) for c in ("avg_signal", "avg_latency", "avg_dl", "avg_ul")})
 
     return run
 
@@ -106,8 +107,8 @@ def _closed(length_minutes: int) -> str:
             f"(SELECT MAX(recorded_at) FROM readings) - INTERVAL {DELAY_MINUTES} MINUTE")
 
 
-_AVERAGES = ("ROUND(AVG(signal_dbm), 6) AS avg_signal, ROUND(AVG(latency_ms), 6) AS avg_latency, "
-             "ROUND(AVG(dl_mbps), 6) AS avg_dl, ROUND(AVG(ul_mbps), 6) AS avg_ul, COUNT(*) AS count")
+_AVERAGES = (f"{avg('signal_dbm', 6)} AS avg_signal, {avg('latency_ms', 6)} AS avg_latency, "
+             f"{avg('dl_mbps', 6)} AS avg_dl, {avg('ul_mbps', 6)} AS avg_ul, COUNT(*) AS count")
 
 
 def stream_oracles() -> dict[str, str]:
