@@ -55,9 +55,7 @@ def _present(names: Sequence[str]) -> str:
 
 def read_feed(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """Responses below ``<path>/entity_code=<code>/``: one per file, or one per line."""
-    responses = (
-        spark.read.option("wholetext", not per_line).schema("value STRING, entity_code STRING").text(path)
-    )
+    responses = spark.read.schema("value STRING, entity_code STRING").text(path, wholetext=not per_line)
     # Entities are a fixed list of five, so this lookup is always broadcast.
     entities = spark.createDataFrame(FEED_ENTITIES, "operator STRING, entity_type STRING, entity_code STRING")
     return responses.join(F.broadcast(entities), "entity_code").select(
