@@ -10,19 +10,15 @@ from pyspark.sql import functions as F
 from mastlight.fixed_values import FRESHNESS_TIERS, STALE_FRESHNESS
 
 
-def _share(value: Column) -> Column:
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), value))
-
-
-def ramp(value: Column, start: float, end: float, points: float) -> Column:
-    """0 at ``start`` rising to ``points`` at ``end`` (which may lie below ``start``).
+def ramp_sql(value: str, start: float, end: float, points: float) -> str:
+    """SQL of a score: 0 at ``start`` rising to ``points`` at ``end`` (which may lie below ``start``).
 
     A missing value scores like the number 0; that is part of the published scores.
     """
-    v = F.coalesce(value.cast("double"), F.lit(0.0))
-    if end >= start:
-        return _share((v - F.lit(float(start))) / F.lit(float(end - start))) * F.lit(float(points))
-    return _share((F.lit(float(start)) - v) / F.lit(float(start - end))) * F.lit(float(points))
+    v = f"coalesce(cast({value} AS double), 0D)"
+    above = f"{v} - {float(start)}D" if end >= start else f"{float(start)}D - {v}"
+    share = f"least(1D, greatest(0D, ({above}) / {float(abs(end - start))!r}D))"
+    return f"{share} * {float(points)}D"
 
 
 def tier(value: Column, tiers: Sequence[tuple[float, str]], otherwise: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mastlight.operators.measures import Measure, merges, partials, results
@@ -35,3 +35,10 @@ def grouped_levels(
         )
         out = out.unionByName(overall)
     return out
+
+
+def top_of_level(levels: DataFrame, level: str, limit: int, order: Sequence[Column]) -> DataFrame:
+    """All rows of the other levels, and the first ``limit`` of this one."""
+    place = F.row_number().over(Window.partitionBy("level").orderBy(*order, F.asc_nulls_last("key")))
+    ranked = levels.withColumn("_place", place)
+    return ranked.filter((F.col("level") != level) | (F.col("_place") <= limit)).drop("_place")

@@ -37,14 +37,14 @@ class Measure:
             return [f"{self.name}_n"]
         return [f"{self.name}_s"] if self.kind == "total" else [f"{self.name}_s", f"{self.name}_n"]
 
-    def result(self) -> Column:
+    def result_sql(self) -> str:
         """Final value from merged partial columns; counts of nothing are 0, other values NULL."""
         if self.kind in ("rows", "matches"):
-            return F.expr(f"coalesce({self.name}_n, 0) AS {self.name}")
+            return f"coalesce({self.name}_n, 0) AS {self.name}"
         value = f"{self.name}_s"
         if self.kind == "mean":
             value = f"CASE WHEN {self.name}_n > 0 THEN {self.name}_s / {self.name}_n END"
-        return F.expr(f"{value if self.digits is None else rounded_sql(value, self.digits)} AS {self.name}")
+        return f"{value if self.digits is None else rounded_sql(value, self.digits)} AS {self.name}"
 
 
 def rows(name: str) -> Measure:
@@ -77,4 +77,4 @@ def merges(measures: Sequence[Measure]) -> list[Column]:
 
 
 def results(measures: Sequence[Measure]) -> list[Column]:
-    return [m.result() for m in measures]
+    return [F.expr(m.result_sql()) for m in measures]

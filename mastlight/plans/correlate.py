@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mastlight.fixed_values import BAD_HEALTH, HIGH_PRIORITY
@@ -152,37 +152,35 @@ def _measured(column: str, block: Block) -> bool:
     return any(m.value and re.search(rf"\b{column}\b", m.value) for m in block.measures)
 
 
-def _with_block(left: DataFrame, name: str, facts: DataFrame, outages: DataFrame, bounded: bool) -> DataFrame:
-    """``left`` (which has upper and day) with the block's partial columns."""
-    summary = block_summary(name, outages, facts, bounded)
-    # At most one row per listed outage when the list is limited.
-    small = F.broadcast(summary) if bounded else summary
-    return left.join(small, BLOCKS[name].window, "left")
-
-
-def _finals(block: Block) -> list[Column]:
+def _result_sql(block: Block) -> list[str]:
     return [
-        F.expr(f"coalesce({m.name}_s, 0) AS {m.name}") if m.name in ZERO_TOTALS else m.result()
+        f"coalesce({m.name}_s, 0) AS {m.name}" if m.name in ZERO_TOTALS else m.result_sql()
         for m in block.measures
     ]
 
 
 def _anchored(outages: DataFrame) -> DataFrame:
+    """Outages with the window columns that the summaries are keyed by."""
     return outages.selectExpr("*", "started_at AS upper", "to_date(started_at) AS day")
 
 
+def _joined(left: DataFrame, name: str, facts: DataFrame, outages: DataFrame, bounded: bool) -> DataFrame:
+    summary = block_summary(name, outages, facts, bounded).withColumnRenamed(CATEGORIES, f"{CATEGORIES}_{name}")
+    # At most one row per listed outage when the list is limited.
+    small = F.broadcast(summary) if bounded else summary
+    return left.join(small, BLOCKS[name].window, "left")
+
+
 def block_stats(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
     """The given outages with one block's columns; ``bounded`` for a limited list of outages."""
-    out = _with_block(_anchored(outages), name, facts, outages, bounded)
-    return out.select(*outages.columns, *_finals(BLOCKS[name]))
+    out = _joined(_anchored(outages), name, facts, outages, bounded)
+    return out.selectExpr(*outages.columns, *_result_sql(BLOCKS[name]))
 
 
 def block_categories(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
     """Category counts before each outage as rows: outage columns, category, total."""
-    out = _with_block(_anchored(outages), name, facts, outages, bounded)
-    return out.select(*outages.columns, F.explode(CATEGORIES).alias("_entry")).select(
-        *outages.columns, "_entry.category", "_entry.total"
-    )
+    out = _joined(_anchored(outages), name, facts, outages, bounded)
+    return out.selectExpr(*outages.columns, f"inline({CATEGORIES}_{name})")
 
 
 def correlate_outages(tables: Mapping[str, DataFrame], limit: int | str | None = 100) -> DataFrame:
@@ -194,18 +192,13 @@ def correlate_outages(tables: Mapping[str, DataFrame], limit: int | str | None =
     bounded = limit is not None
     outages = pinned(newest_outages(tables["outages"], limit))
     out = _anchored(outages)
-    columns = list(out.columns)
+    columns = ["id AS outage_id" if c == "id" else c for c in outages.columns]
     for name, block in BLOCKS.items():
-        out = _with_block(out, name, tables[block.table], outages, bounded)
-        finals = _finals(block)
+        out = _joined(out, name, tables[block.table], outages, bounded)
+        columns += _result_sql(block)
         if block.map_name:
-            finals.append(
-                F.expr(
-                    f"map_from_entries(coalesce(array_sort({CATEGORIES}), array())) AS {block.map_name}"
-                )
-            )
-        out = out.select(*columns, *finals)
-        columns = out.columns
-    result = out.drop("upper", "day").withColumnRenamed("id", "outage_id")
-    tie = ["outage_id"] if "outage_id" in result.columns else []
+            sorted_entries = f"coalesce(array_sort({CATEGORIES}_{name}), array())"
+            columns.append(f"map_from_entries({sorted_entries}) AS {block.map_name}")
+    result = out.selectExpr(*columns)
+    tie = ["outage_id"] if "id" in outages.columns else []
     return result.orderBy(F.desc_nulls_first("started_at"), *tie)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +18,9 @@ from mastlight.fixed_values import (
     RISK_OPERATORS,
     TOP_CONTRIBUTORS,
 )
-from mastlight.functions.numeric import exact_round, half_up_tenth
-from mastlight.functions.scoring import ramp, tier
+from mastlight.functions.numeric import exact_round_sql
+from mastlight.functions.parsing import listed, quoted
+from mastlight.functions.scoring import ramp_sql, tier
 from mastlight.operators.listing import leading_int
 from mastlight.operators.timeslice import as_time, at_or_after, hours_before, last_days, last_hours
 
@@ -41,12 +41,16 @@ def clamp_hours(hours: object) -> int:
     return min(max(leading_int(hours) or 6, 1), 72)
 
 
-def _worded(column: str, words: Sequence[str]) -> Column:
-    return F.lower(F.coalesce(F.col(column), F.lit(""))).isin(*words)
+def _worded(column: str, words: Sequence[str]) -> str:
+    return f"lower(coalesce({column}, '')) IN ({listed(words)})"
 
 
 def _mean(column: str, digits: int, name: str) -> Column:
-    return exact_round(F.avg(column), digits).alias(name)
+    return F.expr(f"{exact_round_sql(f'avg({column})', digits)} AS {name}")
+
+
+def _matching(condition: str, name: str) -> Column:
+    return F.expr(f"count_if({condition}) AS {name}")
 
 
 def risk_inputs(
@@ -83,100 +87,83 @@ def risk_inputs(
     uptime = of_operators(last_days(tables["uptime_logs"], "log_date", 7)).groupBy("operator").agg(
         count.alias("uptime_log_count"),
         _mean("uptime_percentage", 2, "uptime_avg_percentage"),
-        exact_round(F.sum("downtime_minutes"), 1).alias("uptime_downtime_minutes"),
+        F.expr(f"{exact_round_sql('sum(downtime_minutes)', 1)} AS uptime_downtime_minutes"),
         F.sum("outage_count").alias("uptime_outage_count"),
     )
     maintenance = of_operators(
         last_days(tables["maintenance_orders"], "scheduled_date", 14)
     ).groupBy("operator").agg(
         count.alias("maintenance_order_count"),
-        F.count_if(_worded("priority", HIGH_PRIORITY)).alias("maintenance_high_priority_count"),
-        exact_round(F.sum("downtime_minutes"), 1).alias("maintenance_downtime_minutes"),
+        _matching(_worded("priority", HIGH_PRIORITY), "maintenance_high_priority_count"),
+        F.expr(f"{exact_round_sql('sum(downtime_minutes)', 1)} AS maintenance_downtime_minutes"),
     )
     latency = of_operators(last_hours(tables["latency_logs"], "measured_at", hours)).groupBy("operator").agg(
         count.alias("latency_log_count"),
         _mean("packet_loss_percent", 2, "latency_avg_packet_loss"),
-        F.count_if(~F.col("sla_met")).alias("latency_sla_miss_count"),
+        _matching("NOT sla_met", "latency_sla_miss_count"),
     )
     handover = of_operators(
         last_hours(tables["handover_records"], "handover_time", hours)
     ).groupBy("operator").agg(
-        count.alias("handover_count"), F.count_if(~F.col("success")).alias("handover_failure_count")
+        count.alias("handover_count"), _matching("NOT success", "handover_failure_count")
     )
     dropped = of_operators(last_hours(tables["dropped_calls"], "dropped_at", hours)).groupBy("operator").agg(
         count.alias("dropped_call_count"), _mean("signal_strength_dbm", 1, "dropped_avg_signal")
     )
     technician = of_operators(last_days(tables["technician_logs"], "started_at", 7)).groupBy("operator").agg(
         count.alias("technician_activity_count"),
-        F.count_if(~F.col("issue_resolved")).alias("technician_unresolved_count"),
+        _matching("NOT issue_resolved", "technician_unresolved_count"),
     )
     # These two carry no operator: one row for the whole country.
     hardware = last_hours(tables["hardware_sensors"], "sensor_time", hours).agg(
-        F.count_if(F.col("alert_triggered")).alias("hardware_alert_count"),
-        F.count_if(_worded("health_status", BAD_HEALTH)).alias("hardware_bad_health_count"),
+        _matching("alert_triggered", "hardware_alert_count"),
+        _matching(_worded("health_status", BAD_HEALTH), "hardware_bad_health_count"),
     )
     energy = last_days(tables["energy_consumption"], "usage_date", 2).agg(
         _mean("grid_availability_hours", 1, "energy_avg_grid_hours"),
         _mean("generator_runtime_hours", 1, "energy_avg_generator_hours"),
     )
     spark = tables["readings"].sparkSession
-    out = spark.range(1).select(F.explode(F.array(*[F.lit(o) for o in operators])).alias("operator"))
+    out = spark.range(1).selectExpr(f"explode(array({listed(operators)})) AS operator")
     # Every frame joined below has at most one row per listed operator, or exactly one row.
     for stats in (live, qos, events, uptime, maintenance, latency, handover, dropped, technician):
         out = out.join(F.broadcast(stats), "operator", "left")
     out = out.crossJoin(F.broadcast(hardware)).crossJoin(F.broadcast(energy))
-    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in COUNTS})
-
-
-def _points(parts: Sequence[tuple]) -> Column:
-    return reduce(
-        lambda a, b: a + b,
-        [ramp(F.col(column), start, end, points) for _, column, start, end, points in parts],
-    )
+    others = [c for c in out.columns if c not in COUNTS]
+    return out.selectExpr(*others, *[f"coalesce({c}, 0) AS {c}" for c in COUNTS])
 
 
-def contributor_array() -> Column:
+def _contributors_sql() -> str:
     """All contributors with points, in model order; those without points are left out."""
     entries = []
     for rank, (label, source, parts, column, suffix, blank) in enumerate(RISK_CONTRIBUTORS):
-        shown = F.col(column) if blank else F.coalesce(F.col(column), F.lit(0))
-        points = _points(parts)
-        entry = F.struct(
-            F.lit(label).alias("label"),
-            half_up_tenth(points).alias("points"),
-            F.concat(shown.cast("string"), F.lit(suffix)).alias("evidence"),
-            F.lit(source).alias("source"),
-            F.lit(rank).alias("rank"),
+        points = " + ".join(ramp_sql(name, start, end, most) for _, name, start, end, most in parts)
+        shown = column if blank else f"coalesce({column}, 0)"
+        entries.append(
+            f"CASE WHEN {points} > 0 THEN named_struct('label', {quoted(label)}, "
+            f"'points', floor(({points}) * 10 + 0.5D) / 10, "
+            f"'evidence', concat(cast({shown} AS string), {quoted(suffix)}), "
+            f"'source', {quoted(source)}, 'rank', {rank}) END"
         )
-        entries.append(F.when(points > 0, entry))
-    return F.array_compact(F.array(*entries))
+    return f"array_compact(array({', '.join(entries)}))"
 
 
-def _strongest(contributors: Column) -> Column:
+def _strongest_sql(contributors: str) -> str:
     """The top contributors, most points first, equal points in model order."""
-    keyed = F.transform(
-        contributors,
-        lambda c: F.struct((-c["points"]).alias("order"), c["rank"].alias("rank"), c.alias("entry")),
-    )
-    top = F.slice(F.array_sort(keyed), 1, TOP_CONTRIBUTORS)
-    return F.transform(
-        top,
-        lambda k: F.struct(
-            k["entry"]["label"].alias("label"),
-            k["entry"]["points"].alias("points"),
-            k["entry"]["evidence"].alias("evidence"),
-            k["entry"]["source"].alias("source"),
-        ),
+    keyed = f"transform({contributors}, c -> struct(-c.points AS place, c.rank AS rank, c AS entry))"
+    return (
+        f"transform(slice(array_sort({keyed}), 1, {TOP_CONTRIBUTORS}), "
+        "k -> named_struct('label', k.entry.label, 'points', k.entry.points, "
+        "'evidence', k.entry.evidence, 'source', k.entry.source))"
     )
 
 
 def score_risk(inputs: DataFrame) -> DataFrame:
     """Score, band, confidence and top contributors from ``risk_inputs`` rows."""
-    scored = inputs.withColumn("_all", contributor_array())
-    total = F.aggregate(F.col("_all"), F.lit(0.0), lambda acc, c: acc + c["points"])
-    evidence = reduce(lambda a, b: a + b, [F.col(c) for c in EVIDENCE_COUNTS])
-    scored = scored.withColumns(
-        {"score": half_up_tenth(F.least(F.lit(100.0), total)), "evidence_count": evidence.cast("bigint")}
+    scored = inputs.selectExpr("*", f"{_contributors_sql()} AS _all").selectExpr(
+        "*",
+        "floor(least(100D, aggregate(_all, 0D, (sum, c) -> sum + c.points)) * 10 + 0.5D) / 10 AS score",
+        f"cast({' + '.join(EVIDENCE_COUNTS)} AS bigint) AS evidence_count",
     )
     return scored.select(
         "operator",
@@ -184,24 +171,18 @@ def score_risk(inputs: DataFrame) -> DataFrame:
         tier(F.col("score"), RISK_BANDS, "low").alias("band"),
         tier(F.col("evidence_count"), RISK_CONFIDENCE, "low").alias("confidence"),
         "evidence_count",
-        F.struct(
-            F.col("live_sample_count").alias("sample_count"),
-            F.col("live_avg_signal").cast("double").alias("avg_signal"),
-            F.col("live_avg_latency").cast("double").alias("avg_latency"),
-            F.col("live_avg_dl").cast("double").alias("avg_dl"),
+        F.expr(
+            "struct(live_sample_count AS sample_count, cast(live_avg_signal AS double) AS avg_signal, "
+            "cast(live_avg_latency AS double) AS avg_latency, cast(live_avg_dl AS double) AS avg_dl)"
         ).alias("live"),
-        F.struct(
-            F.col("qos_sample_count").alias("qos_samples"),
-            F.col("event_count").alias("network_events"),
-            F.col("uptime_outage_count").alias("uptime_outages"),
-            F.col("hardware_alert_count").alias("hardware_alerts"),
-            F.col("maintenance_order_count").alias("maintenance_orders"),
-            F.col("latency_sla_miss_count").alias("latency_sla_misses"),
-            F.col("handover_failure_count").alias("handover_failures"),
-            F.col("dropped_call_count").alias("dropped_calls"),
-            F.col("technician_unresolved_count").alias("unresolved_technician_jobs"),
+        F.expr(
+            "struct(qos_sample_count AS qos_samples, event_count AS network_events, "
+            "uptime_outage_count AS uptime_outages, hardware_alert_count AS hardware_alerts, "
+            "maintenance_order_count AS maintenance_orders, latency_sla_miss_count AS latency_sla_misses, "
+            "handover_failure_count AS handover_failures, dropped_call_count AS dropped_calls, "
+            "technician_unresolved_count AS unresolved_technician_jobs)"
         ).alias("synthetic"),
-        _strongest(F.col("_all")).alias("contributors"),
+        F.expr(_strongest_sql("_all")).alias("contributors"),
         F.lit(RISK_MODEL).alias("model"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mastlight.functions.numeric import rounded
-from mastlight.operators.levels import grouped_levels
+from mastlight.operators.levels import grouped_levels, top_of_level
 from mastlight.operators.measures import average, rows
 from mastlight.operators.timeslice import as_time, at_or_after, hours_before
 
@@ -47,10 +47,7 @@ def tower_stats_rows(towers: DataFrame) -> DataFrame:
     levels = grouped_levels(
         towers, ["operator", "network", "city"], ["operator", "network", "city", None], [rows("count")]
     )
-    cities = (
-        levels.filter("level = 'city'").orderBy(F.desc("count"), F.asc_nulls_last("key")).limit(TOP_CITIES)
-    )
-    return levels.filter("level <> 'city'").unionByName(cities)
+    return top_of_level(levels, "city", TOP_CITIES, [F.desc("count")])
 
 
 READING_MEASURES = (
@@ -74,12 +71,7 @@ def readings_summary(readings: DataFrame, as_of: dt.datetime | str, hours: int =
         ["operator", "network", "city", None],
         READING_MEASURES,
     )
-    cities = (
-        levels.filter("level = 'city'")
-        .orderBy(F.desc_nulls_first("avg_signal"), F.asc_nulls_last("key"))
-        .limit(SUMMARY_CITIES)
-    )
-    return levels.filter("level <> 'city'").unionByName(cities)
+    return top_of_level(levels, "city", SUMMARY_CITIES, [F.desc_nulls_first("avg_signal")])
 
 
 def readings_by_operator(readings: DataFrame, as_of: dt.datetime | str, hours: int = 1) -> DataFrame:

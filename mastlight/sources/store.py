@@ -99,10 +99,14 @@ class TableStore:
 
         By default a NULL key part never conflicts, so such rows are added at every load.
         """
-        key = TABLES[name].natural_key
-        fresh = absent_from(
-            first_by_key(rows, key, order, nulls_equal), self.read(name), key, nulls_equal
-        )
+        key, event_time = TABLES[name].natural_key, TABLES[name].event_time
+        target = self.read(name)
+        if event_time in key:
+            # Equal keys have equal dates: only the partitions the load touches can hold them.
+            span = rows.agg(F.min(event_time).cast("date").alias("lo"), F.max(event_time).cast("date").alias("hi"))
+            day = F.col(PARTITION_COLUMN)
+            target = target.filter((day >= span.select("lo").scalar()) & (day <= span.select("hi").scalar()))
+        fresh = absent_from(first_by_key(rows, key, order, nulls_equal), target, key, nulls_equal)
         self.append(name, fresh, source)
 
     def replace(self, name: str, rows: DataFrame, source: str | None = None) -> None:

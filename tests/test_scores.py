@@ -17,7 +17,7 @@ def value(spark, column, kind, build):
     (-85.0, (-85, -110, 18), 0.0), (-97.5, (-85, -110, 18), 9.0), (-120.0, (-85, -110, 18), 18.0), (None, (-85, -110, 18), 0.0),
     (12.0, (12, 3, 8), 0.0), (7.5, (12, 3, 8), 4.0), (None, (12, 3, 8), 8.0)])
 def test_ramp(spark, v, ramp, expected):
-    assert value(spark, v, "double", lambda c: scoring.ramp(c, *ramp)) == expected
+    assert value(spark, v, "double", lambda c: F.expr(scoring.ramp_sql("v", *ramp))) == expected
 
 
 @pytest.mark.parametrize("v,band", [(24.9, "low"), (25.0, "medium"), (45.0, "high"), (69.9, "high"), (70.0, "critical")])
