@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from mastlight.operators.measures import Measure, merges, partial_names, partials
 from mastlight.operators.timeslice import at_or_after, before
-from mastlight.session import pinned
+from mastlight.session import written
 
+#: Cell that windows of many smaller cells are put together from.
+LARGER_CELL = {"minute": "hour", "hour": "day"}
 #: Column with the category counts of a window: array of (category, total), unordered.
 CATEGORIES = "_categories"
 
@@ -94,10 +96,13 @@ def _from_edges(
 ) -> DataFrame:
     """Windows as the rest of their first cell, the cells between, and the start of their last cell.
 
-    The first and last cell come from running sums within a cell, and the cells between are summed
-    once for all windows that end in the same cell, so the work is linear in the windows even when
-    many of them crowd into one cell.  Sums are only added, never subtracted.
+    Works in the next larger clock cell.  The first and last cell come from running sums within a
+    cell, and the cells between are summed once for all windows that end in the same cell, so the
+    work is linear in the windows even when many of them crowd into one cell.  Sums are only added,
+    never subtracted.
     """
+    cell = LARGER_CELL[cell]
+    snapped = snapped.withColumn("cell", _floor("part", cell))
     names = partial_names(measures)
     totals = snapped.groupBy(*keys, "cell", *kind).agg(*merges(measures))
     markers = windows.select(
@@ -134,6 +139,7 @@ def _from_edges(
     )
     middles = (
         ends.select(*keys, "_first", "_last").distinct()
+        .filter(f"_first + INTERVAL 2 {cell} <= _last")
         .select(*keys, "_first", "_last", between.alias("cell"))
         .join(totals, [*keys, "cell"])
         .groupBy(*keys, "_first", "_last", *kind)
@@ -151,13 +157,14 @@ def preceding_stats(
     measures: Sequence[Measure],
     cell: str,
     category: str | None = None,
-    bounded: bool = True,
+    bounded: bool = False,
 ) -> DataFrame:
     """Partial aggregates of the facts in each half-open window ``[lower, upper)``.
 
-    ``windows`` has distinct ``keys, lower, upper``, all of one length of at least two cells.
+    ``windows`` has distinct ``keys, lower, upper`` and spans at least two hours for minute cells,
+    two days for hour cells.
     ``bounded`` says that there are few of them (a list limit), so their parts may be broadcast;
-    otherwise the snapped facts are pinned and combined without any broadcast.  Output: keys,
+    otherwise the snapped facts are written to the shared folder and combined without any broadcast.  Output: keys,
     upper, partial columns, and the category counts where there is a ``category``.
     """
     snapped = snap(windows, facts, time, keys, measures, cell, category, bounded)
@@ -165,7 +172,7 @@ def preceding_stats(
     if bounded:
         combined = _from_cells(windows, snapped, keys, kind, cell, measures)
     else:
-        combined = _from_edges(windows, pinned(snapped), keys, kind, cell, measures)
+        combined = _from_edges(windows, written(snapped, "snapped"), keys, kind, cell, measures)
     return _fold(combined, [*keys, "upper"], measures, category)
 
 

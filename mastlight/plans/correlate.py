@@ -131,7 +131,7 @@ def newest_outages(outages: DataFrame, limit: int | str | None = 100) -> DataFra
     return slim.orderBy(F.desc_nulls_first("started_at"), *tie).limit(clamp_limit(limit, 100, 500))
 
 
-def block_summary(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
+def block_summary(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = False) -> DataFrame:
     """Partial aggregates per distinct window (outages that share one are computed once)."""
     block = BLOCKS[name]
     used = {*block.keys, block.time, block.category, PARTITION_COLUMN}
@@ -171,13 +171,13 @@ def _joined(left: DataFrame, name: str, facts: DataFrame, outages: DataFrame, bo
     return left.join(small, BLOCKS[name].window, "left")
 
 
-def block_stats(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
-    """The given outages with one block's columns; ``bounded`` for a limited list of outages."""
+def block_stats(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = False) -> DataFrame:
+    """The given outages with one block's columns; ``bounded`` only for a limited list of outages."""
     out = _joined(_anchored(outages), name, facts, outages, bounded)
     return out.selectExpr(*outages.columns, *_result_sql(BLOCKS[name]))
 
 
-def block_categories(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = True) -> DataFrame:
+def block_categories(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = False) -> DataFrame:
     """Category counts before each outage as rows: outage columns, category, total."""
     out = _joined(_anchored(outages), name, facts, outages, bounded)
     return out.selectExpr(*outages.columns, f"inline({CATEGORIES}_{name})")

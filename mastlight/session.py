@@ -56,3 +56,10 @@ def pinned(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write to a fresh table in the shared folder and read it back."""
+    folder = new_work_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mastlight.fixed_values import FEED_ENTITIES, FEED_SOURCE
 from mastlight.functions import parsing
 from mastlight.schemas import TABLES
-from mastlight.session import new_work_folder
+from mastlight.session import written
 from mastlight.sources.store import TableStore
 
 # --- fixed values: field names of the feed, in order of preference -----------------------------
@@ -53,9 +53,12 @@ def _present(names: Sequence[str]) -> str:
     return f"coalesce({', '.join(choices)})"
 
 
-def read_feed(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
+def read_feed(
+    spark: SparkSession, path: str, per_line: bool = False, streaming: bool = False
+) -> DataFrame:
     """Responses below ``<path>/entity_code=<code>/``: one per file, or one per line."""
-    responses = spark.read.schema("value STRING, entity_code STRING").text(path, wholetext=not per_line)
+    reader = spark.readStream if streaming else spark.read
+    responses = reader.schema("value STRING, entity_code STRING").text(path, wholetext=not per_line)
     # Entities are a fixed list of five, so this lookup is always broadcast.
     entities = spark.createDataFrame(FEED_ENTITIES, "operator STRING, entity_type STRING, entity_code STRING")
     return responses.join(F.broadcast(entities), "entity_code").select(
@@ -123,9 +126,7 @@ def sync_outages(store: TableStore, responses: DataFrame, nulls_equal: bool = Fa
     again at every sync.
     """
     spark = store.spark
-    folder = new_work_folder(spark, "stage-outages")
-    outages_from_feed(responses).write.parquet(folder)
-    found = spark.read.parquet(folder)
+    found = written(outages_from_feed(responses), "stage-outages")
     counted = _rows_per_operator(store, "before").collect()  # one row per feed operator
     store.merge_new("outages", found, ["severity", "duration_min", "raw_data"], nulls_equal=nulls_equal)
     before = spark.createDataFrame(counted, "operator STRING, before BIGINT")

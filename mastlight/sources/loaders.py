@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.session import new_work_folder
+from mastlight.session import written
 from mastlight.sources.layouts import LAYOUTS
 from mastlight.sources.normalise import fill_ids, normalise, normalise_towers
+from mastlight.sources.readings import resolve_towers, sql_time
 from mastlight.sources.rows import (
     POSITION,
     read_headed_csv,
@@ -33,13 +35,6 @@ class LoadReport:
     inserted: int
 
 
-def _stage(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    """Write the parsed rows once; everything after reads columns instead of parsing text again."""
-    folder = new_work_folder(spark, f"stage-{label}")
-    rows.write.parquet(folder)
-    return spark.read.parquet(folder)
-
-
 def _finish(store: TableStore, table: str, staged: DataFrame, rows: DataFrame, source: str | None) -> LoadReport:
     totals = staged.agg(
         F.count("*").alias("parsed"), F.count_if(F.col("_valid")).alias("sent")
@@ -51,10 +46,13 @@ def _finish(store: TableStore, table: str, staged: DataFrame, rows: DataFrame, s
 
 
 def stage_dataset(spark: SparkSession, table: str, path: str, multiline: bool = False) -> DataFrame:
-    """Parse and type one headed file (or a folder of files with one header) into a staged table."""
+    """Parse and type one headed file (or a folder of files with one header) into a staged table.
+
+    Text is parsed once; everything after reads the staged columns.
+    """
     layout = LAYOUTS[table]
     raw = with_position(read_headed_csv(spark, path, multiline))
-    return _stage(spark, normalise(raw, layout, POSITION), table)
+    return written(normalise(raw, layout, POSITION), f"stage-{table}")
 
 
 def load_dataset(
@@ -79,6 +77,17 @@ def load_towers(store: TableStore, path: str, force: bool = False) -> LoadReport
         store.clear("towers")
         store.clear("readings")
     raw = with_position(read_tower_csv(store.spark, path))
-    staged = _stage(store.spark, normalise_towers(raw, POSITION), "towers")
+    staged = written(normalise_towers(raw, POSITION), "stage-towers")
     numbered = with_ordinal(staged, "id").withColumn("id", F.col("id").cast("int"))
     return _finish(store, "towers", staged, numbered, None)
+
+
+def append_readings(store: TableStore, readings: DataFrame) -> None:
+    """Append accepted readings, with towers resolved from the store's tower table."""
+    store.append("readings", resolve_towers(readings, store.read("towers")))
+
+
+def append_speed_tests(store: TableStore, tests: DataFrame, now: dt.datetime | str | None = None) -> None:
+    """Append speed tests as they are; a test without a time gets ``now``."""
+    tested = f"coalesce(tested_at, {sql_time(now)})" if "tested_at" in tests.columns else sql_time(now)
+    store.append("speed_tests", tests.withColumn("tested_at", F.expr(tested)))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from mastlight.operators.measures import merges, partials, results
 from mastlight.plans.correlate import BLOCKS
+from mastlight.sources.feed import outages_from_feed
+from mastlight.sources.store import TableStore
 from mastlight.streaming.runs import event_time, keep_batches
 
 #: Ways the rows of one operator and hour are split over tasks.
@@ -20,6 +22,28 @@ def first_arrivals(stream: DataFrame, key: Sequence[str], time: str, delay: str
     return event_time(stream, time, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+def sync_feed(store: TableStore, responses: DataFrame, checkpoint: str) -> None:
+    """Add the outages of all feed responses that have arrived since the last run.
+
+    Runs to the end of the available responses, so it can be started on any schedule.  Responses
+    may overlap: outages that are known (also open ones) are not added again, which makes a
+    repeated micro-batch harmless too.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        store.merge_new(
+            "outages", outages_from_feed(batch), ["severity", "duration_min", "raw_data"], nulls_equal=True
+        )
+
+    (
+        responses.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
 def track_signals_before(
     outages: DataFrame, readings: DataFrame, path: str, checkpoint: str, delay: str = "1 hour"
 ) -> None:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mastlight.fixed_values import CITIES
+from mastlight.plans.listings import latest_speed_tests
 from mastlight.schemas import TABLES
 from mastlight.session import new_work_folder
 from mastlight.sources import feed, loaders
@@ -57,6 +59,21 @@ def _load_reports(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "load INT, parsed BIGINT, sent BIGINT, skipped BIGINT, inserted BIGINT")
 
 
+def _speed_tests(spark: SparkSession, folder: str) -> DataFrame:
+    store = _store(spark)
+    loaders.append_speed_tests(store, Tables(spark, folder)["speed_tests"], AS_OF)
+    return latest_speed_tests(store.read("speed_tests").select(*TABLES["speed_tests"].columns))
+
+
+def _stored_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Bulk requests appended to a store that holds the loaded towers."""
+    tables, store = Tables(spark, folder), _store(spark)
+    loaders.load_towers(store, raw_files.write_raw_towers(tables))
+    loaders.append_readings(store, bulk_readings(raw_files.bulk_requests(tables), AS_OF))
+    return store.read("readings").groupBy("operator", "network").agg(
+        F.count("*").alias("readings"), F.count("tower_id").alias("located"), F.max("recorded_at").alias("newest"))
+
+
 def _feed_rows(spark: SparkSession, folder: str) -> DataFrame:
     path = raw_files.write_raw_feed(Tables(spark, folder))
     return feed.outages_from_feed(feed.read_feed(spark, path, per_line=True)).drop("raw_data")
@@ -101,6 +118,8 @@ def load_queries() -> dict[str, Query]:
     out["outage_feed_report"] = _feed_report
     out["readings_normalise"] = _device
     out["readings_bulk_requests"] = _bulk
+    out["readings_stored"] = _stored_readings
+    out["speedtests_appended"] = _speed_tests
     return out
 
 
@@ -134,6 +153,17 @@ def load_oracles() -> dict[str, str]:
         f"WITH found AS ({found}) SELECT operator, COUNT(*) AS found, COUNT(*) FILTER (WHERE ended_at IS NULL) AS inserted "
         "FROM found GROUP BY operator")
     out["readings_normalise"] = f"SELECT {columns}, error FROM ({typed}) t"
+    out["speedtests_appended"] = (
+        f"SELECT * EXCLUDE (id) FROM ({duck_view('speed_tests')}) v "
+        "ORDER BY tested_at DESC, server_city, operator, dl_mbps, ul_mbps, ping_ms LIMIT 50")
+    stored_towers = raw_files.loaded_towers_sql("CAST(NULL AS VARCHAR)")
+    out["readings_stored"] = (
+        f"WITH typed AS ({typed}), towers AS ({stored_towers}), known AS (SELECT DISTINCT cell_id FROM towers), "
+        "refused AS (SELECT DISTINCT k // 20 AS request FROM typed WHERE error IS NOT NULL) "
+        "SELECT operator, network, COUNT(*) AS readings, "
+        "COUNT(CASE WHEN COALESCE(t.tower_id, 0) <> 0 OR known.cell_id IS NOT NULL THEN 1 END) AS located, "
+        "MAX(recorded_at) AS newest FROM typed t LEFT JOIN known ON known.cell_id = t.cell_id "
+        "WHERE t.k // 20 NOT IN (SELECT request FROM refused) GROUP BY operator, network")
     out["readings_bulk_requests"] = (
         f"WITH typed AS ({typed}), towers AS ({duck_view('towers')}), "
         "best AS (SELECT cell_id, arg_max(id, samples * 100000 - id) AS found FROM towers GROUP BY cell_id), "

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from mastlight.functions.numeric import rounded
 from mastlight.functions.scoring import freshness_score
 from mastlight.operators.timeslice import as_time
+from mastlight.schemas import TABLES
 from mastlight.session import new_work_folder
+from mastlight.sources import feed
+from mastlight.sources.store import TableStore
 from mastlight.streaming import outages as outage_streams
 from mastlight.streaming import readings as reading_streams
 from mastlight.streaming.runs import append_available
@@ -83,6 +86,15 @@ def _signals(spark: SparkSession, folder: str) -> DataFrame:
     return outage_streams.read_signals_before(spark, path, tables["outages"])
 
 
+def _feed(spark: SparkSession, folder: str) -> DataFrame:
+    path = raw_files.write_raw_feed(Tables(spark, folder))
+    store_path, checkpoint = _folders(spark, "feed")
+    store = TableStore(spark, store_path)
+    responses = feed.read_feed(spark, path, per_line=True, streaming=True)
+    outage_streams.sync_feed(store, responses, checkpoint)
+    return store.read("outages").select(*[c for c in TABLES["outages"].columns if c != "raw_data"])
+
+
 def _freshness(spark: SparkSession, folder: str) -> DataFrame:
     readings = Tables(spark, folder)["readings"]
     age = F.unix_seconds(as_time(AS_OF).cast("timestamp")) - F.unix_seconds(F.col("recorded_at").cast("timestamp"))
@@ -97,6 +109,7 @@ def stream_queries() -> dict[str, Query]:
         "stream_latest_state": _latest,
         "stream_first_arrivals": _arrivals,
         "stream_signals_before_outages": _signals,
+        "stream_outage_feed": _feed,
         "readings_freshness": _freshness,
     }
 
@@ -135,6 +148,7 @@ def stream_oracles() -> dict[str, str]:
         "stream_first_arrivals": over("network_events", sql="SELECT * FROM network_events"),
         "stream_signals_before_outages": over(
             "outages", BLOCK_SQL["readings"][0], steps={"chosen": "SELECT * FROM outages"}, sql=block_sql("readings")),
+        "stream_outage_feed": raw_files.feed_rows_sql(),
         "readings_freshness": over("readings", sql=(
             f"SELECT CASE WHEN age <= 3600 THEN 1e2 WHEN age <= 21600 THEN 75e0 ELSE 5e1 END AS freshness, COUNT(*) AS readings "
             f"FROM (SELECT epoch_us({NOW}) // 1000000 - epoch_us(recorded_at) // 1000000 AS age FROM readings) ages GROUP BY 1")),
