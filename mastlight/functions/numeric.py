@@ -29,3 +29,8 @@ def exact_round_sql(value: str, digits: int) -> str:
 def rounded_sql(value: str, digits: int) -> str:
     """``rounded`` as SQL text over a SQL expression."""
     return f"cast({exact_round_sql(value, digits)} AS double)"
+
+
+def exact_sum_sql(value: str) -> str:
+    """Sum of doubles in decimals: the same however the rows are split, also where rounding is a tie."""
+    return f"sum(cast({value} AS decimal(28,10)))"

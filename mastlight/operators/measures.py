@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mastlight.functions.numeric import rounded_sql
+from mastlight.functions.numeric import exact_sum_sql, rounded_sql
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,8 @@ class Measure:
             return [F.expr(f"count(*) AS {self.name}_n")]
         if self.kind == "matches":
             return [F.expr(f"count_if({self.value}) AS {self.name}_n")]
-        summed = F.expr(f"sum({self.value}) AS {self.name}_s")
+        exact = self.kind == "total" and self.digits is not None
+        summed = F.expr(f"{exact_sum_sql(self.value) if exact else f'sum({self.value})'} AS {self.name}_s")
         return [summed] if self.kind == "total" else [summed, F.expr(f"count({self.value}) AS {self.name}_n")]
 
     def partial_names(self) -> list[str]:

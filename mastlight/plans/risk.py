@@ -18,7 +18,7 @@ from mastlight.fixed_values import (
     RISK_OPERATORS,
     TOP_CONTRIBUTORS,
 )
-from mastlight.functions.numeric import exact_round_sql
+from mastlight.functions.numeric import exact_round_sql, exact_sum_sql
 from mastlight.functions.parsing import listed, quoted
 from mastlight.functions.scoring import ramp_sql, tier
 from mastlight.operators.listing import leading_int
@@ -87,7 +87,7 @@ def risk_inputs(
     uptime = of_operators(last_days(tables["uptime_logs"], "log_date", 7)).groupBy("operator").agg(
         count.alias("uptime_log_count"),
         _mean("uptime_percentage", 2, "uptime_avg_percentage"),
-        F.expr(f"{exact_round_sql('sum(downtime_minutes)', 1)} AS uptime_downtime_minutes"),
+        F.expr(f"{exact_round_sql(exact_sum_sql('downtime_minutes'), 1)} AS uptime_downtime_minutes"),
         F.sum("outage_count").alias("uptime_outage_count"),
     )
     maintenance = of_operators(
@@ -95,7 +95,7 @@ def risk_inputs(
     ).groupBy("operator").agg(
         count.alias("maintenance_order_count"),
         _matching(_worded("priority", HIGH_PRIORITY), "maintenance_high_priority_count"),
-        F.expr(f"{exact_round_sql('sum(downtime_minutes)', 1)} AS maintenance_downtime_minutes"),
+        F.expr(f"{exact_round_sql(exact_sum_sql('downtime_minutes'), 1)} AS maintenance_downtime_minutes"),
     )
     latency = of_operators(last_hours(tables["latency_logs"], "measured_at", hours)).groupBy("operator").agg(
         count.alias("latency_log_count"),

@@ -32,7 +32,8 @@ def avg(column: str, digits: int) -> str:
 
 
 def total(column: str, digits: int) -> str:
-    return rnd(f"SUM({column})", digits)
+    # Exact, so that the result does not depend on the order of addition.
+    return rnd(f"SUM(CAST({column} AS DECIMAL(28,10)))", digits)
 
 
 def listed(name: str, where: str, limit: int) -> str:
