@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mastlight.functions.geo import KM_PER_DEGREE, distance_km
@@ -13,38 +13,33 @@ from mastlight.functions.geo import KM_PER_DEGREE, distance_km
 GRID_DEGREES = 0.5
 
 
-def _grid(value: Column) -> Column:
-    return F.floor(value / GRID_DEGREES).cast("int")
-
-
-def _reach(lat: Column, radius_km: Column) -> tuple[Column, Column]:
-    """Half height and half width in degrees of a box that surely holds the circle."""
-    high = radius_km / KM_PER_DEGREE * 1.0001 + 1e-6
-    ratio = F.sin(F.radians(high)) / F.cos(F.radians(lat))
-    wide = F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.0001 + 1e-6
-    polar = (F.abs(lat) + high >= 89.9) | (ratio >= 1)
-    return high, F.when(polar, F.lit(180.0)).otherwise(wide)
+def _grid(value: str) -> str:
+    return f"cast(floor(({value}) / {GRID_DEGREES}D) AS int)"
 
 
 def covering_cells(destinations: DataFrame) -> DataFrame:
     """Destinations (dest_id, lat, lon, radius_km) repeated for every grid cell their circle may meet."""
-    high, wide = _reach(F.col("lat"), F.col("radius_km"))
-    # Longitudes are compared on a circle: shift by whole turns and keep cells of -180..180.
-    west, east = F.col("lon") - wide, F.col("lon") + wide
-    turns = F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0))).alias("turn")
-    boxed = destinations.select("*", west.alias("_west"), east.alias("_east"), turns)
-    left = F.greatest(F.col("_west") + F.col("turn"), F.lit(-180.0))
-    right = F.least(F.col("_east") + F.col("turn"), F.lit(180.0))
-    boxed = boxed.select("*", left.alias("_left"), right.alias("_right")).filter("_left <= _right")
-    rows = F.sequence(
-        _grid(F.greatest(F.lit(-90.0), F.col("lat") - high)), _grid(F.least(F.lit(90.0), F.col("lat") + high))
+    # Half height and half width in degrees of a box that surely holds the circle.
+    high = f"(radius_km / {KM_PER_DEGREE!r}D * 1.0001D + 1E-6D)"
+    ratio = "sin(radians(_high)) / cos(radians(lat))"
+    wide = (
+        f"CASE WHEN abs(lat) + _high >= 89.9D OR {ratio} >= 1 THEN 180D "
+        f"ELSE degrees(asin({ratio})) * 1.0001D + 1E-6D END"
     )
-    columns = F.sequence(_grid(F.col("_left")), _grid(F.col("_right")))
-    out = boxed.select(*destinations.columns, rows.alias("_rows"), columns.alias("_columns"))
-    out = out.select(*destinations.columns, F.explode("_rows").alias("gy"), "_columns")
-    # Neighbouring turns can name the same cell at the date line.
-    return out.select(*destinations.columns, "gy", F.explode("_columns").alias("gx")).dropDuplicates(
-        ["dest_id", "gy", "gx"]
+    rows = f"sequence({_grid('greatest(-90D, lat - _high)')}, {_grid('least(90D, lat + _high)')})"
+    # Longitudes lie on a circle: shift the box by whole turns and keep what falls in -180..180.
+    west, east = "greatest(lon - _wide + turn, -180D)", "least(lon + _wide + turn, 180D)"
+    columns = (
+        "array_distinct(flatten(transform(array(-360D, 0D, 360D), turn -> "
+        f"CASE WHEN {west} <= {east} THEN sequence({_grid(west)}, {_grid(east)}) ELSE cast(array() AS array<int>) END)))"
+    )
+    kept = destinations.columns
+    return (
+        destinations.selectExpr("*", f"{high} AS _high")
+        .selectExpr("*", f"{wide} AS _wide")
+        .selectExpr(*kept, f"{rows} AS _rows", f"{columns} AS _columns")
+        .selectExpr(*kept, "_columns", "explode(_rows) AS gy")
+        .selectExpr(*kept, "gy", "explode(_columns) AS gx")
     )
 
 
@@ -58,7 +53,7 @@ def within_radius(
     cells = covering_cells(destinations.select("dest_id", "lat", "lon", "radius_km")).select(
         "dest_id", "radius_km", "gy", "gx", F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon")
     )
-    placed = points.withColumns({"gy": _grid(F.col("lat")), "gx": _grid(F.col("lon"))})
+    placed = points.selectExpr("*", f"{_grid('lat')} AS gy", f"{_grid('lon')} AS gx")
     apart = distance_km(F.col("_dlat"), F.col("_dlon"), F.col("lat"), F.col("lon"))
     return (
         placed.join(cells, ["gy", "gx"])

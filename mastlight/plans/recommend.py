@@ -17,6 +17,7 @@ from mastlight.operators.geo_radius import within_radius
 from mastlight.operators.listing import leading_int
 from mastlight.operators.measures import average, merges, partials, results, rows
 from mastlight.operators.timeslice import as_time, at_or_after, hours_before
+from mastlight.session import written
 
 LIVE_MEASURES = (
     rows("sample_count"),
@@ -143,6 +144,8 @@ def recommend_for(
         LIVE_WEIGHTS,
         "live_readings",
     )
+    # Read twice below, so it is written once: readings are scanned a single time.
+    live = written(live, "live-providers")
     unserved = destinations.join(live.select("dest_id").distinct(), "dest_id", "left_anti")
     fallback = rank_providers(
         coverage_evidence(unserved, tables["coverage_data"]), COVERAGE_WEIGHTS, "synthetic_coverage"
