@@ -33,10 +33,8 @@ COVERAGE_MEASURES = (
     average("avg_dl", "download_speed_mbps", 1),
     average("avg_ul", "upload_speed_mbps", 1),
 )
-COVERAGE_NOTE = (
-    "Recommendation uses synthetic coverage data because no recent live readings were found nearby."
-)
-NOTHING_NOTE = "No recent readings or synthetic coverage samples found near this destination."
+COVERAGE_NOTE = "Based on synthetic coverage: no recent live reading lies nearby."
+NOTHING_NOTE = "Neither a recent reading nor a coverage sample lies nearby."
 PROVIDER_COLUMNS = (
     "dest_id", "place", "operator", "score", "sample_count", "avg_signal", "avg_latency",
     "avg_dl", "avg_ul", "nearest_km", "source", "confidence",

@@ -12,8 +12,10 @@ from mastlight.functions import parsing
 from mastlight.operators.latest import best_tower_per_cell
 from mastlight.schemas import TABLES
 
+# --- fixed values: reasons for refusing a reading ------------------------------------------------
 SIGNAL_ERROR = "signal_dbm is required and must be numeric"
 TIME_ERROR = "recorded_at must be a valid date/time"
+
 MEASURES = ("signal_dbm", "dl_mbps", "ul_mbps", "rsrp", "rsrq")
 PLAIN = ("tower_id", "cell_id", "city", "operator", "network", "latency_ms")
 

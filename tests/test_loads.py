@@ -219,3 +219,30 @@ def test_resolving_towers(spark):
         got = [(r.cell_id, r.tower_id) for r in resolve_towers(readings, towers).collect()]
         assert sorted(got, key=str) == sorted([(50, 2), (60, 4), (50, 9), (0, None), (None, None), (70, None)], key=str)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_appending_readings_and_speed_tests(spark, store, tmp_path):
+    loaders.load_towers(store, write(tmp_path, TOWERS))
+    loaders.append_readings(store, bulk_readings(lines(spark, {"readings": [{"signal_dbm": -80, "cell_id": 500}]}), NOW))
+    got = store.read("readings").first()
+    assert (got.tower_id, got.cell_id, got.recorded_at) == (1, 500, dt.datetime(2024, 1, 31))
+    ddl = "server_city string, operator string, dl_mbps double, ul_mbps double, ping_ms double, jitter_ms double, rating string"
+    row = ("Lagos", "MTN", 1.0, 2.0, 3.0, 4.0, "good")
+    loaders.append_speed_tests(store, spark.createDataFrame([row], ddl), NOW)
+    timed = spark.createDataFrame([(*row, dt.datetime(2024, 1, 1)), (*row, None)], f"{ddl}, tested_at timestamp_ntz")
+    loaders.append_speed_tests(store, timed, NOW)
+    times = sorted(r.tested_at for r in store.read("speed_tests").collect())
+    assert times == [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31), dt.datetime(2024, 1, 31)]
+
+
+def test_feed_stream_takes_overlapping_responses(spark, store, tmp_path):
+    from mastlight.streaming.outages import sync_feed
+
+    check = str(tmp_path / "check")
+    for part, rows in enumerate(([{"start": 100}, {"start": 200, "end": 300}], [{"start": 100}, {"start": 400}])):
+        path = put_feed(tmp_path, json.dumps(rows))
+        (tmp_path / "feed" / "entity_code=29465" / "response.json").rename(
+            tmp_path / "feed" / "entity_code=29465" / f"response-{part}.json")
+        sync_feed(store, feed.read_feed(spark, path, streaming=True), check)
+    starts = sorted(int((r.started_at - dt.datetime(1970, 1, 1)).total_seconds()) for r in store.read("outages").collect())
+    assert starts == [100, 200, 400]

@@ -456,9 +456,9 @@ def core_oracles() -> dict[str, str]:
         "recommend_destinations": _recommend(ALL_PLACES, 48, PROVIDERS),
         "recommend_destinations_summary": _recommend(ALL_PLACES, 48, (
             "SELECT d.dest_id, COALESCE(p.confidence, 'low') AS confidence, p.operator AS best_provider, "
-            "p.score AS best_score, p.source, CASE WHEN p.source = 'synthetic_coverage' THEN 'Recommendation uses "
-            "synthetic coverage data because no recent live readings were found nearby.' WHEN p.source IS NULL THEN "
-            "'No recent readings or synthetic coverage samples found near this destination.' END AS note "
+            "p.score AS best_score, p.source, CASE WHEN p.source = 'synthetic_coverage' THEN 'Based on synthetic "
+            "coverage: no recent live reading lies nearby.' WHEN p.source IS NULL THEN "
+            "'Neither a recent reading nor a coverage sample lies nearby.' END AS note "
             "FROM destinations d LEFT JOIN (SELECT * FROM providers WHERE place = 1) p USING (dest_id)")),
     }
     for name in LISTS:
