@@ -5,9 +5,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import TABLES, rows_of
+from workload.registry import all_oracles, all_queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
