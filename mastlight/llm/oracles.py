@@ -12,10 +12,10 @@ win AS (
     SELECT DISTINCT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS g
     FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT len(g) AS n FROM win),
-at AS (
+places AS (
     SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS g
     FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
-hits AS (SELECT doc_id, item_id, n, i FROM at JOIN win USING (g)),
+hits AS (SELECT doc_id, item_id, n, i FROM places JOIN win USING (g)),
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
 items AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
@@ -27,11 +27,11 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 OP7 = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2]))::BIGINT AS score
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10

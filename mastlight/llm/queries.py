@@ -12,7 +12,6 @@ from mastlight.llm import (decontaminate, language, neardup, pieces, pii, qualit
 from mastlight.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
-EMPTY = F.lit("").cast("string")
 
 
 def remainder(of: int) -> Column:
