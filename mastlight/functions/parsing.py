@@ -15,6 +15,16 @@ _DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _RADIX = (("^0[xX][0-9a-fA-F]+$", 16), ("^0[oO][0-7]+$", 8), ("^0[bB][01]+$", 2))
 _LEADING_INT = "^[ \t]*([+-]?[0-9]+)"
 _LEADING_FLOAT = "^[ \t]*([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?)"
+#: Blank characters that are stripped from both ends of a text.
+BLANKS = (
+    "\t\n\v\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f"
+    "\u3000\ufeff"
+)
+SLASH_DATES = ("yyyy/M/d", "M/d/yyyy")
+NAMED_DATES = ("d MMM yyyy", "MMM d yyyy")
+MONTHS = r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\b"
+WEEKDAY = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
+ZONE = r"(?i)\s*\b(gmt|utc|z)([+]0000)?$"
 _MAX_DOUBLE = "1.7976931348623157E308D"
 _MAX_MILLIS = "8.64E15D"
 
@@ -35,13 +45,18 @@ def first_present(available: Sequence[str], names: Sequence[str]) -> str:
     return f"coalesce({', '.join(found)})" if found else "cast(NULL AS string)"
 
 
+def stripped(text: str) -> str:
+    """The text without blank characters (tabs, line breaks and wide blanks too) at either end."""
+    return f"trim(BOTH {quoted(BLANKS)} FROM {text})"
+
+
 def _finite(value: str) -> str:
     return f"CASE WHEN abs({value}) <= {_MAX_DOUBLE} THEN {value} END"
 
 
 def number(text: str) -> str:
     """Strict number: the whole trimmed text must be a finite literal.  Empty or NULL gives NULL."""
-    trimmed = f"trim({text})"
+    trimmed = stripped(text)
     radixes = " ".join(
         f"WHEN {trimmed} RLIKE {quoted(pattern)} THEN try_cast(conv(substring({trimmed}, 3), {radix}, 10) AS double)"
         for pattern, radix in _RADIX
@@ -72,7 +87,7 @@ def clamp(value: str, low: float, high: float) -> str:
 
 def clean_text(text: str, fallback: str, length: int) -> str:
     """Trimmed text, ``fallback`` when empty, cut to ``length`` characters."""
-    return f"substring(coalesce(nullif(trim({text}), ''), {quoted(fallback)}), 1, {length})"
+    return f"substring(coalesce(nullif({stripped(text)}, ''), {quoted(fallback)}), 1, {length})"
 
 
 def network_generation(text: str, unknown: str | None = None) -> str:
@@ -91,22 +106,31 @@ def network_parameter(value: str) -> str:
 def boolean(text: str, words: str = "plain") -> str:
     """Three-valued boolean from a word list of ``BOOLEAN_WORDS``."""
     yes, no = BOOLEAN_WORDS[words]
-    raw = f"lower(trim({text}))"
+    raw = f"lower({stripped(text)})"
     return f"CASE WHEN {raw} IN ({listed(yes)}) THEN true WHEN {raw} IN ({listed(no)}) THEN false END"
 
 
 def timestamp(text: str) -> str:
     """UTC wall time of a date/time text, to the millisecond.
 
-    Reads ISO forms, and slash dates year- or month-first.
+    Reads ISO forms, slash dates year- or month-first (24 or 12 hours), and dates with an English month name, with or
+    without weekday and a final GMT, UTC or Z.
     """
-    raw = f"trim({text})"
-    slashed = ", ".join(
-        f"try_to_timestamp({raw}, '{form}[ H:mm[:ss]]')" for form in ("yyyy/M/d", "M/d/yyyy")
-    )
+    raw = stripped(text)
+
+    def tried(value: str, forms: Sequence[str], clocks: Sequence[str]) -> str:
+        return ", ".join(f"try_to_timestamp({value}, {quoted(form + clock)})" for form in forms for clock in clocks)
+
+    slashed = tried(f"upper({raw})", SLASH_DATES, ("[ H:mm[:ss]]", " h:mm[:ss] a"))
+    # Weekday, commas and the zone go; the month is cut to three letters.
+    bare = f"regexp_replace({raw}, {quoted(WEEKDAY)}, '')"
+    bare = f"regexp_replace(regexp_replace({bare}, {quoted(ZONE)}, ''), '[, ]+', ' ')"
+    bare = f"regexp_replace(initcap({bare}), '([A-Z][a-z]{{2}})[a-z]*', '$1')"
+    named = tried(bare, NAMED_DATES, ("[ H:mm[:ss]]",))
     parsed = (
         f"CASE WHEN {raw} RLIKE '^[0-9]{{4}}(-|$)' THEN try_cast({raw} AS timestamp) "
-        f"WHEN contains({raw}, '/') THEN coalesce({slashed}) END"
+        f"WHEN contains({raw}, '/') THEN coalesce({slashed}) "
+        f"WHEN {raw} RLIKE {quoted(MONTHS)} THEN coalesce({named}) END"
     )
     return f"cast(date_trunc('millisecond', {parsed}) AS timestamp_ntz)"
 

@@ -35,11 +35,11 @@ READING_COLUMNS = (
 
 
 def latest_readings(readings: DataFrame, limit: int | str | None = 10000) -> DataFrame:
-    """Newest reading per entity, the first ``limit`` entities in key order (1..20000)."""
-    from mastlight.operators.listing import clamp_limit
+    """Newest reading per entity, the first ``limit`` entities in key order (1..20000; None: all)."""
+    from mastlight.operators.listing import capped
 
     tie = [F.desc("id")] if "id" in readings.columns else []
     keyed = readings.withColumn("_entity", entity_key(readings))
     newest = pick_first(keyed, ["_entity"], [F.desc_nulls_first("recorded_at"), *tie])
     columns = [c for c in READING_COLUMNS if c in readings.columns]
-    return newest.orderBy("_entity").limit(clamp_limit(limit, 10000, 20000)).select(*columns)
+    return capped(newest.orderBy("_entity"), limit, 10000, 20000).select(*columns)

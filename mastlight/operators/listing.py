@@ -26,6 +26,11 @@ def clamp_limit(value: object, default: int, most: int) -> int:
     return min(max(leading_int(value) or default, 1), most)
 
 
+def capped(df: DataFrame, value: object, default: int, most: int) -> DataFrame:
+    """At most as many rows as the parameter says; None means all."""
+    return df if value is None else df.limit(clamp_limit(value, default, most))
+
+
 def parse_time(name: str, value: object) -> dt.datetime:
     """UTC wall time of a parameter; refuses what is not a date/time."""
     if isinstance(value, dt.datetime):
@@ -134,7 +139,7 @@ def ordering(pairs: Sequence[tuple[str, str]]) -> list[Column]:
 
 
 def listing(df: DataFrame, spec: ListSpec, params: Mapping[str, object] | None = None) -> DataFrame:
-    """Run a list query; columns the frame lacks come out as NULL text."""
+    """Run a list query; columns the frame lacks come out as NULL text.  ``limit=None`` lists all rows."""
     params = params or {}
     unknown = set(params) - {m.param for m in spec.matches} - {"limit", "from", "until", "bbox"}
     if unknown:
@@ -142,10 +147,13 @@ def listing(df: DataFrame, spec: ListSpec, params: Mapping[str, object] | None =
     for condition in conditions(spec, params, PARTITION_COLUMN in df.columns):
         df = df.filter(condition)
     wanted = params.get("limit", spec.default_limit)
+    ordered = df.select(*spec.columns).orderBy(*ordering(spec.sort_columns()))
+    if wanted is None:
+        return ordered
     if spec.most is None:
         limit = leading_int(wanted)
         if limit is None:
             raise ValueError("limit must be a number")
     else:
         limit = clamp_limit(wanted, spec.default_limit, spec.most)
-    return df.select(*spec.columns).orderBy(*ordering(spec.sort_columns())).limit(limit)
+    return ordered.limit(limit)

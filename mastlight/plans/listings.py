@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastlight.operators.listing import ListSpec, Match, clamp_limit, listing, ordering, same
+from mastlight.operators.listing import ListSpec, Match, capped, listing, ordering, same
 from mastlight.operators.timeslice import as_time, at_or_after
 from mastlight.schemas import PARTITION_COLUMN, TABLES
 
@@ -151,11 +151,12 @@ def run_list(name: str, df: DataFrame, **params: object) -> DataFrame:
 SPEED_TEST_LIMIT = 50
 
 
-def latest_speed_tests(speed_tests: DataFrame) -> DataFrame:
-    """The newest speed tests with all their columns."""
+def latest_speed_tests(speed_tests: DataFrame, limit: int | None = SPEED_TEST_LIMIT) -> DataFrame:
+    """The newest speed tests with all their columns; ``limit=None`` lists all."""
     columns = [c for c in speed_tests.columns if c != PARTITION_COLUMN]
     order = [("tested_at", NEWEST), *((c, A_TO_Z) for c in columns if c != "tested_at")]
-    return speed_tests.select(*columns).orderBy(*ordering(order)).limit(SPEED_TEST_LIMIT)
+    ordered = speed_tests.select(*columns).orderBy(*ordering(order))
+    return ordered if limit is None else ordered.limit(limit)
 
 
 OUTAGE_COLUMNS = (
@@ -173,7 +174,7 @@ def list_outages(
     min_severity: float | str | None = 0,
     limit: int | str | None = 200,
 ) -> DataFrame:
-    """Newest outages that started in a range of epoch seconds (default: the last 7 days)."""
+    """Newest outages that started in a range of epoch seconds (default: the last 7 days); ``limit=None`` lists all."""
     now = as_time(as_of)
     upper = F.timestamp_seconds(F.lit(float(until))).cast("timestamp_ntz") if until else now
     lower = (
@@ -192,4 +193,4 @@ def list_outages(
         rows = rows.filter(F.col("severity") >= least)
     columns = [c for c in OUTAGE_COLUMNS if c in outages.columns]
     order = [("started_at", NEWEST), *((c, A_TO_Z) for c in columns if c != "started_at")]
-    return rows.select(*columns).orderBy(*ordering(order)).limit(clamp_limit(limit, 200, 500))
+    return capped(rows.select(*columns).orderBy(*ordering(order)), limit, 200, 500)

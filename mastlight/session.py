@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,10 +37,13 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (plain local tests) is one made, and recorded on the session.
+    Only where the setting is absent on a local master is one made, and recorded on the session; on a cluster a
+    folder of the driver's machine would be out of the executors' reach.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="mastlight-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -66,9 +66,23 @@ def read_feed(
     )
 
 
-def outages_from_feed(responses: DataFrame) -> DataFrame:
-    """Rows of the outages table from ``operator, entity_type, entity_code, body`` responses."""
+#: Place of a feed row: response, event within it, signal within that.
+PLACE = ("_response", "_event", "_signal")
+
+
+def outages_from_feed(responses: DataFrame, places: bool = False) -> DataFrame:
+    """Rows of the outages table from ``operator, entity_type, entity_code, body`` responses.
+
+    ``places`` adds the columns of PLACE, by which the first of equal rows is known; responses count in the order in which
+    they are read, so the result must be written before it is used twice, and it must not be a stream.
+    """
     entity = ("operator", "entity_type", "entity_code")
+    where = list(PLACE[:2]) if places else []
+    if places:
+        responses = responses.withColumn("_response", F.monotonically_increasing_id())
+        entity_ = (*entity, "_response")
+    else:
+        entity_ = entity
     # A container that is there but holds no list stands for no rows.
     inside = [
         f"CASE WHEN schema_of_variant({_variant(n, 'body')}) <> 'VOID' THEN "
@@ -77,13 +91,14 @@ def outages_from_feed(responses: DataFrame) -> DataFrame:
     ]
     listed = f"coalesce(try_variant_get(body, '$', 'array<variant>'), {', '.join(inside)})"
     rows = (
-        responses.selectExpr(*entity, "try_parse_json(body) AS body")
-        .selectExpr(*entity, f"{listed} AS listed")
-        .selectExpr(*entity, "explode(listed) AS row")
+        responses.selectExpr(*entity_, "try_parse_json(body) AS body")
+        .selectExpr(*entity_, f"{listed} AS listed")
+        .selectExpr(*entity_, "posexplode(listed) AS (_event, row)")
     )
     # Texts first and types after, so that no look-up is repeated.
     texts = rows.selectExpr(
         *entity,
+        *where,
         f"{_truthy(START_NAMES)} AS start_text",
         f"{_truthy(END_NAMES)} AS end_text",
         f"{_present(SEVERITY_NAMES)} AS level",
@@ -105,6 +120,7 @@ def outages_from_feed(responses: DataFrame) -> DataFrame:
     )
     typed = numbers.selectExpr(
         *entity,
+        *where,
         f"'{FEED_SOURCE}' AS source",
         f"coalesce({severity}, 0D) AS severity",
         f"{names} AS signals",
@@ -114,21 +130,21 @@ def outages_from_feed(responses: DataFrame) -> DataFrame:
     ).filter("started_at IS NOT NULL")
     return typed.selectExpr(
         "*",
-        "explode(signals) AS signal_type",
+        "posexplode(signals) AS (_signal, signal_type)",
         f"{parsing.minutes_between('started_at', 'ended_at')} AS duration_min",
-    ).select(*TABLES["outages"].columns)
+    ).select(*TABLES["outages"].columns, *(PLACE if places else ()))
 
 
 def sync_outages(store: TableStore, responses: DataFrame, nulls_equal: bool = False) -> DataFrame:
     """Add new outages and report found and inserted rows per operator.
 
-    ``nulls_equal`` also recognises an outage that is still open; by default such rows are added
+    Of equal keys the first in the responses wins.  ``nulls_equal`` also recognises an outage that is still open; by default such rows are added
     again at every sync.
     """
     spark = store.spark
-    found = written(outages_from_feed(responses), "stage-outages")
+    found = written(outages_from_feed(responses, places=True), "stage-outages")
     counted = _rows_per_operator(store, "before").collect()  # one row per feed operator
-    store.merge_new("outages", found, ["severity", "duration_min", "raw_data"], nulls_equal=nulls_equal)
+    store.merge_new("outages", found, PLACE, nulls_equal=nulls_equal)
     before = spark.createDataFrame(counted, "operator STRING, before BIGINT")
     return (
         found.groupBy("operator").agg(F.count("*").alias("found"))

@@ -30,6 +30,7 @@ def read_headed_csv(spark: SparkSession, path: str, multiline: bool = False) ->
         .option("ignoreTrailingWhiteSpace", True)
         .option("escape", '"')
         .option("multiLine", multiline)
+        .option("enforceSchema", False)  # files of a folder must have the same header, or reading fails
         .csv(path)
     )
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from mastlight.operators.measures import merges, partials, results
 from mastlight.plans.correlate import BLOCKS
-from mastlight.sources.feed import outages_from_feed
+from mastlight.session import written
+from mastlight.sources.feed import PLACE, outages_from_feed
 from mastlight.sources.store import TableStore
 from mastlight.streaming.runs import event_time, keep_batches
 
@@ -31,9 +32,8 @@ def sync_feed(store: TableStore, responses: DataFrame, checkpoint: str) -> None:
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        store.merge_new(
-            "outages", outages_from_feed(batch), ["severity", "duration_min", "raw_data"], nulls_equal=True
-        )
+        found = written(outages_from_feed(batch, places=True), "stage-outages")
+        store.merge_new("outages", found, PLACE, nulls_equal=True)
 
     (
         responses.writeStream.foreachBatch(merge)

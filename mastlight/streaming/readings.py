@@ -15,15 +15,23 @@ from mastlight.streaming.runs import append_available, event_time, keep_batches
 
 
 def ingest_readings(
-    lines: DataFrame, towers: DataFrame, path: str, checkpoint: str, now: dt.datetime | str | None = None
+    lines: DataFrame, towers: DataFrame, path: str, checkpoint: str, now: dt.datetime | str | None = None,
+    refused_path: str | None = None,
 ) -> None:
     """Normalise JSON lines, resolve towers against the static table, append by date.
 
-    Refused readings are left out.
+    Refused readings are appended, with the line and the reason, below ``refused_path`` (by default a folder
+    ``<path>_refused``), from the same lines and with a checkpoint of their own.
     """
     accepted = device_readings(lines, now).filter("error IS NULL").select(*TABLES["readings"].columns)
     dated = resolve_towers(accepted, towers).withColumn(PARTITION_COLUMN, F.col("recorded_at").cast("date"))
     append_available(dated, path, checkpoint, PARTITION_COLUMN)
+    append_available(refused_readings(lines, now), refused_path or f"{path.rstrip('/')}_refused", f"{checkpoint.rstrip('/')}_refused")
+
+
+def refused_readings(lines: DataFrame, now: dt.datetime | str | None = None) -> DataFrame:
+    """The lines that hold no acceptable reading, with the reason."""
+    return device_readings(lines, now, keep="value AS line").filter("error IS NOT NULL").select("line", "error")
 
 
 MEASURES = (

@@ -246,3 +246,48 @@ def test_feed_stream_takes_overlapping_responses(spark, store, tmp_path):
         sync_feed(store, feed.read_feed(spark, path, streaming=True), check)
     starts = sorted(int((r.started_at - dt.datetime(1970, 1, 1)).total_seconds()) for r in store.read("outages").collect())
     assert starts == [100, 200, 400]
+
+
+def test_refusals_are_listed(spark, tmp_path):
+    from mastlight.sources.readings import LENGTH_ERROR, SIGNAL_ERROR, TIME_ERROR, UNREADABLE_ERROR, bulk_refusals
+    from mastlight.streaming.readings import ingest_readings
+
+    good, bad, late = {"signal_dbm": -80}, {"signal_dbm": "x"}, {"signal_dbm": -80, "recorded_at": "soon"}
+    requests = lines(spark, {"readings": [good]}, {"readings": [good, bad, late]}, {"readings": [late]}, {"other": 1}, "junk",
+                     {"readings": [good] * 1001}, {"readings": []})
+    got = sorted(((r.position, r.error) for r in bulk_refusals(requests, NOW).collect()), key=str)
+    assert got == sorted([(1, SIGNAL_ERROR), (0, TIME_ERROR), (None, UNREADABLE_ERROR), (None, UNREADABLE_ERROR), (None, LENGTH_ERROR)], key=str)
+    assert bulk_readings(requests, NOW, most=None).count() == 1002 and bulk_refusals(requests, NOW, most=None).count() == 4
+    with pytest.raises(ValueError, match="signal_dbm|recorded_at|list|many"):
+        bulk_readings(requests, NOW, strict=True)
+    assert bulk_readings(lines(spark, {"readings": [good]}), NOW, strict=True).count() == 1
+    source = tmp_path / "lines"
+    source.mkdir()
+    (source / "a.json").write_text("\n".join(json.dumps(x) for x in (good, bad, late)))
+    towers = spark.createDataFrame([], "id int, cell_id bigint, samples int")
+    ingest_readings(spark.readStream.text(str(source)), towers, str(tmp_path / "out"), str(tmp_path / "check"), NOW)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    refused = spark.read.parquet(str(tmp_path / "out_refused")).collect()
+    assert sorted((json.loads(r.line) == bad, r.error) for r in refused) == [(False, TIME_ERROR), (True, SIGNAL_ERROR)]
+
+
+def test_first_of_equal_feed_rows_wins_and_open_ones_stay(spark, store, tmp_path):
+    rows = [{"start": 100, "end": 200, "severity": 90}, {"start": 100, "end": 200, "severity": 10}, {"start": 300}, {"start": 300}]
+    path = put_feed(tmp_path, json.dumps(rows))
+    report = feed.sync_outages(store, feed.read_feed(spark, path)).collect()
+    assert [(r.found, r.inserted) for r in report] == [(4, 3)]
+    got = sorted((r.severity, r.ended_at is None) for r in store.read("outages").collect())
+    assert got == [(0.0, True), (0.0, True), (90.0, False)]
+
+
+def test_headers_of_a_folder_must_agree(spark, tmp_path):
+    from mastlight.sources.rows import read_headed_csv
+
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "a.csv").write_text("metric_id,operator\n1,MTN\n")
+    (folder / "b.csv").write_text("operator,metric_id\nGlo,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_headed_csv(spark, str(folder)).collect()
+    (folder / "b.csv").write_text("metric_id,operator\n2,Glo\n")
+    assert sorted(r.metric_id for r in read_headed_csv(spark, str(folder)).collect()) == ["1", "2"]

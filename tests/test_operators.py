@@ -195,3 +195,24 @@ def test_outages_default_to_the_last_week(spark):
     assert [r.id for r in list_outages(df, START, operator="Glo").collect()] == []
     epoch = (START - dt.datetime(1970, 1, 1)).total_seconds()
     assert [r.id for r in list_outages(df, START, from_=epoch - 8 * 86400, until=epoch - 1).collect()] == [2, 3]
+
+
+def test_no_limit_lists_everything(spark):
+    from mastlight.operators.latest import latest_readings
+    from mastlight.plans.listings import latest_speed_tests
+
+    df = spark.range(3000).selectExpr("cast(id AS int) AS tower_id", "timestamp_ntz'2024-01-01' AS recorded_at", "id",
+                                      *[f"cast(NULL AS string) AS {c}" for c in ("city", "operator", "network")], "0L AS cell_id")
+    assert latest_readings(df, None).count() > latest_readings(df, 5).count() == 5
+    tests = spark.range(60).selectExpr("id", "timestamp_ntz'2024-01-01' AS tested_at")
+    assert latest_speed_tests(tests).count() == 50 and latest_speed_tests(tests, None).count() == 60
+
+
+def test_clusters_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from mastlight.session import shared_folder
+
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(session)

@@ -105,3 +105,26 @@ def test_first_present_skips_absent_and_empty(spark):
     df = spark.createDataFrame([("", "b", "c")], "x string, y string, z string")
     assert df.selectExpr(f"{parsing.first_present(df.columns, ['w', 'x', 'y', 'z'])} AS r").first().r == "b"
     assert df.selectExpr(f"{parsing.first_present(df.columns, ['w'])} AS r").first().r is None
+
+
+@pytest.mark.parametrize("text", [
+    "Mon, 15 Jan 2024 10:00:00 GMT", "Jan 15, 2024 10:00", "January 15 2024 10:00:00", "15 January 2024 10:00",
+    "1/15/2024 10:00 AM", "\t2024-01-15T10:00:00Z\r\n", " 2024/1/15 10:00　"])
+def test_date_forms(spark, text):
+    found = spark.range(1).selectExpr(f"{parsing.timestamp(parsing.quoted(text))} AS t").first().t
+    assert found == dt.datetime(2024, 1, 15, 10)
+
+
+def test_evening_and_unknown_dates(spark):
+    row = spark.range(1).selectExpr(f"{parsing.timestamp(parsing.quoted('1/15/2024 10:00 pm'))} AS t",
+                                    f"{parsing.timestamp(parsing.quoted('15 Foo 2024'))} AS u").first()
+    assert row.t == dt.datetime(2024, 1, 15, 22) and row.u is None
+
+
+def test_all_blank_characters_are_stripped(spark):
+    row = spark.range(1).selectExpr(
+        f"{parsing.number(parsing.quoted(chr(9) + '12' + chr(10)))} AS n",
+        f"{parsing.clean_text(parsing.quoted('MTN' + chr(9)), 'Unknown', 20)} AS c",
+        f"{parsing.network_generation(parsing.quoted('5G' + chr(9)))} AS g",
+        f"{parsing.boolean(parsing.quoted(chr(160) + 'yes' + chr(13)))} AS b").first()
+    assert (row.n, row.c, row.g, row.b) == (12.0, "MTN", "5G", True)
