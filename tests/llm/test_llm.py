@@ -263,7 +263,7 @@ def test_repeats_of_odd_rows(odd, empty):
 # --- top-k ----------------------------------------------------------------------------------------
 def test_topk_with_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(8)
-    vectors = {i: rng.normal(size=6).round(1).tolist() for i in range(300)} | {i: [1.0, 0.5, 0, 0, 0, 0] for i in range(300, 420)}
+    vectors = {i: rng.normal(size=6).round(1).tolist() for i in range(300)} | {i: [1.0, 0.5, 0.0, 0.0, 0.0, 0.0] for i in range(300, 420)}
     rows = [*vectors.items(), (500, None), (501, [float("nan")] * 6), (502, [None] * 6), (503, []), (600, [1.0, 2.0]), (601, [2.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.exact_topk(frame, F.col("vec_id") % 100 == 0, 10).collect()}
@@ -298,7 +298,7 @@ def test_base_spans_equal_the_patterns(spark, docs):
     rng = random.Random(9)
     parts = ["a.b@c.d", "@", ".", "1.2.3.4", "256.1.1.1", "0255.1.1.01", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 1234-567", "+1",
              "é😀", " ", "x@y", "_", "-", "7", "++", "a@b@c.de"]
-    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(400)] + ["9" * 30_000, "a.b@c" + ".d" * 20_000, None, ""]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(400)] + ["9" * 3_000, "a.b@c" + ".d" * 20_000, None, ""]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(docs.select(F.col("doc_id") + 10**6, "text").toDF("doc_id", "text"))
     for row in pii.report(frame).join(frame, "doc_id").collect():
         found = list(plain_spans(row.text))
@@ -306,14 +306,17 @@ def test_base_spans_equal_the_patterns(spark, docs):
         assert row.n_email == sum(s.startswith("email") for s in found) and row.spans[: len(",".join(found))] == ",".join(found)
 
 
-def test_disclosing_terms_go_and_common_ones_stay(spark, odd, empty):
+def test_disclosing_terms_go_and_common_ones_stay(spark):
     texts = [f"number {i} was sent by zorblax to boss@firm.example and the rest" for i in range(6)] + [f"the rest and number {i} of it" for i in range(60)]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     clean = {r.doc_id: r.text for r in pii.sanitise(frame).collect()}
     assert "zorblax" not in clean[0] and "[EMAIL]" in clean[0] and "number" in clean[0] and "rest" in clean[0]
     assert all(clean[i] == texts[i] for i in range(6, 66))
-    assert pii.sanitise(odd).exceptAll(odd).count() == 0 and pii.report(odd).count() == 9
-    assert pii.sanitise(empty).count() == 0 and pii.report(empty).count() == 0
+
+
+def test_personal_data_of_odd_rows(odd, empty):
+    assert pii.report(odd).count() == 9 and pii.report(empty).count() == 0
+    assert sorted(r.text or "" for r in pii.sanitise(odd).collect()) == sorted(r.text or "" for r in odd.collect())
 
 
 # --- language -------------------------------------------------------------------------------------
