@@ -5,7 +5,8 @@ rates of capitals, punctuation, drawn-out letters and obfuscated words (which ar
 removed).  The lexicon holds the terms that speak for the label on one half of the sample of labelled rows; trees are
 grown on most of the other half and calibrated on the rest, so that neither trusts what was fitted before it.
 
-Only the sample (a documented bound) passes through the driver; every text is scored in its own task, no shuffle.
+Only the lexicon and the sample's features (a documented bound) pass through the driver, no texts; every text is scored
+in its own task, no shuffle.
 
 Results: NULL counts as empty text; a text without words has all features 0 and the score that the trees give that.
 Without labelled rows of both classes the score is the smoothed share of label 1.  Rows repeat as they come; columns
@@ -15,17 +16,19 @@ of ``docs`` pass through, but for those named like the added ones, which are rep
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mastlight.llm.common import slices
 from mastlight.llm.learning import ID, LABEL, TEXT, labelled_sample
+from mastlight.session import written
 
 #: Words that address somebody, in the four languages of the corpus.
 SECOND_PERSON = frozenset(
@@ -177,21 +180,37 @@ def text_features(text: str, marks: WordMarks, near: int) -> list[float]:
     ]
 
 
-def learn_lexicon(rows: list[tuple[list[str], int]], settings: Settings) -> dict[str, float]:
-    """Terms by their smoothed log odds of label 1, counted once a document."""
-    share = max(1, sum(label for _, label in rows)), max(1, sum(1 - label for _, label in rows))
-    toxic, other = Counter(), Counter()
-    bags = [({t for w in {bare(w) for w in words} for t in terms_of(w, settings.beginnings)}, label) for words, label in rows]
-    for terms, label in bags:
-        if label:
-            toxic.update(terms)
-    wanted = {t for t, n in toxic.items() if n >= settings.least_docs}
-    for terms, label in bags:
-        if not label:
-            other.update(terms & wanted)
-    odds = {t: float(np.log((toxic[t] + 0.1) / share[0]) - np.log((other[t] + 0.5) / share[1])) for t in wanted}
-    best = sorted((t for t in odds if odds[t] >= settings.least_odds), key=lambda t: (-odds[t], t))
-    return {t: odds[t] for t in best[: settings.terms]}
+def learn_lexicon(sample: DataFrame, settings: Settings) -> dict[str, float]:
+    """Terms by their smoothed log odds of label 1, counted once a document.
+
+    Documents are counted where they lie, summed up slice by slice before the shuffle by term; the driver receives
+    the finished lexicon alone.  The empty term stands for all documents.
+    """
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, TEXT):
+            sums: dict[str, list[int]] = {}
+            labels = batch.column(batch.schema.get_field_index(LABEL)).to_pylist()
+            for row_id, label, value in zip(batch.column(0).cast(pa.string()).to_pylist(), labels, texts):
+                if part_of(row_id) >= 5:
+                    continue
+                words = {bare(w) for w in value.decode("utf-8", "replace").split()}
+                for term in {"", *(t for w in words for t in terms_of(w, settings.beginnings))}:
+                    sums.setdefault(term, [0, 0])[label] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sums, pa.string()), pa.array([n[1] for n in sums.values()], pa.int64()),
+                 pa.array([n[0] for n in sums.values()], pa.int64())], names=["term", "toxic", "other"])
+
+    counted = written(
+        sample.select(ID, TEXT, LABEL).mapInArrow(counts, "term string, toxic long, other long")
+        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+        .where((F.col("toxic") >= settings.least_docs) | (F.col("term") == "")), "term-counts")
+    every = counted.where("term = ''").first()
+    if every is None:
+        return {}
+    share = F.log((F.col("toxic") + 0.1) / max(1, every.toxic)), F.log((F.col("other") + 0.5) / max(1, every.other))
+    best = (counted.where("term <> ''").select("term", (share[0] - share[1]).alias("odds"))
+            .where(F.col("odds") >= settings.least_odds).orderBy(F.desc("odds"), "term").limit(settings.terms))
+    return {r.term: r.odds for r in best.collect()}
 
 
 def grow(x: np.ndarray, y: np.ndarray, settings: Settings) -> Trees:
@@ -254,19 +273,6 @@ def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, ys
 
 
-def sample_rows(sample: DataFrame) -> list[tuple[str, str, int]]:
-    """The words of the sampled rows as (id, words joined by blanks, label), in an order of their own."""
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, TEXT):
-            distinct = [" ".join(dict.fromkeys(t.decode("utf-8", "replace").split())) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.string()), pa.array(distinct, pa.string()),
-                 batch.column(batch.schema.get_field_index(LABEL))], names=["id", "words", "label"])
-
-    got = sample.select(ID, TEXT, LABEL).mapInArrow(words, "id string, words string, label int").toArrow()
-    return sorted(zip(got["id"].to_pylist(), got["words"].to_pylist(), got["label"].to_pylist()))
-
-
 def frame_features(docs: DataFrame, lexicon: dict[str, float], settings: Settings, text: str) -> DataFrame:
     """Adds the array ``features`` to every row."""
     schema = T.StructType([*docs.schema.fields, T.StructField("features", T.ArrayType(T.DoubleType()))])
@@ -284,8 +290,6 @@ def frame_features(docs: DataFrame, lexicon: dict[str, float], settings: Setting
 
 def part_of(row_id: str) -> int:
     """0 to 9 by a hash of the id: below 5 the lexicon, below 8 the trees, above the calibration."""
-    import zlib
-
     return zlib.crc32(f"part:{row_id}".encode()) % 10
 
 
@@ -293,8 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings =
         key: str = "doc_id", text: str = "text") -> ToxicityModel:
     """Learn lexicon, trees and calibration from a bounded sample."""
     sample = labelled_sample(docs, labels, label, learn, settings.bound, key, text)
-    rows = sample_rows(sample)
-    lexicon = learn_lexicon([(w.split(), y) for i, w, y in rows if part_of(i) < 5], settings)
+    lexicon = learn_lexicon(sample, settings)
     got = frame_features(sample.select(ID, TEXT, LABEL), lexicon, settings, TEXT).select(
         ID, LABEL, "features").toArrow()
     kept = sorted((str(i), y, x) for i, y, x in zip(got[ID].to_pylist(), got[LABEL].to_pylist(), got["features"].to_pylist()))
