@@ -1,12 +1,14 @@
 r"""Personal data: base patterns, and information-theoretic sanitisation of what gives them away.
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers.  Each distinct value found is a *protected
-entity*.  Terms near an entity (a few words to either side) co-occur with it; over the whole corpus, counted once per
-distinct text, the pointwise mutual information of term and entity says how much the term reveals.  A term whose
-information reaches a share ``disclosure`` of the entity's own information content gives it away, provided that they
-occur together in at least ``support`` distinct texts (below that nothing can be estimated).  Such terms are found
-wherever they stand near the entity: those that also occur without the entity are *generalised*, the others
-*removed*.
+entity*, and so is what recurs where the values do not: its group (the mail domain, the first digits of a card or phone
+number, the first two numbers of an IP address) and its kind.  Terms near a value (a few words to either side) co-occur with its
+entities; counted once per distinct text, the pointwise mutual information of term and entity says how much the term
+reveals.  The probability of the entity given the term is smoothed towards its overall probability by ``smoothing`` texts, so
+that a term counts from its first text on, but the less the fewer texts speak for it.  A term whose information
+reaches a share ``disclosure`` of the entity's own information content gives it away.  Such terms are found wherever they
+stand in a text that holds the entity, near or far: those that also occur without the entity are *generalised*, the
+others *removed*.
 
 All of it is DataFrame and SQL functions.  Patterns use possessive groups, which the regex engine runs without recursion,
 and look behind themselves so that long runs are read once; they match what the plain patterns match.
@@ -36,8 +38,10 @@ SIGNS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "general": "[TERM]", "remove": ""}
 #: Terms to either side of a span, within so many characters, are its surroundings.
 AROUND, REACH = 5, 120
-SUPPORT, DISCLOSURE = 3, 0.9
+SMOOTHING, DISCLOSURE = 0.5, 0.9
 TERM = r"\p{L}{3,}"
+#: Digits that name the group of a card or phone number.
+PREFIX = {"card": 6, "phone": 4}
 
 
 def _digits(value: Column) -> Column:
@@ -110,8 +114,19 @@ def _spread(text: Column, pattern: str, base: Column) -> Column:
         lambda seen: seen["out"])
 
 
+def _entities(span: Column) -> Column:
+    """Array of the entities of a span: its value, its group and its kind, as strings."""
+    kind, value = span["kind"], span["value"]
+    group = (F.when(kind == "email", F.lower(F.substring_index(value, "@", -1)))
+             .when(kind == "ip", F.substring_index(value, ".", 2)))
+    for name, n in PREFIX.items():
+        group = group.when(kind == name, F.substring(_digits(value), 1, n))
+    return F.array(F.concat(F.lit("value "), kind, F.lit(" "), value), F.concat(F.lit("group "), kind, F.lit(" "), group),
+                   F.concat(F.lit("kind "), kind))
+
+
 def _near(text: Column, found: Column) -> Column:
-    """Array of (kind, value, term, start, end): the terms around each span, none that touches a span."""
+    """Array of distinct entities and terms, a newline between: the whole terms around each span, none that touches a span."""
     free = lambda t: ~F.exists(found, lambda s: (t["start"] < s["end"]) & (t["end"] > s["start"]))
 
     def around(span: Column) -> Column:
@@ -120,54 +135,87 @@ def _near(text: Column, found: Column) -> Column:
         right = F.filter(_spread(F.substr(text, span["end"] + 1, F.lit(REACH)), TERM, span["end"]), free)
         terms = F.concat(F.slice(left, F.greatest(F.size(left) - (AROUND - 1), F.lit(1)), F.lit(AROUND)),
                          F.slice(right, F.lit(1), F.lit(AROUND)))
-        return F.transform(terms, lambda t: F.struct(
-            span["kind"].alias("kind"), span["value"].alias("value"), t["term"].alias("term"), t["start"].alias("start"),
-            t["end"].alias("end")))
+        return F.flatten(F.transform(terms, lambda t: F.transform(span["entities"], lambda e: F.concat(e, F.lit("\n"), t["term"]))))
+
+    known = F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _entities(s).alias("entities")))
+    return F.array_distinct(F.flatten(F.transform(known, around)))
+
 
-    return F.flatten(F.transform(found, around))
+def _located(text: Column, found: Column, actions: Column) -> Column:
+    """Array of (kind, start, end): all places of the terms of a map from term to action that touch no span."""
+    values = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    gaps = F.transform(F.split(text, TERM, -1), lambda s: F.length(s))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("out"))
+
+    def step(seen: Column, x: Column) -> Column:
+        begin = seen["at"] + x["gap"]
+        end = begin + F.length(x["value"])
+        action = F.try_element_at(actions, F.lower(x["value"]))
+        place = F.struct(action.alias("kind"), begin.alias("start"), end.alias("end"))
+        # The list is copied for terms that are listed only.
+        return F.struct(end.alias("at"), F.when(action.isNull(), seen["out"]).otherwise(F.concat(seen["out"], F.array(place))).alias("out"))
+
+    places = F.aggregate(
+        F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))), start, step,
+        lambda seen: seen["out"])
+    return F.filter(places, lambda t: ~F.exists(found, lambda s: (t["start"] < s["end"]) & (t["end"] > s["start"])))
 
 
-def disclosing_terms(spans: DataFrame, docs: DataFrame, text: str, *, support: int = SUPPORT,
-                     disclosure: float = DISCLOSURE) -> DataFrame:
-    """(kind, value, term, action): the terms that give an entity away, and what is to be done with them.
+def disclosing_terms(spans: DataFrame, *, smoothing: float = SMOOTHING, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(entity, term, action): the terms that give an entity away, and what is to be done with them.
 
-    ``spans`` has ``mark`` (a hash of the text) and ``near`` of every row of ``docs``.
+    ``spans`` has ``entities``, ``near`` and ``words`` of every distinct text.
     """
-    near = spans.select("mark", F.explode("near").alias("t")).select("mark", "t.kind", "t.value", "t.term").distinct()
-    entities = (near.select("kind", "value", "mark").distinct().groupBy("kind", "value")
-                .agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support))
-    joint = written(near.groupBy("kind", "value", "term").agg(F.count("*").alias("n_joint"))
-                    .where(F.col("n_joint") >= support).join(entities, ["kind", "value"]), "joint-counts")
-    texts = spans.select("mark").distinct().agg(F.count("*").alias("n_texts"))
-    value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    words = docs.select(F.xxhash64(value).alias("mark"),
-                        F.explode(F.regexp_extract_all(F.lower(value), F.lit(TERM), F.lit(0))).alias("term"))
-    counts = (words.join(joint.select("term").distinct(), "term", "left_semi").distinct()
-              .groupBy("term").agg(F.count("*").alias("n_term")))
+    joint = (
+        spans.select(F.explode("near").alias("pair")).groupBy("pair").agg(F.count("*").alias("n_joint"))
+        .select(F.substring_index("pair", "\n", 1).alias("entity"), F.substring_index("pair", "\n", -1).alias("term"), "n_joint")
+    )
+    entities = spans.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    counts = spans.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    texts = spans.agg(F.count("*").alias("n_texts"))
     n, pair, term, entity = (F.col(c).cast("double") for c in ("n_texts", "n_joint", "n_term", "n_entity"))
-    information = F.log(n * pair / (term * entity))
-    return written(
+
+    def given(share: Column) -> Column:
+        """Probability of an entity of this share of the texts, given the term."""
+        return (pair + smoothing * share) / (term + smoothing)
+
+    # What cannot reach the bound of the rarest possible entity goes before entities are joined; the terms of a common one are
+    # then few.  A joint entity holds at least ``pair`` and at most all texts.
+    likely = written(
         joint.join(counts, "term").join(F.broadcast(texts))  # one row
-        .where((n > entity) & (information >= disclosure * F.log(n / entity)))
-        .select("kind", "value", "term", F.when(term > pair, "general").otherwise("remove").alias("action")), "disclosing")
+        .where(given(F.lit(1.0)) >= F.pow(pair / n, F.lit(1 - disclosure))), "likely-terms")
+    # Information log(given / share) against a share of the entity's own: - disclosure * log(share).
+    return written(
+        likely.join(entities, "entity")
+        .where((n > entity) & (F.log(given(entity / n) * n / entity) >= disclosure * F.log(n / entity)))
+        .select("entity", "term", F.when(term > pair, "general").otherwise("remove").alias("action")), "disclosing")
 
 
 def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per distinct text: ``mark`` (its hash), ``found`` (base spans) and ``extra`` (kind, start, end) spans."""
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = base_spans(docs.select(F.xxhash64(value).alias("mark"), value.alias("__value")), "__value")
-    none = F.array().cast("array<struct<kind:string,value:string,term:string,start:int,end:int>>")
-    rows = rows.withColumn("near", F.when(F.size("found") > 0, _near(F.col("__value"), F.col("found"))).otherwise(none))
-    spans = written(rows.drop("__value").groupBy("mark").agg(F.first("found").alias("found"), F.first("near").alias("near")), "spans")
-    telling = disclosing_terms(spans, docs, text)
-    extra = (
-        spans.select("mark", F.explode("near").alias("t")).select("mark", "t.*").join(telling, ["kind", "value", "term"])
-        .groupBy("mark", "start", "end").agg(F.min("action").alias("kind"))
-        .groupBy("mark").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("extra"))
+    texts = docs.select(F.xxhash64(value).alias("mark"), value.alias("__value")).groupBy("mark").agg(F.first("__value").alias("__value"))
+    held = F.size("found") > 0
+    none = F.array().cast("array<string>")
+    words = F.regexp_extract_all("__value", F.lit(TERM), F.lit(0))
+    spans = written(
+        base_spans(texts, "__value")
+        .select("mark", "found", F.when(held, F.col("__value")).alias("text"),
+                F.array_distinct(F.flatten(F.transform("found", _entities))).alias("entities"),
+                F.when(held, _near(F.col("__value"), F.col("found"))).otherwise(none).alias("near"),
+                F.array_distinct(F.transform(words, lambda w: F.lower(w))).alias("words")), "spans")
+    telling = disclosing_terms(spans)
+    holding = spans.where(held)
+    actions = (
+        holding.select("mark", F.explode("words").alias("term")).join(telling, "term")
+        .join(holding.select("mark", F.explode("entities").alias("entity")), ["mark", "entity"], "left_semi")
+        .groupBy("mark", "term").agg(F.min("action").alias("action"))
+        .groupBy("mark").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
     )
+    extra = holding.join(actions, "mark").select("mark", _located(F.col("text"), F.col("found"), F.col("actions")).alias("extra"))
     no_extra = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return written(spans.select("mark", "found").join(extra, "mark", "left").withColumn("extra", F.coalesce("extra", no_extra)),
-                   "all-spans")
+    return written(spans.select("mark", "found").join(extra, "mark", "left").withColumn(
+        "extra", F.coalesce(F.array_sort("extra"), no_extra)), "all-spans")
 
 
 def _listed(spans: Column) -> Column:
