@@ -130,9 +130,12 @@ def _near(text: Column, found: Column) -> Column:
     free = lambda t: ~F.exists(found, lambda s: (t["start"] < s["end"]) & (t["end"] > s["start"]))
 
     def around(span: Column) -> Column:
-        low = F.greatest(span["start"] - REACH, F.lit(0))
-        left = F.filter(_spread(F.substr(text, low + 1, span["start"] - low), TERM, low), free)
-        right = F.filter(_spread(F.substr(text, span["end"] + 1, F.lit(REACH)), TERM, span["end"]), free)
+        # One character more than the reach: a term that takes it in is cut, or out of reach.
+        low = F.greatest(span["start"] - (REACH + 1), F.lit(0))
+        left = F.filter(_spread(F.substr(text, low + 1, span["start"] - low), TERM, low),
+                        lambda t: (t["start"] >= span["start"] - REACH) & free(t))
+        right = F.filter(_spread(F.substr(text, span["end"] + 1, F.lit(REACH + 1)), TERM, span["end"]),
+                         lambda t: (t["end"] <= span["end"] + REACH) & free(t))
         terms = F.concat(F.slice(left, F.greatest(F.size(left) - (AROUND - 1), F.lit(1)), F.lit(AROUND)),
                          F.slice(right, F.lit(1), F.lit(AROUND)))
         return F.flatten(F.transform(terms, lambda t: F.transform(span["entities"], lambda e: F.concat(e, F.lit("\n"), t["term"]))))
