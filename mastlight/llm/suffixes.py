@@ -7,7 +7,8 @@ Equal strings must meet without moving the corpus.  A string of 100 bytes has 69
 the least hash is its *anchor*, the same wherever the string occurs, and neighbouring strings mostly share it.  So
 a document falls into runs of starts with one anchor each, a row of a few numbers per run.  Only runs whose anchor occurs
 again go on, with their text, to the task of that anchor (anchors with very many runs are split by the strings
-themselves).  There, runs of equal text are collapsed, and a suffix array of the rest is built: only suffixes smaller
+themselves, and of a string with very many starts the earliest is found by a grouped minimum; such a string enters no
+task's array).  There, runs of equal text are collapsed, and a suffix array of the rest is built: only suffixes smaller
 than their successors are sorted directly, by blocks of eight bytes, the others are induced by scanning the buckets
 of first bytes in order.  Starts whose neighbours have ``length`` bytes in common form groups, and all of a group but the
 earliest are repeats.  Copies of whole texts are told by their digest before all this.
@@ -33,7 +34,8 @@ from mastlight.llm.common import ODD, _tables, mixed, slices
 from mastlight.session import written
 
 LENGTH, ANCHOR = 100, 32
-#: Runs of one anchor above which it is split by the strings themselves.
+#: Runs of one anchor above which it is split by the strings themselves, and starts of one string above which they
+#: are compared with the earliest one instead of being gathered.
 HOT_RUNS = 20_000
 #: Bytes of text of one suffix array.
 ARRAY_BYTES = 1 << 19
@@ -228,8 +230,8 @@ def _shared_runs(runs: DataFrame) -> DataFrame:
     return runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, runs.schema)
 
 
-def _run_texts(shared: DataFrame, texts: DataFrame, order: DataFrame) -> DataFrame:
-    """(anchor, doc, start, text): runs with their bytes; runs of hot anchors start by start, named by the string."""
+def _run_texts(shared: DataFrame, texts: DataFrame, order: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(anchor, doc, start, text): runs with their bytes; and those of hot anchors start by start, named by the string."""
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("doc", T.LongType()),
                            T.StructField("start", T.IntegerType()), T.StructField("text", T.BinaryType())])
 
@@ -255,7 +257,24 @@ def _run_texts(shared: DataFrame, texts: DataFrame, order: DataFrame) -> DataFra
         shared.join(hot, "anchor", "left")
         .groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs"))
         .join(order.select("doc", "mark"), "doc").select("mark", "runs"), "shared-runs")
-    return texts.join(per_doc, "mark").select("doc", "text", "runs").mapInArrow(run, schema)
+
+    def of(hot: bool) -> DataFrame:
+        own = per_doc.select("mark", F.filter("runs", lambda r: r["hot"] == F.lit(hot)).alias("runs")).where("size(runs) > 0")
+        return texts.join(own, "mark").select("doc", "text", "runs").mapInArrow(run, schema)
+
+    if not per_doc.where(F.exists("runs", lambda r: r["hot"])).limit(1).count():
+        return of(False), None
+    return of(False), written(of(True), "hot-strings")
+
+
+def _hot_starts(strings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Strings that start seldom enough to be gathered; and (doc, start, n) of the others' starts but the earliest."""
+    firsts = written(
+        strings.groupBy("anchor", "text").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("k"))
+        .where(F.col("k") > HOT_RUNS).drop("k"), "hot-firsts")
+    later = strings.join(firsts, ["anchor", "text"]).where(F.struct("doc", "start") > F.col("first"))
+    return (strings.join(firsts, ["anchor", "text"], "left_anti").select(*strings.columns),
+            later.select("doc", "start", F.lit(1).alias("n")))
 
 
 def _earlier_starts(runs: DataFrame) -> DataFrame:
@@ -340,7 +359,12 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(key).cast("long").alias("key"), value.alias("text")).withColumn("mark", F.md5("text"))
     texts, order, name = _texts(rows)
     shared = written(_shared_runs(_runs(texts)), "runs")
-    starts = _earlier_starts(_run_texts(shared, texts, order))
+    runs, strings = _run_texts(shared, texts, order)
+    if strings is None:
+        starts = _earlier_starts(runs)
+    else:
+        seldom, later = _hot_starts(strings)
+        starts = _earlier_starts(runs.unionByName(seldom)).unionByName(later)
     spans = written(
         starts.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
         .join(order.select("doc", "mark"), "doc").select("mark", "spans"), "repeats")

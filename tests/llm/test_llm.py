@@ -245,6 +245,22 @@ def test_repeats_equal_brute_force(spark, docs, monkeypatch):
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == without_repeats(rows)
 
 
+def test_no_task_gathers_a_hot_string(spark, monkeypatch):
+    line = "a common line that stands in very many documents, always the same, and is a little over a hundred bytes long."
+    rows = [(i, f"{i * 7919} {line} {i * 104729}" + "xy" * (i % 3 * 60)) for i in range(60)]
+    largest, plain = [], suffixes._earlier_starts
+
+    def watched(runs):
+        largest.append(max((r["count"] for r in runs.groupBy("anchor").count().collect()), default=0))
+        return plain(runs)
+
+    monkeypatch.setattr(suffixes, "HOT_RUNS", 5)
+    monkeypatch.setattr(suffixes, "_earlier_starts", watched)
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), digests=True).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == without_repeats(rows)
+    assert max(largest) <= 5
+
+
 def test_two_stage_array_is_sorted():
     rng = random.Random(6)
     for _ in range(60):
