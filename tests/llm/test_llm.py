@@ -192,6 +192,18 @@ def test_near_duplicates_equal_brute_force(spark, docs):
         assert {r.doc_id: r.n_shingles for r in got} == sizes and all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_trees_share_no_function_and_rarely_lose_a_pair():
+    settings = neardup.Settings()
+    used = [[neardup.function_of(tree, node, settings) for node in range(1, 7)] for tree in range(settings.trees)]
+    assert len({f for tree in used for f in tree}) == 24
+    kept = 1.0
+    for _ in range(settings.depth):
+        kept = 1 - (1 - 0.75 * kept) ** settings.branches
+    assert 5.9e-5 < (1 - kept) ** settings.trees < 6.1e-5
+    with pytest.raises(ValueError):
+        neardup.Settings(trees=6)
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == 9
