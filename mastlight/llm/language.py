@@ -1,10 +1,11 @@
 """Language of web pages: Bayesian fusion of text, declared markup, address suffix and host.
 
-Four sources of evidence are multiplied as likelihoods per language: (1) the page's visible text under character
+Two sources of evidence are multiplied as likelihoods per language, with a prior: (1) the page's visible text under character
 trigram models learnt from the documents, tempered because trigrams overlap; (2) the declared language, as declarations
-turn out among pages of each language; (3) the address's last label, likewise; (4) a prior of the host, smoothed towards
-its domain, that towards its last label, and that towards all pages.  Likelihoods of (2) and (3) and the priors of (4) are
-expected counts from the text evidence, summed up over all pages by grouped aggregation.
+turn out among pages of each language; (3) a prior of the host, smoothed towards its domain, that towards the address's
+last label, and that towards all pages.  The last label has no likelihood of its own: it counts through the prior only, the
+less the more pages its host and domain have.  The likelihood of (2) and the prior of (3) are expected counts from the text
+evidence, summed up over all pages by grouped aggregation.
 
 Results: pages without text, address or declaration rest on the other sources; with none they have the overall prior.
 NULLs count as missing evidence.  Ties go to the language that comes first.  Every page comes back once per row;
