@@ -37,8 +37,10 @@ def grouped_levels(
     return out
 
 
-def top_of_level(levels: DataFrame, level: str, limit: int, order: Sequence[Column]) -> DataFrame:
-    """All rows of the other levels, and the first ``limit`` of this one."""
+def top_of_level(levels: DataFrame, level: str, limit: int | None, order: Sequence[Column]) -> DataFrame:
+    """All rows of the other levels, and the first ``limit`` of this one (None: all)."""
+    if limit is None:
+        return levels
     place = F.row_number().over(Window.partitionBy("level").orderBy(*order, F.asc_nulls_last("key")))
     ranked = levels.withColumn("_place", place)
     return ranked.filter((F.col("level") != level) | (F.col("_place") <= limit)).drop("_place")

@@ -21,8 +21,8 @@ def tower_count(towers: DataFrame) -> DataFrame:
     return towers.agg(F.count("*").alias("towers_in_db"))
 
 
-def tower_stats(towers: DataFrame) -> dict[str, DataFrame]:
-    """Tower counts by operator, network and city (the 20 largest), and in total."""
+def tower_stats(towers: DataFrame, cities: int | None = TOP_CITIES) -> dict[str, DataFrame]:
+    """Tower counts by operator, network and city (the largest ``cities``; None: all), and in total."""
     levels = grouped_levels(
         towers, ["operator", "network", "city"], ["operator", "network", "city", None], [rows("count")]
     )
@@ -34,20 +34,21 @@ def tower_stats(towers: DataFrame) -> dict[str, DataFrame]:
             .orderBy(F.desc("count"), F.asc_nulls_last(name))
         )
 
+    by_city = level("city")
     return {
         "by_operator": level("operator"),
         "by_network": level("network"),
-        "by_city": level("city").limit(TOP_CITIES),
+        "by_city": by_city if cities is None else by_city.limit(cities),
         "total": levels.filter("level = 'total'").select("count"),
     }
 
 
-def tower_stats_rows(towers: DataFrame) -> DataFrame:
+def tower_stats_rows(towers: DataFrame, cities: int | None = TOP_CITIES) -> DataFrame:
     """``tower_stats`` in one frame: level, key, count."""
     levels = grouped_levels(
         towers, ["operator", "network", "city"], ["operator", "network", "city", None], [rows("count")]
     )
-    return top_of_level(levels, "city", TOP_CITIES, [F.desc("count")])
+    return top_of_level(levels, "city", cities, [F.desc("count")])
 
 
 READING_MEASURES = (
@@ -63,15 +64,16 @@ def recent(readings: DataFrame, as_of: dt.datetime | str | Column, hours: int) -
     return at_or_after(readings, "recorded_at", hours_before(as_time(as_of), hours), strict=True)
 
 
-def readings_summary(readings: DataFrame, as_of: dt.datetime | str, hours: int = 1) -> DataFrame:
-    """Recent averages in total, per operator, per network and for the 14 strongest cities."""
+def readings_summary(readings: DataFrame, as_of: dt.datetime | str, hours: int = 1,
+                     cities: int | None = SUMMARY_CITIES) -> DataFrame:
+    """Recent averages in total, per operator, per network and for the strongest ``cities`` (None: all)."""
     levels = grouped_levels(
         recent(readings, as_of, hours),
         ["operator", "network", "city"],
         ["operator", "network", "city", None],
         READING_MEASURES,
     )
-    return top_of_level(levels, "city", SUMMARY_CITIES, [F.desc_nulls_first("avg_signal")])
+    return top_of_level(levels, "city", cities, [F.desc_nulls_first("avg_signal")])
 
 
 def readings_by_operator(readings: DataFrame, as_of: dt.datetime | str, hours: int = 1) -> DataFrame:

@@ -12,7 +12,7 @@ from mastlight.operators.levels import grouped_levels
 from mastlight.operators.listing import listing
 from mastlight.operators.measures import average, matches, results, rows, total
 from mastlight.operators.preceding import CATEGORIES, preceding_stats
-from mastlight.plans import correlate
+from mastlight.plans import correlate, summaries
 from mastlight.plans.listings import LISTS, list_outages, run_list
 from mastlight.schemas import TABLES
 
@@ -138,6 +138,18 @@ def test_levels_of_empty_input_have_a_total(spark):
     assert [(r.level, r.key, r.n, r.m) for r in got] == [("total", None, 0, None)]
 
 
+def test_no_city_limit_lists_all_cities(spark):
+    towers = spark.createDataFrame([("MTN", "4G", f"c{i}") for i in range(30)], "operator string, network string, city string")
+    for cities, n in ((None, 30), (3, 3), (summaries.TOP_CITIES, 20)):
+        assert summaries.tower_stats(towers, cities)["by_city"].count() == n
+        assert summaries.tower_stats_rows(towers, cities).where("level = 'city'").count() == n
+    readings = towers.selectExpr("*", "timestamp_ntz '2024-01-30 23:30:00' AS recorded_at", "-80.0D AS signal_dbm",
+                                 "20.0D AS latency_ms", "5.0D AS dl_mbps")
+    for cities, n in ((None, 30), (summaries.SUMMARY_CITIES, 14)):
+        got = summaries.readings_summary(readings, "2024-01-31 00:00:00", cities=cities)
+        assert got.where("level = 'city'").count() == n
+
+
 def test_levels_keep_null_keys(spark):
     df = spark.createDataFrame([(None, "u", 1.0), ("p", "u", 3.0), (None, "v", 5.0)], "a string, b string, x double")
     got = {(r.level, r.key): (r.n, r.m) for r in
