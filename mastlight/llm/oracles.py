@@ -38,5 +38,37 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 """
 
 
+OP11 = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+counts AS (
+    SELECT lang, g, count(*) AS f
+    FROM (SELECT lang, list_slice(w, i, i + m - 1) AS g
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS s(m) WHERE len(w) >= m))
+    GROUP BY lang, g HAVING count(*) >= 30),
+cuts AS (
+    SELECT lang, g, f AS a, list_slice(g, 1, k) AS first, list_slice(g, k + 1, len(g)) AS rest, k
+    FROM (SELECT lang, g, f, unnest(range(1, len(g))) AS k FROM counts WHERE len(g) > 1)),
+scored AS (
+    SELECT c.lang, c.g, c.a, x.f AS l, y.f AS r, c.k, 2000000::HUGEINT * c.a // (x.f + y.f) AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.g = c.first JOIN counts y ON y.lang = c.lang AND y.g = c.rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, list_slice(g, i, i + m - 1) AS g, max(f) AS longest
+    FROM (SELECT lang, g, f, m, unnest(range(1, len(g) - m + 2)) AS i FROM counts, (VALUES (2), (3)) AS s(m) WHERE len(g) > m)
+    GROUP BY ALL),
+kept AS (
+    SELECT best.* FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.g = best.g
+    WHERE longest IS NULL OR 100::HUGEINT * longest < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, array_to_string(g, ' ') AS phrase,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM kept)
+    JOIN totals USING (lang)
+WHERE rank <= 2000
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op4_decontaminate": OP4, "op7_topk": OP7}
+    return {"op4_decontaminate": OP4, "op7_topk": OP7, "op11_collocations": OP11}

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables with production settings."""
+"""The registered queries of the operators, over whole tables with production settings."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.llm import (decontaminate, language, neardup, pieces, pii, quality, suffixes, tokens, topk, toxicity)
+from mastlight.llm import (collocations, decontaminate, language, neardup, pieces, pii, quality, suffixes, tokens, topk, toxicity)
 from mastlight.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,9 +76,13 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return predicted(toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels, ~held)), held)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_quality, op2_near_duplicates, op3_language, op4_decontaminate, op5_pieces, op6_repeats, op7_topk, op8_pii,
-    op9_token_counts, op10_toxicity)}
+    op9_token_counts, op10_toxicity, op11_collocations)}
 
 
 def llm_queries() -> dict[str, Query]:
