@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.llm import (collocations, decontaminate, language, neardup, pieces, pii, quality, suffixes, tokens, topk, toxicity, whitening)
+from mastlight.llm import (collocations, decontaminate, language, neardup, neighbours, pieces, pii, quality, suffixes, tokens,
+                           topk, toxicity, whitening)
 from mastlight.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,13 +81,17 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op12_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened_components(table(spark, folder, "embeddings"))
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_quality, op2_near_duplicates, op3_language, op4_decontaminate, op5_pieces, op6_repeats, op7_topk, op8_pii,
-    op9_token_counts, op10_toxicity, op11_collocations, op13_whitening)}
+    op9_token_counts, op10_toxicity, op11_collocations, op12_neighbours, op13_whitening)}
 
 
 def llm_queries() -> dict[str, Query]:
