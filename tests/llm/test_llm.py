@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -362,6 +363,23 @@ def test_personal_data_of_odd_rows(odd, empty):
     assert sorted(r.text or "" for r in pii.sanitise(odd).collect()) == sorted(r.text or "" for r in odd.collect())
 
 
+def test_long_texts_full_of_numbers_and_values(spark):
+    """Time must grow with a text, not with its square."""
+    digits = " ".join(str(i * 7919 % 99991) for i in range(180_000))
+    mails = "; ".join(f"name{i} user{i}@mail{i % 50}.example" for i in range(20_000))
+    assert len(digits) > 1_000_000
+    rows = [(1, digits), (2, mails), (3, digits + " card 4111 1111 1111 1111 " + "é" * 50_000 + " a@b.c"), (4, "a@b.c" * 3 + "x" * 2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    for row in pii.report(frame).join(frame, "doc_id").collect():
+        found = list(plain_spans(row.text))
+        assert row.base_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest() and row.spans.startswith(",".join(found))
+    clean = {r.doc_id: r.text for r in pii.sanitise(frame).collect()}
+    assert clean[1] == digits and "@" not in clean[2] and clean[2].count("[EMAIL]") == 20_000
+    assert clean[3] == re.sub("4111 1111 1111 1111", "[CARD]", rows[2][1]).replace("a@b.c", "[EMAIL]")
+    assert time.time() - began < 60
+
+
 # --- language -------------------------------------------------------------------------------------
 def test_language_of_pages(spark, docs):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
