@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mastlight.llm.common import mixed, slices
-from mastlight.session import written
+from mastlight.llm.common import mixed, removed, slices
+from mastlight.session import new_work_folder, written
 
 #: Words of the longest phrase, least count of a phrase, and what a longer phrase needs of a shorter one's count to replace it.
 MOST_WORDS, LEAST, COVERS = 4, 30, 80
@@ -36,6 +36,8 @@ MOST_WORDS, LEAST, COVERS = 4, 30, 80
 SCALE = 2_000_000
 #: Keys of a container before it bursts; keys of a trie before it spills; words a task keeps in its dictionary.
 BURST, TRIE_KEYS, DICTIONARY = 1 << 15, 1 << 20, 300_000
+#: Keys that are added to a trie together.
+BATCH = 1 << 19
 #: Bits of the table of frequent parts, at most (16 MB).
 TABLE_BITS = 1 << 27
 #: Bytes of a text that are read at a time.
@@ -93,17 +95,27 @@ class HatTrie:
 
     def __init__(self, words: int, burst: int = BURST, levels: int = 2):
         self.bits, self.burst, self.levels = 64 // max(words, 2), burst, min(levels, words)
-        self.mask, self.clear = np.uint64((1 << self.bits) - 1), None
+        self.mask = np.uint64((1 << self.bits) - 1)
         self.root, self.held = Node(64 - self.bits, Container()), 0
+        self.waiting: list[np.ndarray] = []
+        self.waits = 0
 
     @property
     def most_words(self) -> int:
         return (1 << min(self.bits, 31)) - 1
 
     def add(self, keys: np.ndarray) -> None:
-        """Count every key of an array."""
-        if len(keys):
-            distinct, counts = np.unique(keys, return_counts=True)
+        """Count every key of an array; arrays wait until a batch has come together."""
+        self.waiting.append(keys)
+        self.waits += len(keys)
+        if self.waits >= BATCH:
+            self.settle()
+
+    def settle(self) -> None:
+        """Put what waits into the trie."""
+        if self.waits:
+            distinct, counts = np.unique(np.concatenate(self.waiting), return_counts=True)
+            self.waiting, self.waits = [], 0
             self._add(self.root, distinct, counts)
 
     def _add(self, node: Node, keys: np.ndarray, counts: np.ndarray) -> None:
@@ -148,6 +160,7 @@ class HatTrie:
 
     def spill(self, share: float = 1.0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Take out whole subtrees, largest first, until the share of all keys is gone; one (keys, counts) each."""
+        self.settle()
         sizes = [sum(len(k) for k, _ in self._items(child)) for child in self.root.children]
         least = self.held * (1 - share)
         for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
@@ -214,11 +227,11 @@ class Words:
 class BitTable:
     """Which hashes are in a set, with false alarms: two bits each."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, 8 * len(bits) - 1
+    def __init__(self, raw: bytes):
+        self.raw, self.bits, self.mask = raw, np.frombuffer(raw, np.uint8), 8 * len(raw) - 1
 
     def has(self, value: int) -> bool:
-        bits, a, b = self.bits, value & self.mask, (value >> 32) & self.mask
+        bits, a, b = self.raw, value & self.mask, (value >> 32) & self.mask
         return bool(bits[a >> 3] >> (a & 7) & 1 and bits[b >> 3] >> (b & 7) & 1)
 
     def holds(self, values: np.ndarray) -> np.ndarray:
@@ -350,8 +363,7 @@ def run_batch(lang: pa.Array, phrase: pa.Array, count: np.ndarray) -> pa.RecordB
 def _runs(docs: DataFrame, lengths: range, words, pairs) -> DataFrame:
     """Runs of partial counts of the phrases of the given lengths; one row for a phrase of a spilled subtree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(lengths, words and BitTable(np.frombuffer(words.value, np.uint8)),
-                          pairs and BitTable(np.frombuffer(pairs.value, np.uint8)))
+        counter = Counter(lengths, words and BitTable(words.value), pairs and BitTable(pairs.value))
 
         def whole(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
             """Short texts together; of a long one, stretch after stretch with the last words carried over."""
@@ -385,9 +397,12 @@ def _runs(docs: DataFrame, lengths: range, words, pairs) -> DataFrame:
 
 def _merged(runs: DataFrame, label: str, least: int) -> DataFrame:
     """(lang, phrase, f) of the phrases that reach the least count: the runs, written, then dealt out by ranges and summed."""
-    runs = written(runs, f"runs-{label}")
-    dealt = runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return written(dealt.where((F.col("f") >= least) | (F.col("phrase") == "")), f"counts-{label}")
+    spark, folder = runs.sparkSession, new_work_folder(runs.sparkSession, f"runs-{label}")
+    runs.write.parquet(folder)
+    dealt = spark.read.parquet(folder).repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    counts = written(dealt.where((F.col("f") >= least) | (F.col("phrase") == "")), f"counts-{label}")
+    removed(spark, folder)
+    return counts
 
 
 def bit_table(counts: DataFrame) -> bytes:

@@ -50,6 +50,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder that one job has made and no other reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
            ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches so that each cut holds about ``limit`` bytes of text; NULL counts as empty."""

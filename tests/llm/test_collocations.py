@@ -86,6 +86,7 @@ def test_trie_counts_bursts_and_spills(words, ids):
         trie.add(keys)
         kinds |= {type(child) for child in trie.root.children}
         if rng.random() < 0.2:
+            trie.settle()
             held = trie.held
             for k, v in trie.spill(0.5):
                 out.update(dict(zip(k.tolist(), v.tolist())))
@@ -98,6 +99,7 @@ def test_trie_counts_bursts_and_spills(words, ids):
 
 def test_small_dictionaries_and_spills_lose_nothing(monkeypatch):
     monkeypatch.setattr(c, "TRIE_KEYS", 60)
+    monkeypatch.setattr(c, "BATCH", 100)
     monkeypatch.setattr(c, "MOST_WORDS", 4)
     rng = random.Random(3)
     text = " ".join(rng.choices([f"w{i}" for i in range(30)] + ["."], k=3000)).encode()
