@@ -8,7 +8,8 @@ none is left, the position is marked as failed in a bitfield and the last piece
 fails at most once, so the walk is linear in the number of (position, prefix) pairs.
 
 Texts are cut first where no piece can cross: before a blank run that follows other characters, and around
-characters outside the vocabulary.  Encodings of such segments are kept in a bounded table per task.
+characters outside the vocabulary.  Encodings of such segments are kept in tables
+that are bounded in bytes and emptied when the task ends.
 
 Results: NULL counts as empty text; an empty text has the end id only.  Repeated rows are encoded each; other
 columns pass through untouched.
@@ -33,8 +34,11 @@ from mastlight.llm.common import slices
 BLANK = "▁"
 #: Kinds of pieces in the model file (fixed by the file format).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Entries of each table of encodings a worker keeps (twice that with the generation before).
-KEPT = 400_000
+#: Bytes, by estimate, of all tables of encodings that a task keeps, and the share of each.
+KEPT_BYTES = 128 << 20
+SHARES = {"pairs": 0.25, "words": 0.55, "segments": 0.05, "runs": 0.15}
+#: Bytes of an entry: of a pair of pieces, and of a text apart from its characters.
+PAIR, ENTRY = 100, 250
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -69,22 +73,29 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
 
 
 class Kept(dict):
-    """A bounded table that computes what it misses; when full, it becomes the old generation of a new one."""
+    """A table that computes what it misses, bounded in bytes; when half full, it becomes the old generation of a new one."""
 
-    def __init__(self, compute: Callable, limit: int = KEPT):
+    def __init__(self, compute: Callable, limit: float):
         super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
+        self.compute, self.limit, self.held, self.old = compute, limit / 2, 0, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= self.limit:
+        size = ENTRY + len(key) + len(value[0]) + len(value[1]) if isinstance(key, str) else PAIR
+        if self.held + size > self.limit:
             self.old = dict(self)
             self.clear()
+            self.held = 0
         self[key] = value
+        self.held += size
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.held, self.old = 0, {}
+
 
 class Vocabulary:
     """Pieces, scores and kinds of a merge-type model file with the identity normaliser."""
@@ -147,11 +158,10 @@ class PieceCodec:
         self.shorter = [-1] * len(v.pieces)
         for piece, i in v.ids.items():
             self.shorter[i] = next((v.ids[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in v.ids), -1)
-        self.pairs = Kept(self.compatible)
-        self.whole = Kept(self.reachable)
-        self.words = Kept(self.word)
-        self.segments = Kept(self.segment, KEPT // 4)
-        self.runs = Kept(self.run, KEPT // 2)
+        self.whole: dict[int, bool] = {}  # a flag a piece at most
+        self.pairs, self.words, self.segments, self.runs = (
+            Kept(compute, KEPT_BYTES * SHARES[name]) for name, compute in (
+                ("pairs", self.compatible), ("words", self.word), ("segments", self.segment), ("runs", self.run)))
         self.cutter = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall
 
     def merged(self, text: str) -> list[str]:
@@ -171,29 +181,39 @@ class PieceCodec:
                 costs[i - 1] = rank.get(parts[i - 1] + parts[i], never)
         return parts
 
-    def compatible(self, pair: tuple[int, int]) -> bool:
-        """Whether merging the joint text of two pieces again gives these two."""
-        a, b = self.vocabulary.pieces[pair[0]], self.vocabulary.pieces[pair[1]]
+    def compatible(self, pair: int) -> bool:
+        """Whether merging the joint text of two pieces (numbered in one number) again gives these two."""
+        first, second = divmod(pair, len(self.lengths))
+        a, b = self.vocabulary.pieces[first], self.vocabulary.pieces[second]
         return self.merged(a + b) == [a, b]
 
     def reachable(self, piece: int) -> bool:
-        text = self.vocabulary.pieces[piece]
-        return self.merged(text) == [text]
+        known = self.whole.get(piece)
+        if known is None:
+            text = self.vocabulary.pieces[piece]
+            known = self.whole[piece] = self.merged(text) == [text]
+        return known
+
+    def forget(self) -> None:
+        """Empty the tables: what a task has kept ends with it."""
+        for table in (self.pairs, self.words, self.segments, self.runs):
+            table.forget()
 
     def backtrack(self, text: str) -> list[int]:
         """Encode characters that are all in the vocabulary."""
-        lengths, shorter, pairs = self.lengths, self.shorter, self.pairs
+        lengths, shorter, pairs, many = self.lengths, self.shorter, self.pairs, len(self.lengths)
         found = [-1] * len(text)
         for end, piece in self.automaton.iter(text):
             found[end + 1 - lengths[piece]] = piece  # a later end is a longer match
         out: list[int] = []
-        at, size, failed, end = 0, len(text), 0, 0
+        at, size, end = 0, len(text), 0
+        failed = bytearray(size + 1)
         piece = found[0]
         while True:
             # The longest match here that may follow the last piece and does not end where all ways fail.
             while piece >= 0:
                 end = at + lengths[piece]
-                if not (failed >> end) & 1 and (pairs[out[-1], piece] if out else self.whole[piece]):
+                if not failed[end] and (pairs[out[-1] * many + piece] if out else self.reachable(piece)):
                     break
                 piece = shorter[piece]
             if piece >= 0:
@@ -203,7 +223,7 @@ class PieceCodec:
                     return out
                 piece = found[at]
             else:
-                failed |= 1 << at
+                failed[at] = 1
                 if not out:
                     raise AssertionError(f"no encoding for {text!r}")
                 last = out.pop()
@@ -298,7 +318,7 @@ class PieceCodec:
 
 @lru_cache(maxsize=1)
 def codec_of(model: bytes) -> PieceCodec:
-    """One codec per worker process, so that its tables outlive a task."""
+    """One codec per worker process: the vocabulary stays, the tables are emptied when a task ends."""
     return PieceCodec(model)
 
 
@@ -328,6 +348,12 @@ def encode_decode(docs: DataFrame, model: Broadcast, text: str = "text", *, dige
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model.value)
+        try:
+            yield from encoded(codec, batches)
+        finally:
+            codec.forget()
+
+    def encoded(codec: PieceCodec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, text):
             rows = [codec.both(t.decode("utf-8", "replace")) for t in texts]
             counts = pa.array([r[1] for r in rows], pa.int64())

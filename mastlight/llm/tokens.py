@@ -25,7 +25,8 @@ from mastlight.llm.common import slices
 
 #: Ends a word in the vocabulary (fixed by the file format).
 WORD_END = "</w>"
-KEPT = 400_000
+#: Words that a task keeps the lengths of, and the longest of them: some 20 MB.
+KEPT, LONG_WORD = 100_000, 64
 WORDS = re.compile(r"[^\W_]+|[^\w\s]|_").findall
 
 
@@ -128,17 +129,13 @@ class _WordLengths(dict):
     def __missing__(self, word: str) -> int:
         raw = word.encode("utf-8", "replace")
         length = self.automaton.length([*raw[:-1], raw[-1] + 256])
-        if len(self) >= KEPT:
-            self.clear()
-        self[word] = length
+        if len(word) <= LONG_WORD:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = length
         return length
 
 
-@lru_cache(maxsize=1)
-def word_lengths(data: bytes) -> _WordLengths:
-    return _WordLengths(automaton_of(data))
-
-
 def token_counts(docs: DataFrame, vocabulary: Broadcast, text: str = "text") -> DataFrame:
     """Adds ``n_words`` and ``n_tokens`` to the rows of ``docs`` (columns of these names are replaced); no shuffle."""
     kept = docs.drop("n_words", "n_tokens")
@@ -146,7 +143,7 @@ def token_counts(docs: DataFrame, vocabulary: Broadcast, text: str = "text") ->
                            T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = word_lengths(vocabulary.value).__getitem__
+        lengths = _WordLengths(automaton_of(vocabulary.value)).__getitem__
         for batch, texts in slices(batches, text):
             words = [WORDS(t.decode("utf-8", "replace").lower()) for t in texts]
             counts = [pa.array(list(map(len, words)), pa.int64()),

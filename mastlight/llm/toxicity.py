@@ -37,7 +37,8 @@ SECOND_PERSON = frozenset(
 #: Letters that digits and signs stand for in disguised words.
 PLAIN = str.maketrans("013457@$!|", "oieastasil")
 LONG_WORD = 64
-KEPT = 600_000
+#: Words that a task keeps the marks of; with their length bounded, some 20 MB.
+KEPT = 100_000
 DRAWN_OUT = re.compile(r"([^\W\d_])\1{2,}").search
 SIGNS = [ord(c) for c in "!?.,;:"]
 UPPER = [*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]
