@@ -75,7 +75,7 @@ def test_rows_of_one_phrase(spark):
 @pytest.mark.parametrize("words,ids", [(1, 90_000), (2, 300), (4, 40)])
 def test_trie_counts_bursts_and_spills(words, ids):
     rng = np.random.default_rng(words)
-    trie, wanted, out, kinds = c.HatTrie(words, burst=50), Counter(), Counter(), set()
+    trie, wanted, out, kinds = c.HatTrie(words, burst=15), Counter(), Counter(), set()
     for _ in range(30):
         n = rng.integers(1, words + 1)
         grid = rng.integers(1, ids, (500, n)) ** 2 // ids + 1  # some words are far more frequent
