@@ -328,7 +328,7 @@ def _triangles(rows: DataFrame, sums: dict[int, tuple[int, tuple[int, ...]]]) ->
     level = written(rows.select("x").mapInArrow(reduced, "size int, part long, triangle binary"), "triangles")
     while (level.groupBy("size").count().agg(F.max("count")).first()[0] or 0) > 1:
         level = written(
-            level.groupBy("size", F.floor(F.col("part") / FAN_IN).alias("part")).applyInArrow(
+            level.groupBy("size", F.floor(F.col("part") / FAN_IN).alias("above")).applyInArrow(
                 stacked, "size int, part long, triangle binary"), "triangles")
     return {r["size"]: np.frombuffer(r.triangle, "<f8").reshape(-1, r["size"]) for r in level.toLocalIterator()}
 

@@ -63,6 +63,17 @@ def test_repeated_odd_and_short_vectors(spark):
     assert w.whitened_components(frame.where("embedding IS NULL")).count() == 0
 
 
+def test_triangles_of_many_tasks_are_stacked(spark):
+    prepare(spark)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 3)) @ rng.normal(size=(3, 3)) * 99
+    whole = np.floor(x).astype(int)
+    rows = spark.createDataFrame([(v,) for v in whole.tolist()], "x array<long>").repartition(40)
+    triangle = w._triangles(rows, w._sums(rows))[3]
+    centred = whole - whole.mean(0)
+    assert np.allclose(triangle.T @ triangle, centred.T @ centred, rtol=1e-9)
+
+
 def test_equal_variances_and_entries_that_are_large(spark):
     prepare(spark)
     axes = np.concatenate([np.eye(4), -np.eye(4)]) * 3
