@@ -1,11 +1,10 @@
 """Statistics of fact rows in the window before each anchor time.
 
-A plain range join would match every fact row with every window that covers it.  Here each fact
-row is first snapped to the part of the time line it lies in: windows are cut into clock cells
-(minutes or hours), and cells are cut again at the window edges.  Parts do not overlap and no
-window edge lies inside one, so a fact row joins exactly one part and is summed up there, before
-the shuffle.  Windows are then made up from parts, whose number depends on the windows and not on
-the facts.
+A plain range join would match every fact row with every window that covers it.  For a few windows each fact
+row is snapped to the part of the time line it lies in: windows are cut into clock cells (minutes or hours), and
+cells are cut again at the window edges.  Parts do not overlap and no window edge lies inside one, so a
+fact row joins exactly one part, which is broadcast, and is summed up there, before the shuffle.  Many windows are made up from a
+tree of sums over the time line (``sumtree``), which facts enter without meeting a window.
 """
 
 from __future__ import annotations
@@ -15,12 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mastlight.operators.measures import Measure, merges, partial_names, partials
+from mastlight.operators.measures import Measure, merges, partials
+from mastlight.operators.sumtree import window_sums
 from mastlight.operators.timeslice import at_or_after, before
-from mastlight.session import written
 
-#: Cell that windows of many smaller cells are put together from.
-LARGER_CELL = {"minute": "hour", "hour": "day"}
+#: Windows whose parts may be broadcast: those of a limited list.
+MOST_BOUNDED = 1000
 #: Column with the category counts of a window: array of (category, total), unordered.
 CATEGORIES = "_categories"
 
@@ -29,24 +28,23 @@ def _floor(time: str, cell: str) -> Column:
     return F.expr(f"cast(date_trunc('{cell}', {time}) AS timestamp_ntz)")
 
 
-def parts_of(windows: DataFrame, keys: Sequence[str], cell: str, bounded: bool) -> DataFrame:
-    """All cells the windows touch, cut at every window edge: keys, cell, [part, part_end)."""
+def parts_of(windows: DataFrame, keys: Sequence[str], cell: str) -> DataFrame:
+    """All cells the windows touch, cut at every window edge: keys, cell, [part, part_end).  For few windows."""
     first, last = f"cast(date_trunc('{cell}', lower) AS timestamp_ntz)", f"cast(date_trunc('{cell}', upper) AS timestamp_ntz)"
-    cells = f"sequence(_first, _last, INTERVAL 1 {cell})"
-    ranged = windows.selectExpr(*keys, "lower", "upper", f"{first} AS _first", f"{last} AS _last")
-    if bounded:
-        points = ranged.selectExpr(*keys, f"explode(concat({cells}, array(lower, upper))) AS part")
-    else:
-        # Many windows share their first and last cell: list the cells between only once.
-        shared = ranged.select(*keys, "_first", "_last").distinct()
-        points = shared.selectExpr(*keys, f"explode({cells}) AS part").unionByName(
-            ranged.selectExpr(*keys, "explode(array(lower, upper)) AS part")
-        )
+    points = windows.selectExpr(
+        *keys, f"explode(concat(sequence({first}, {last}, INTERVAL 1 {cell}), array(lower, upper))) AS part")
     points = points.distinct().withColumn("cell", _floor("part", cell))
     following = F.lead("part").over(Window.partitionBy(*keys, "cell").orderBy("part"))
     return points.withColumn("part_end", F.coalesce(following, F.expr(f"cell + INTERVAL 1 {cell}")))
 
 
+def _between(windows: DataFrame, facts: DataFrame, time: str) -> DataFrame:
+    """Facts between the first and the last edge; the bounds reach the scan."""
+    edges = windows.agg(F.min("lower").alias("lower"), F.max("upper").alias("upper"))
+    facts = at_or_after(facts, time, edges.select("lower").scalar())
+    return before(facts, time, edges.select("upper").scalar())
+
+
 def snap(
     windows: DataFrame,
     facts: DataFrame,
@@ -55,16 +53,9 @@ def snap(
     measures: Sequence[Measure],
     cell: str,
     category: str | None,
-    bounded: bool,
 ) -> DataFrame:
     """Partial aggregates of the facts per keys, cell, part and category."""
-    edges = windows.agg(F.min("lower").alias("lower"), F.max("upper").alias("upper"))
-    facts = at_or_after(facts, time, edges.select("lower").scalar())
-    facts = before(facts, time, edges.select("upper").scalar())
-    parts = parts_of(windows, keys, cell, bounded)
-    parts = parts.withColumnsRenamed({k: f"_part_{k}" for k in keys})
-    if bounded:
-        parts = F.broadcast(parts)
+    parts = F.broadcast(parts_of(windows, keys, cell).withColumnsRenamed({k: f"_part_{k}" for k in keys}))
     located = facts.withColumn("_cell", _floor(time, cell))
     test = (F.col("_cell") == F.col("cell")) & (F.col(time) >= F.col("part")) & (F.col(time) < F.col("part_end"))
     for key in keys:
@@ -90,63 +81,9 @@ def _from_cells(
     return covered.groupBy(*keys, "upper", *kind).agg(*merges(measures))
 
 
-def _from_edges(
-    windows: DataFrame, snapped: DataFrame, keys: Sequence[str], kind: Sequence[str], cell: str,
-    measures: Sequence[Measure],
-) -> DataFrame:
-    """Windows as the rest of their first cell, the cells between, and the start of their last cell.
-
-    Works in the next larger clock cell.  The first and last cell come from running sums within a
-    cell, and the cells between are summed once for all windows that end in the same cell, so the
-    work is linear in the windows even when many of them crowd into one cell.  Sums are only added,
-    never subtracted.
-    """
-    cell = LARGER_CELL[cell]
-    snapped = snapped.withColumn("cell", _floor("part", cell))
-    names = partial_names(measures)
-    totals = snapped.groupBy(*keys, "cell", *kind).agg(*merges(measures))
-    markers = windows.select(
-        *keys, "upper", F.expr("explode(array(lower, upper))").alias("part")
-    ).withColumn("cell", _floor("part", cell))
-    if kind:
-        markers = markers.join(totals.select(*keys, "cell", *kind), [*keys, "cell"])
-    lined_up = snapped.withColumn("upper", F.lit(None).cast("timestamp_ntz")).unionByName(
-        markers, allowMissingColumns=True
-    )
-    # A marker sorts before the rows of its own part, so "before" leaves them out and "from" has them.
-    is_data = F.col("upper").isNull()
-    cells = Window.partitionBy(*keys, "cell", *kind)
-    ahead = cells.orderBy("part", is_data).rowsBetween(Window.unboundedPreceding, -1)
-    behind = cells.orderBy(F.desc("part"), is_data.desc()).rowsBetween(Window.unboundedPreceding, 0)
-    is_tail = F.col("part") == F.col("upper")
-    edges = (
-        lined_up.select(
-            *keys, "upper", "part", *kind,
-            *[F.sum(n).over(ahead).alias(f"_a_{n}") for n in names],
-            *[F.sum(n).over(behind).alias(f"_b_{n}") for n in names],
-        )
-        .filter("upper IS NOT NULL")
-        .select(
-            *keys, "upper", *kind,
-            *[F.when(is_tail, F.col(f"_a_{n}")).otherwise(F.col(f"_b_{n}")).alias(n) for n in names],
-        )
-    )
-    ends = windows.select(
-        *keys, "upper", _floor("lower", cell).alias("_first"), _floor("upper", cell).alias("_last")
-    )
-    between = F.expr(
-        f"explode(sequence(_first + INTERVAL 1 {cell}, _last - INTERVAL 1 {cell}, INTERVAL 1 {cell}))"
-    )
-    middles = (
-        ends.select(*keys, "_first", "_last").distinct()
-        .filter(f"_first + INTERVAL 2 {cell} <= _last")
-        .select(*keys, "_first", "_last", between.alias("cell"))
-        .join(totals, [*keys, "cell"])
-        .groupBy(*keys, "_first", "_last", *kind)
-        .agg(*merges(measures))
-    )
-    inner = ends.join(middles, [*keys, "_first", "_last"]).select(*keys, "upper", *kind, *names)
-    return edges.unionByName(inner).groupBy(*keys, "upper", *kind).agg(*merges(measures))
+def few(anchors: DataFrame) -> bool:
+    """Whether the rows that windows are made of are so few that the windows' parts may be broadcast; counted."""
+    return anchors.limit(MOST_BOUNDED + 1).count() <= MOST_BOUNDED
 
 
 def preceding_stats(
@@ -163,16 +100,16 @@ def preceding_stats(
 
     ``windows`` has distinct ``keys, lower, upper`` and spans at least two hours for minute cells,
     two days for hour cells.
-    ``bounded`` says that there are few of them (a list limit), so their parts may be broadcast;
-    otherwise the snapped facts are written to the shared folder and combined without any broadcast.  Output: keys,
-    upper, partial columns, and the category counts where there is a ``category``.
+    ``bounded`` says that they are few, by a limit or by ``few``: their parts are broadcast then.  All others are made up
+    from the sum tree, without any broadcast.  Output: keys, upper, partial columns, and the category counts where there
+    is a ``category``.
     """
-    snapped = snap(windows, facts, time, keys, measures, cell, category, bounded)
     kind = ["_category"] if category else []
+    facts = _between(windows, facts, time)
     if bounded:
-        combined = _from_cells(windows, snapped, keys, kind, cell, measures)
+        combined = _from_cells(windows, snap(windows, facts, time, keys, measures, cell, category), keys, kind, cell, measures)
     else:
-        combined = _from_edges(windows, written(snapped, "snapped"), keys, kind, cell, measures)
+        combined = window_sums(windows, facts, time, keys, measures, category)
     return _fold(combined, [*keys, "upper"], measures, category)
 
 

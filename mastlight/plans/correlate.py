@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mastlight.fixed_values import BAD_HEALTH, HIGH_PRIORITY
 from mastlight.operators.listing import clamp_limit
 from mastlight.operators.measures import Measure, average, matches, rows, total
-from mastlight.operators.preceding import CATEGORIES, daily_stats, preceding_stats
+from mastlight.operators.preceding import CATEGORIES, daily_stats, few, preceding_stats
 from mastlight.schemas import PARTITION_COLUMN
 from mastlight.session import pinned
 
@@ -132,7 +132,10 @@ def newest_outages(outages: DataFrame, limit: int | str | None = 100) -> DataFra
 
 
 def block_summary(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = False) -> DataFrame:
-    """Partial aggregates per distinct window (outages that share one are computed once)."""
+    """Partial aggregates per distinct window (outages that share one are computed once).
+
+    ``bounded`` is for a list that a limit or ``few`` keeps small.
+    """
     block = BLOCKS[name]
     used = {*block.keys, block.time, block.category, PARTITION_COLUMN}
     facts = facts.select(*[c for c in facts.columns if c in used or _measured(c, block)])
@@ -166,30 +169,28 @@ def _anchored(outages: DataFrame) -> DataFrame:
 
 def _joined(left: DataFrame, name: str, facts: DataFrame, outages: DataFrame, bounded: bool) -> DataFrame:
     summary = block_summary(name, outages, facts, bounded).withColumnRenamed(CATEGORIES, f"{CATEGORIES}_{name}")
-    # At most one row per listed outage when the list is limited.
-    small = F.broadcast(summary) if bounded else summary
-    return left.join(small, BLOCKS[name].window, "left")
+    return left.join(summary, BLOCKS[name].window, "left")
 
 
 def block_stats(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = False) -> DataFrame:
-    """The given outages with one block's columns; ``bounded`` only for a limited list of outages."""
-    out = _joined(_anchored(outages), name, facts, outages, bounded)
+    """The given outages with one block's columns; ``bounded`` for a list that may be short, which is counted."""
+    out = _joined(_anchored(outages), name, facts, outages, bounded and few(outages))
     return out.selectExpr(*outages.columns, *_result_sql(BLOCKS[name]))
 
 
 def block_categories(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = False) -> DataFrame:
     """Category counts before each outage as rows: outage columns, category, total."""
-    out = _joined(_anchored(outages), name, facts, outages, bounded)
+    out = _joined(_anchored(outages), name, facts, outages, bounded and few(outages))
     return out.selectExpr(*outages.columns, f"inline({CATEGORIES}_{name})")
 
 
 def correlate_outages(tables: Mapping[str, DataFrame], limit: int | str | None = 100) -> DataFrame:
     """Each of the newest outages with the statistics of all ten fact tables before it.
 
-    Category counts are maps with sorted keys.  ``limit=None`` takes every outage; nothing is
-    broadcast then.
+    Category counts are maps with sorted keys.  ``limit=None`` takes every outage: windows are then made up from
+    sum trees, and nothing is broadcast by hint.
     """
-    bounded = limit is not None
+    bounded = limit is not None  # at most 500, by newest_outages
     outages = pinned(newest_outages(tables["outages"], limit))
     out = _anchored(outages)
     columns = ["id AS outage_id" if c == "id" else c for c in outages.columns]

@@ -155,8 +155,8 @@ def _categories(name: str) -> str:
     )
 
 
-def _correlation() -> str:
-    views, steps, columns, joins = ["outages"], {"chosen": NEWEST_OUTAGES}, [], []
+def _correlation(chosen: str = NEWEST_OUTAGES) -> str:
+    views, steps, columns, joins = ["outages"], {"chosen": chosen}, [], []
     for name, (table, _, aggregates, category) in BLOCK_SQL.items():
         views.append(table)
         steps[f"s_{name}"] = block_sql(name, "o.id")
@@ -437,6 +437,7 @@ def core_oracles() -> dict[str, str]:
         "outages_last_30_days": over("outages", sql=(
             f"SELECT COUNT(*) AS total_outages_30d FROM outages WHERE started_at > {NOW} - INTERVAL 30 DAY")),
         "outages_correlate": _correlation(),
+        "outages_correlate_all": _correlation("SELECT * FROM outages"),
         "risk_inputs": _risk("SELECT * FROM inputs", scored=False),
         "outage_risk": _risk(
             f"SELECT operator, score, {BAND} AS band, CASE WHEN evidence_count >= 300 THEN 'high' "
@@ -477,14 +478,8 @@ def core_oracles() -> dict[str, str]:
         out[f"load_breakdown_{table}"] = over(
             table, sql=f"SELECT {keys}, COUNT(*) AS rows{more} FROM {table} GROUP BY {keys}")
     for name, (table, _, _, category) in BLOCK_SQL.items():
-        out[f"correlate_{name}"] = over("outages", table, steps={"chosen": NEWEST_OUTAGES}, sql=block_sql(name))
-        if category:
-            out[f"correlate_{name}_categories"] = over(
-                "outages", table, steps={"chosen": NEWEST_OUTAGES}, sql=_categories(name))
-    for name in ("readings", "hardware", "uptime", "technician"):
-        table = BLOCK_SQL[name][0]
-        out[f"correlate_{name}_all_outages"] = over(
-            "outages", table, steps={"chosen": "SELECT * FROM outages"}, sql=block_sql(name))
-    out["correlate_events_categories_all_outages"] = over(
-        "outages", "network_events", steps={"chosen": "SELECT * FROM outages"}, sql=_categories("events"))
+        for suffix, chosen in (("", NEWEST_OUTAGES), ("_all_outages", "SELECT * FROM outages")):
+            out[f"correlate_{name}{suffix}"] = over("outages", table, steps={"chosen": chosen}, sql=block_sql(name))
+            if category:
+                out[f"correlate_{name}_categories{suffix}"] = over("outages", table, steps={"chosen": chosen}, sql=_categories(name))
     return out

@@ -160,13 +160,12 @@ def core_queries() -> dict[str, Query]:
     for table in summaries.BREAKDOWNS:
         add(f"load_breakdown_{table}", lambda t, table=table: summaries.load_breakdown(table, t[table]))
     for name, block in correlate.BLOCKS.items():
-        out[f"correlate_{name}"] = _block_query(name)
-        if block.category:
-            out[f"correlate_{name}_categories"] = _category_query(name)
-    for name in ("readings", "hardware", "uptime", "technician"):
-        out[f"correlate_{name}_all_outages"] = _block_query(name, None)
-    out["correlate_events_categories_all_outages"] = _category_query("events", None)
+        for suffix, limit in (("", 500), ("_all_outages", None)):
+            out[f"correlate_{name}{suffix}"] = _block_query(name, limit)
+            if block.category:
+                out[f"correlate_{name}_categories{suffix}"] = _category_query(name, limit)
     add("outages_correlate", lambda t: _flat_correlation(correlate.correlate_outages(t, 500)))
+    add("outages_correlate_all", lambda t: _flat_correlation(correlate.correlate_outages(t, None)))
     out["risk_inputs"] = _risk_inputs
     out["outage_risk"] = _risk_rows
     out["outage_risk_highest"] = lambda s, d: risk.highest_risk(_risks(s, d)).select("operator", "score", "band")
