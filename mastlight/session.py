@@ -67,3 +67,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     folder = new_work_folder(df.sparkSession, label)
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that only the caller's job has written and nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -14,10 +14,6 @@ from mastlight.sources.feed import PLACE, outages_from_feed
 from mastlight.sources.store import TableStore
 from mastlight.streaming.runs import event_time, keep_batches
 
-#: Ways the rows of one operator and hour are split over tasks.
-LANES = 4
-
-
 def first_arrivals(stream: DataFrame, key: Sequence[str], time: str, delay: str = "1 day") -> DataFrame:
     """Each natural key once, remembering keys for as long as repeats may arrive."""
     return event_time(stream, time, delay).dropDuplicatesWithinWatermark(list(key))
@@ -49,35 +45,33 @@ def track_signals_before(
 ) -> None:
     """Sum the readings in the two hours before each outage, as either side arrives.
 
-    The join key is operator, clock hour and lane: an outage is repeated for the hours its window
-    touches and for every lane, a reading has one of each, so an operator that sends most of the
-    readings is spread over tasks.  Matched pairs are summed within the micro-batch; only sums are
-    written.
+    Readings are summed per operator and second first; a second's sums come out once the watermark has passed it.  They are
+    then joined with the outages whose window holds the second, so the join's state holds seconds, however many
+    readings there are.  Windows begin and end with whole seconds, as the feed gives start times in seconds.  An
+    outage without any reading comes out once, without sums, when the watermark has passed its start.
     """
     block = BLOCKS["readings"]
-    hour = "date_trunc('hour', {})"
-    left = event_time(outages, "started_at", delay).selectExpr(
-        "id AS outage_id",
-        "operator AS outage_operator",
-        "started_at",
-        f"explode(sequence({hour.format(f'started_at - INTERVAL {block.hours} HOURS')}, started_at, INTERVAL 1 HOUR)) AS hour",
-    ).selectExpr("*", f"explode(sequence(0, {LANES - 1})) AS lane")
-    right = event_time(readings, "recorded_at", delay).selectExpr(
-        "*", f"{hour.format('recorded_at')} AS reading_hour", f"cast(pmod(xxhash64(id), {LANES}) AS int) AS reading_lane"
+    seconds = (
+        event_time(readings, "recorded_at", delay)
+        .groupBy(F.window("recorded_at", "1 second").alias("_second"), "operator").agg(*partials(block.measures))
+        .withColumn("second_end", F.window_time("_second")).drop("_second")
     )
+    left = event_time(outages, "started_at", delay).selectExpr("id AS outage_id", "operator AS outage_operator", "started_at")
+    # ``second_end`` is the last instant within the second.
     before = (
-        "operator = outage_operator AND reading_hour = hour AND reading_lane = lane "
-        f"AND recorded_at >= started_at - INTERVAL {block.hours} HOURS AND recorded_at < started_at"
+        f"operator = outage_operator AND second_end >= started_at - INTERVAL {block.hours} HOURS AND second_end < started_at"
     )
-    pairs = left.join(right, F.expr(before))
+    pairs = left.join(seconds, F.expr(before), "left_outer")
     keep_batches(
-        pairs, path, checkpoint, shape=lambda batch: batch.groupBy("outage_id").agg(*partials(block.measures))
+        pairs, path, checkpoint, shape=lambda batch: batch.groupBy("outage_id", "started_at").agg(*merges(block.measures))
     )
 
 
-def read_signals_before(spark: SparkSession, path: str, outages: DataFrame) -> DataFrame:
-    """All outages with the sums so far; those without a reading have count 0."""
+def read_signals_before(spark: SparkSession, path: str) -> DataFrame:
+    """The outages that have come out, with the sums so far; those without a reading have count 0.
+
+    An outage is complete when a later one without readings could come out, that is when the watermark has passed its start.
+    """
     measures = BLOCKS["readings"].measures
-    sums = spark.read.parquet(path).groupBy("outage_id").agg(*merges(measures))
-    joined = outages.join(sums, outages["id"] == sums["outage_id"], "left")
-    return joined.select("id", "operator", "started_at", *results(measures))
+    sums = spark.read.parquet(path).groupBy("outage_id").agg(F.first("started_at").alias("started_at"), *merges(measures))
+    return sums.select(F.col("outage_id").alias("id"), F.col("started_at").cast("timestamp_ntz").alias("started_at"), *results(measures))

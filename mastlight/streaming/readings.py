@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.operators.latest import READING_COLUMNS, entity_key, pick_first
-from mastlight.operators.measures import average, partials, results, rows
+from mastlight.operators.latest import READING_COLUMNS, entity_key
+from mastlight.operators.measures import average, merges, partials, results, rows
 from mastlight.schemas import PARTITION_COLUMN, TABLES
 from mastlight.sources.readings import device_readings, resolve_towers
-from mastlight.streaming.runs import append_available, event_time, keep_batches
+from mastlight.streaming.runs import append_available, event_time
+from mastlight.streaming.snapshot import Snapshot
 
 
 def ingest_readings(
@@ -46,10 +47,16 @@ MEASURES = (
 def windowed_averages(
     readings: DataFrame, keys: list[str], length: str, step: str | None = None, delay: str = "10 minutes"
 ) -> DataFrame:
-    """Averages per key and time window; a window comes out once the watermark has passed it."""
+    """Averages per key and time window; a window comes out once the watermark has passed it.
+
+    Overlapping windows are made up from panes as long as the step: a reading enters one pane, and a closed
+    pane's sums enter the windows that cover it.
+    """
     timed = event_time(readings, "recorded_at", delay)
-    window = F.window("recorded_at", length, step) if step else F.window("recorded_at", length)
-    grouped = timed.groupBy(window.alias("_window"), *keys).agg(*partials(MEASURES))
+    grouped = timed.groupBy(F.window("recorded_at", step or length).alias("_window"), *keys).agg(*partials(MEASURES))
+    if step:
+        whole = F.window(F.window_time("_window"), length, step)
+        grouped = grouped.groupBy(whole.alias("_whole"), *keys).agg(*merges(MEASURES)).withColumnRenamed("_whole", "_window")
     return grouped.select(
         F.col("_window.start").cast("timestamp_ntz").alias("bucket"), *keys, *results(MEASURES)
     )
@@ -65,16 +72,39 @@ def rolling_summary(readings: DataFrame, delay: str = "10 minutes") -> DataFrame
     return windowed_averages(readings, ["operator"], "1 hour", "5 minutes", delay)
 
 
-def track_latest(readings: DataFrame, path: str, checkpoint: str) -> None:
-    """Keep the newest reading per entity in the state store; each batch writes the changed ones."""
-    keyed = readings.withColumn("_entity", entity_key(readings))
+def _entity_rows(readings: DataFrame) -> DataFrame:
     columns = [c for c in ("id", *READING_COLUMNS) if c in readings.columns]
-    newest = F.max_by(F.struct(*columns), F.struct("recorded_at", "id")).alias("_newest")
-    state = keyed.groupBy("_entity").agg(newest).select("_entity", "_newest.*")
-    keep_batches(state, path, checkpoint, mode="update")
+    return readings.select(entity_key(readings).alias("_entity"), *columns)
+
+
+def track_latest(
+    readings: DataFrame, path: str, checkpoint: str, buckets: int = 16, keep_days: int | None = None
+) -> None:
+    """Keep the newest reading per entity as a versioned snapshot, which each micro-batch brings up to date.
+
+    With ``keep_days`` an entity is forgotten, when its bucket is next written, once the batch is so much newer than it.
+    """
+    def take(batch: DataFrame, batch_id: int) -> None:
+        state = Snapshot(batch.sparkSession, path, "_entity", buckets)
+        keep = None
+        if keep_days is not None:
+            newest = batch.agg(F.max("recorded_at").alias("t")).first().t
+            keep = None if newest is None else F.col("recorded_at") >= F.lit(newest - dt.timedelta(days=keep_days))
+        state.merge(batch, batch_id, F.struct("recorded_at", "id"), keep)
+
+    (
+        _entity_rows(readings).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start().awaitTermination()
+    )
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The current state: of the changes per entity the one of the last batch."""
-    changes = spark.read.parquet(path)
-    return pick_first(changes, ["_entity"], [F.desc("batch")]).drop("_entity", "batch")
+    """The current state: the last version of the snapshot."""
+    state = Snapshot(spark, path, "_entity")
+    versions = state.versions()
+    if not versions:
+        raise ValueError(f"no snapshot at {path}")
+    folders = list(state.folders(versions[-1]).values())
+    if not folders:
+        raise ValueError(f"the snapshot at {path} is empty")
+    return spark.read.parquet(*folders).drop("_entity")

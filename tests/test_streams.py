@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from mastlight.streaming import outages as outage_streams
 from mastlight.streaming import readings as reading_streams
 from mastlight.streaming.runs import append_available
+from mastlight.streaming.snapshot import Snapshot
 
 START = dt.datetime(2024, 1, 1)
 READING = "id bigint, tower_id int, cell_id bigint, city string, operator string, network string, signal_dbm double, " \
@@ -60,6 +61,57 @@ def test_latest_state_over_batches(spark, feed, tmp_path):
     assert {(r.tower_id, r.id) for r in reading_streams.read_latest(spark, out).collect()} == {(1, 3), (2, 2)}
 
 
+def test_latest_state_stays_small(spark, tmp_path):
+    """Ten batches over the same entities: the folder levels off, and a batch that runs again changes nothing."""
+    out, sizes = str(tmp_path / "state"), []
+    state = Snapshot(spark, out, "_entity", buckets=4)
+    newest = F.struct("recorded_at", "id")
+    for batch in range(10):
+        rows = [(e, *reading(100 * batch + e, batch * 10 + e, tower=e)) for e in range(40)]
+        frame = spark.createDataFrame(rows, "_entity bigint, " + READING)
+        state.merge(frame, batch, newest)
+        if batch == 6:
+            state.merge(frame, batch, newest)
+        sizes.append(sum(1 for p in (tmp_path / "state").rglob("*.parquet")))
+    assert state.versions() == [8, 9] and sizes[-1] == sizes[3] and max(sizes) <= 2 * 4 + 2
+    got = {r.tower_id: r.id for r in reading_streams.read_latest(spark, out).collect()}
+    assert got == {e: 900 + e for e in range(40)}
+    # One bucket touched: the others keep their folders, and the one that is not named any more goes.
+    state.merge(spark.createDataFrame([(7, *reading(5000, 5000, tower=7))], "_entity bigint, " + READING), 10, newest,
+                F.col("recorded_at") >= F.lit(START + dt.timedelta(minutes=2000)))
+    got = {r.tower_id: r.id for r in reading_streams.read_latest(spark, out).collect()}
+    assert got[7] == 5000 and 20 < len(got) < 40  # the rest of its bucket has expired
+    state.merge(spark.createDataFrame([], "_entity bigint, " + READING), 11, newest)
+    assert reading_streams.read_latest(spark, out).count() == len(got) and state.versions() == [10, 11]
+
+
+def test_forgotten_entities(spark, feed, tmp_path):
+    source = feed("readings", READING)
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    for day in (0, 3):
+        source.add(reading(day, day * 1440, tower=day))
+        reading_streams.track_latest(source.stream(), out, check, buckets=1, keep_days=2)
+    assert [r.tower_id for r in reading_streams.read_latest(spark, out).collect()] == [3]
+
+
+def test_overlapping_windows_are_made_from_panes(spark, feed, tmp_path):
+    source = feed("readings", READING)
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    source.add(*[reading(i, i / 10, signal=-float(i % 7)) for i in range(600)])
+    source.add(reading(1000, 300))
+    stream = reading_streams.rolling_summary(source.stream())
+    query = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", check)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    # 600 readings lie in 12 panes: neither operator ever holds a reading for each window that covers it.
+    assert max(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"]) <= 12 * 12 + 12
+    rows = {r.bucket: (r["count"], r.avg_signal) for r in spark.read.parquet(out).collect()}
+    for bucket, (count, signal) in rows.items():
+        inside = [-float(i % 7) for i in range(600) if bucket <= START + dt.timedelta(minutes=i / 10) < bucket + dt.timedelta(hours=1)]
+        assert count == len(inside) and abs(signal - sum(inside) / count) < 1e-9
+    assert len(rows) == 23
+
+
 def test_repeats_are_dropped_across_batches(spark, feed, tmp_path):
     source = feed("events", "event_id string, event_time timestamp_ntz")
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
@@ -76,16 +128,24 @@ def test_signals_before_outages_in_any_arrival_order(spark, feed, tmp_path):
 
     def run():
         outage_streams.track_signals_before(outages.stream(), readings.stream(), out, check, "6 hours")
+        return {r.id: (r.sample_count, r.pre_avg_signal) for r in outage_streams.read_signals_before(spark, out).collect()}
+
+    def hour(n):
+        return START + dt.timedelta(hours=n)
 
-    outages.add((1, "MTN", START + dt.timedelta(hours=2)), (2, "Glo", START + dt.timedelta(hours=2)))
+    outages.add((1, "MTN", hour(2)), (2, "Glo", hour(2)), (4, None, hour(2)))
     readings.add(reading(1, 0), reading(2, 119, signal=-90.0), reading(3, 120))
-    run()
+    assert run() == {}  # no second is closed yet
     readings.add(reading(4, 60, signal=-100.0), reading(5, 60, operator="Airtel"))
-    outages.add((3, "Airtel", START + dt.timedelta(hours=3)))
+    outages.add((3, "Airtel", hour(3)), (5, "MTN", hour(30)))
+    run()
+    # Both watermarks pass the starts: sums, and outages without any reading, come out.
+    readings.add(reading(6, 60 * 40))
+    outages.add((6, "Glo", hour(40)))
     run()
-    table = spark.read.schema(outage).parquet(outages.path)
-    got = {r.id: (r.sample_count, r.pre_avg_signal) for r in outage_streams.read_signals_before(spark, out, table).collect()}
-    assert got == {1: (3, -90.0), 2: (0, None), 3: (1, -80.0)}
+    outages.add((7, "Glo", hour(41)))
+    readings.add(reading(7, 60 * 41))
+    assert run() == {1: (3, -90.0), 2: (0, None), 3: (1, -80.0), 4: (0, None), 5: (0, None)}
 
 
 def test_ingest_resumes_and_skips_bad_lines(spark, tmp_path):

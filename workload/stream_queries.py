@@ -19,21 +19,36 @@ from mastlight.streaming import readings as reading_streams
 from mastlight.streaming.runs import append_available
 from workload import raw_files
 from workload.core_oracles import BLOCK_SQL, NOW, avg, block_sql, over
-from workload.views import AS_OF, VIEWS, Tables, duck_view, view_sql
+from workload.views import AS_OF, Tables, duck_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 DELAY_MINUTES = 10
 
 
-def stream_view(tables: Tables, name: str) -> DataFrame:
-    """The view over a stream of its base table's file."""
-    base = VIEWS[name][0]
-    stream = (
-        tables.spark.readStream.schema(tables.open(base).schema)
-        .option("pathGlobFilter", f"{base}.parquet")
-        .parquet(tables.folder)
-    )
-    return stream.selectExpr(*view_sql(name))
+#: Parts of time in which a stream's rows arrive, one run each.
+ARRIVALS = 3
+
+
+def in_time_order(tables: Tables, times: dict[str, str], run: Callable[[dict[str, DataFrame]], None]) -> None:
+    """Let the rows of some views arrive in parts, earlier times first, and run the stream after each part.
+
+    ``times`` names the time column of each view; the runs share their checkpoint, so each goes on where the last one ended.
+    """
+    spark, folder = tables.spark, new_work_folder(tables.spark, "arriving")
+    ends = [tables[name].agg(F.min(time).alias("low"), F.max(time).alias("high")).first() for name, time in times.items()]
+    low, high = min(e.low for e in ends), max(e.high for e in ends)
+    cuts = [low + (high - low) * i / ARRIVALS for i in range(1, ARRIVALS)]
+    for part in range(ARRIVALS):
+        streams = {}
+        for name, time in times.items():
+            rows = tables[name]
+            if part:
+                rows = rows.where(F.col(time) >= F.lit(cuts[part - 1]))
+            if part < ARRIVALS - 1:
+                rows = rows.where((F.col(time) < F.lit(cuts[part])) if part else (F.col(time) < F.lit(cuts[0])) | F.col(time).isNull())
+            rows.write.mode("append").parquet(f"{folder}/{name}")
+            streams[name] = spark.readStream.schema(rows.schema).parquet(f"{folder}/{name}")
+        run(streams)
 
 
 def _folders(spark: SparkSession, label: str) -> tuple[str, str]:
@@ -53,8 +68,8 @@ def _ingest(spark: SparkSession, folder: str) -> DataFrame:
 def _averages(build: Callable[[DataFrame, str], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         path, checkpoint = _folders(spark, "averages")
-        averages = build(stream_view(Tables(spark, folder), "readings"), f"{DELAY_MINUTES} minutes")
-        append_available(averages, path, checkpoint)
+        in_time_order(Tables(spark, folder), {"readings": "recorded_at"}, lambda streams: append_available(
+            build(streams["readings"], f"{DELAY_MINUTES} minutes"), path, checkpoint))
         out = spark.read.parquet(path)
         return out.withColumns({c: rounded(F.col(c), 6) for c in ("avg_signal", "avg_latency", "avg_dl", "avg_ul")})
 
@@ -63,27 +78,32 @@ def _averages(build: Callable[[DataFrame, str], DataFrame]) -> Query:
 
 def _latest(spark: SparkSession, folder: str) -> DataFrame:
     path, checkpoint = _folders(spark, "latest")
-    reading_streams.track_latest(stream_view(Tables(spark, folder), "readings"), path, checkpoint)
+    in_time_order(Tables(spark, folder), {"readings": "recorded_at"}, lambda streams: reading_streams.track_latest(
+        streams["readings"], path, checkpoint))
     return reading_streams.read_latest(spark, path)
 
 
 def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """Every other event arrives twice."""
     path, checkpoint = _folders(spark, "arrivals")
-    events = stream_view(Tables(spark, folder), "network_events")
-    repeated = events.withColumn("copy", F.expr("explode(sequence(0, affected_users % 2))")).drop("copy")
-    append_available(outage_streams.first_arrivals(repeated, ["event_id"], "event_time"), path, checkpoint)
+
+    def run(streams: dict[str, DataFrame]) -> None:
+        repeated = streams["network_events"].withColumn("copy", F.expr("explode(sequence(0, affected_users % 2))")).drop("copy")
+        append_available(outage_streams.first_arrivals(repeated, ["event_id"], "event_time"), path, checkpoint)
+
+    in_time_order(Tables(spark, folder), {"network_events": "event_time"}, run)
     out = spark.read.parquet(path)
     return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
 def _signals(spark: SparkSession, folder: str) -> DataFrame:
+    """The outages that are complete: those whose start both watermarks have passed."""
     tables = Tables(spark, folder)
     path, checkpoint = _folders(spark, "signals")
-    outage_streams.track_signals_before(
-        stream_view(tables, "outages"), stream_view(tables, "readings"), path, checkpoint
-    )
-    return outage_streams.read_signals_before(spark, path, tables["outages"])
+    in_time_order(tables, {"outages": "started_at", "readings": "recorded_at"}, lambda streams: outage_streams.track_signals_before(
+        streams["outages"], streams["readings"], path, checkpoint))
+    last = F.least(tables["outages"].agg(F.max("started_at")).scalar(), tables["readings"].agg(F.max("recorded_at")).scalar())
+    return outage_streams.read_signals_before(spark, path).where(F.col("started_at") < last - F.expr("INTERVAL 1 HOUR"))
 
 
 def _feed(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,7 +167,9 @@ def stream_oracles() -> dict[str, str]:
                 "ORDER BY entity, recorded_at DESC, id DESC) newest"),
         "stream_first_arrivals": over("network_events", sql="SELECT * FROM network_events"),
         "stream_signals_before_outages": over(
-            "outages", BLOCK_SQL["readings"][0], steps={"chosen": "SELECT * FROM outages"}, sql=block_sql("readings")),
+            "outages", BLOCK_SQL["readings"][0], steps={"chosen": "SELECT * FROM outages WHERE started_at < least("
+            "(SELECT MAX(started_at) FROM outages), (SELECT MAX(recorded_at) FROM readings)) - INTERVAL 1 HOUR"},
+            sql=f"SELECT * EXCLUDE (operator) FROM ({block_sql('readings')})"),
         "stream_outage_feed": raw_files.feed_rows_sql(),
         "readings_freshness": over("readings", sql=(
             f"SELECT CASE WHEN age <= 3600 THEN 1e2 WHEN age <= 21600 THEN 75e0 ELSE 5e1 END AS freshness, COUNT(*) AS readings "
