@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -50,6 +52,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def let_go() -> None:
+    """Hand memory that a task has freed back to the system: its worker process lives on beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def removed(spark: SparkSession, folder: str) -> None:
     """Delete a work folder that one job has made and no other reads."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -1,12 +1,16 @@
 """Benchmark decontamination with a positional inverted index.
 
-The index is a table of shards.  A shard covers some documents (about a megabyte of text, never part of a document)
+The index is a table of shards.  A shard covers some documents (a quarter of a megabyte of text, never part of a document)
 and holds, per distinct term, the ascending list of its positions; documents lie apart by more positions than any window
 is long, so no match crosses them.  Test items are cut into windows of ten words (a shorter item is one
-window).  In each shard a window's lists are looked up; a missing term ends it.  The shortest list, of the rarest
+window); windows are gathered into blocks of bounded size in tasks.  In each shard a window's lists are looked up; a missing term ends it.  The shortest list, of the rarest
 term, gives candidate places, and the others' lists, shifted by their offsets, are intersected with them from rare to
 frequent.  What is left are exact phrases.  A proximity search keeps places of the rarest term that have all other
-terms of the window within a distance.  Shards need no shuffle; the windows are broadcast in blocks of a fixed size.
+terms of the window within a distance.  Shards need no shuffle; the driver hands on the finished blocks of windows, one by one.
+
+Terms are compared by 64-bit hashes of their bytes.  Two different terms share one with a probability of 2**-64, so among
+a billion distinct terms of the corpus and a million of the items one is mistaken for another with a probability under 0.0001;
+a wrong hit needs that for a term whose neighbours match as well.
 
 Results: NULL and empty texts have no words and no hits.  Items without words have no windows; items with a NULL id
 mark words as hit but cannot be listed.  Items of equal text are all listed, repeated items once.  Every row of the
@@ -15,6 +19,7 @@ documents comes back, told apart by its key and text.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from mastlight.llm.common import byte_class, hashed_words, slices
+from mastlight.llm.common import byte_class, hashed_words, let_go, slices
 from mastlight.session import written
 
 #: Words are digits, lower-case letters and everything outside ASCII, after A-Z became lower case.
@@ -33,8 +38,8 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 WINDOW = 10
 #: Positions between documents; a distance in a proximity search must stay below.
 GAP = 64
-#: Test items whose windows are broadcast together, at most, and their bytes of text.
-BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
+#: Bytes of text of a shard; windows that are broadcast together (about 50 bytes each), and those cut from an item at a time.
+SHARD_BYTES, BLOCK_WINDOWS, PART = 1 << 18, 1 << 16, 1 << 14
 
 
 def index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -45,7 +50,7 @@ def index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         T.StructField("begins", T.BinaryType()), T.StructField("positions", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text", SHARD_BYTES):
             words, first, _, _ = hashed_words([t.translate(LOWER) for t in texts], WORD_BYTES)
             counts = np.diff(first)
             bases = first[:-1] + GAP * np.arange(1, len(texts) + 1)
@@ -57,26 +62,36 @@ def index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 [keys, pa.array([counts], pa.list_(pa.int64())), *[pa.array([x.tobytes()], pa.binary()) for x in (
                     bases.astype(np.int32), terms, np.append(begins, len(words)).astype(np.int32),
                     positions[order].astype(np.int32))]], names=schema.names)
+        let_go()
 
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 class Windows:
-    """The distinct windows of a block of items: term numbers (-1 beyond the end), lengths, and the items of each."""
-
-    def __init__(self, items: list[tuple[int, bytes]], size: int = WINDOW):
-        found: dict[tuple[int, ...], set[int]] = {}
-        for number, text in items:
-            words = tuple(hashed_words([text.translate(LOWER)], WORD_BYTES)[0].tolist())
-            for i in range(max(1, len(words) - size + 1) if words else 0):
-                found.setdefault(words[i : i + size], set()).add(number)
-        terms = sorted({w for window in found for w in window})
-        place = {w: i for i, w in enumerate(terms)}
-        self.terms = np.array(terms, np.uint64)
-        self.lengths = np.array([len(w) for w in found], np.int64)
-        self.grid = np.array([[place[w] for w in window] + [-1] * (size - len(window)) for window in found],
-                             np.int64).reshape(len(found), size)
-        self.items = [sorted(numbers) for numbers in found.values()]
+    """The distinct windows of a block of items: their terms, term numbers (-1 beyond the end), and the items of each."""
+
+    def __init__(self, items: list[np.ndarray], size: int = WINDOW):
+        """From the words of items or parts of items; the number of an item is its place in the list."""
+        self.terms = np.unique(np.concatenate([*items, np.zeros(0, np.uint64)]))
+        rows, owners = [np.zeros((0, size), np.int32)], [np.zeros(0, np.int32)]
+        for number, words in enumerate(items):
+            if len(words):
+                places = np.searchsorted(self.terms, words).astype(np.int32)
+                if len(places) < size:
+                    places = np.append(places, np.full(size - len(places), -1, np.int32))
+                rows.append(np.lib.stride_tricks.sliding_window_view(places, size))
+                owners.append(np.full(len(rows[-1]), number, np.int32))
+        self.grid, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+        self.lengths = (self.grid >= 0).sum(1)
+        pairs = np.unique(np.stack([which.reshape(-1).astype(np.int64), np.concatenate(owners)], 1), axis=0)
+        self.numbers = pairs[:, 1]
+        self.begins = np.searchsorted(pairs[:, 0], np.arange(len(self.grid) + 1))
+
+    def items_of(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For windows in any order: how many items each has, and these items' numbers one after another."""
+        many = np.diff(self.begins)[windows]
+        inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        return many, self.numbers[np.repeat(self.begins[windows], many) + inner]
 
 
 class Shard:
@@ -141,18 +156,37 @@ class Shard:
         return alive[row], position
 
 
-def _blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[object, bytes]]]:
-    """The test items, block by block of a bounded size; the driver holds one block at a time."""
-    block, held = [], 0
-    for row in items.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).where("t is not null").distinct().toLocalIterator():
-        raw = row.t.encode("utf-8", "replace")
-        if block and (len(block) >= BLOCK_ITEMS or held + len(raw) > BLOCK_BYTES):
-            yield block
-            block, held = [], 0
-        block.append((row.k, raw))
-        held += len(raw)
-    if block:
-        yield block
+def window_blocks(items: DataFrame, key: str, text: str) -> DataFrame:
+    """(names, windows): blocks of windows of bounded size, each pickled, with the keys of their items."""
+    named = T.ArrayType(items.schema[key].dataType)
+    name_type = to_arrow_type(items.schema[key].dataType)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "text", SHARD_BYTES):
+            words, first, _, _ = hashed_words([t.translate(LOWER) for t in texts], WORD_BYTES)
+            owners, cut = [], []
+            for i in range(len(texts)):
+                own = words[first[i]:first[i + 1]]
+                for begin in range(0, max(1, len(own) - WINDOW + 1) if len(own) else 0, PART):
+                    owners.append(i)
+                    cut.append(own[begin:begin + PART + WINDOW - 1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owners, pa.int32())), pa.array([c.tobytes() for c in cut], pa.binary()),
+                 pa.array([max(1, len(c) - WINDOW + 1) for c in cut], pa.int64())], names=["name", "words", "n"])
+
+    texts = items.select(F.col(key).alias("name"), F.col(text).cast("string").alias("text")).where("text is not null").distinct()
+    cut = written(texts.mapInArrow(parts, T.StructType([
+        T.StructField("name", named.elementType), T.StructField("words", T.BinaryType()), T.StructField("n", T.LongType())])), "windows")
+    blocks = -(-(cut.agg(F.sum("n")).first()[0] or 0) // BLOCK_WINDOWS)
+
+    def gathered(rows: pa.Table) -> pa.Table:
+        windows = Windows([np.frombuffer(w, np.uint64) for w in rows["words"].to_pylist()])
+        names = pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows["name"].combine_chunks().cast(name_type))
+        return pa.Table.from_arrays([names, pa.array([pickle.dumps(windows)], pa.binary())], names=["names", "windows"])
+
+    dealt = cut.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(max(1, blocks))))
+    return written(dealt.groupBy("block").applyInArrow(
+        gathered, T.StructType([T.StructField("names", named), T.StructField("windows", T.BinaryType())])), "blocks")
 
 
 def matches(shards: DataFrame, items: DataFrame, *, item_key: str = "item_id", item_text: str = "text",
@@ -170,12 +204,11 @@ def matches(shards: DataFrame, items: DataFrame, *, item_key: str = "item_id", i
                            T.StructField("length", T.LongType())])
     item_type = to_arrow_type(schema["item"].dataType)
     out = spark.createDataFrame([], schema)
-    for block in _blocks(items, item_key, item_text):
-        windows = Windows([(i, raw) for i, (_, raw) in enumerate(block)])
-        shared = spark.sparkContext.broadcast((windows, [k for k, _ in block]))
+    for block in window_blocks(items, item_key, item_text).toLocalIterator():  # one block at a time
+        shared = spark.sparkContext.broadcast((bytes(block.windows), block.names))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            windows, names = shared.value
+            windows, names = pickle.loads(shared.value[0]), pa.array(shared.value[1], item_type)
             for batch in batches:
                 columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
                 for s in range(batch.num_rows):
@@ -186,12 +219,12 @@ def matches(shards: DataFrame, items: DataFrame, *, item_key: str = "item_id", i
                         continue
                     doc = np.searchsorted(bases, place, side="right") - 1
                     length = windows.lengths[window] if distance is None else np.ones(len(window), np.int64)
-                    many = np.array([len(windows.items[w]) for w in window])
-                    item = [names[i] for w in window for i in windows.items[w]]
+                    many, item = windows.items_of(window)
                     doc, start, length = (np.repeat(x, many) for x in (doc, place - bases[doc], length))
                     yield pa.RecordBatch.from_arrays(
-                        [columns["keys"][s].values.take(pa.array(doc)), pa.array(item, item_type), pa.array(start),
+                        [columns["keys"][s].values.take(pa.array(doc)), names.take(pa.array(item)), pa.array(start),
                          pa.array(length)], names=schema.names)
+            let_go()
 
         out = out.unionByName(shards.select("keys", "bases", "terms", "begins", "positions").mapInArrow(run, schema))
     return out

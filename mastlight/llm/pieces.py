@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from mastlight.llm.common import slices
+from mastlight.llm.common import let_go, slices
 
 #: The mark that stands for a blank in pieces (fixed by the file format).
 BLANK = "▁"
@@ -352,6 +352,7 @@ def encode_decode(docs: DataFrame, model: Broadcast, text: str = "text", *, dige
             yield from encoded(codec, batches)
         finally:
             codec.forget()
+            let_go()
 
     def encoded(codec: PieceCodec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, text):

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mastlight.llm.common import slices
+from mastlight.llm.common import let_go, slices
 from mastlight.llm.learning import ID, LABEL, TEXT, labelled_sample
 from mastlight.session import written
 
@@ -327,5 +327,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
             x = np.array([text_features(t.decode("utf-8", "replace"), marks, known.settings.near) for t in texts])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(known.score(x), pa.float64())],
                                              names=[f.name for f in schema.fields])
+        marks.clear()
+        let_go()
 
     return kept.mapInArrow(run, schema)

@@ -230,6 +230,31 @@ def test_phrases_and_proximity(spark, docs, odd, empty):
     assert [r.key for r in decontaminate.matches(shards, wanted, distance=4).collect()] == [1]
 
 
+def test_windows_of_blocks_and_parts(spark, odd, monkeypatch):
+    """Small blocks and parts give what one block gives; an item that is cut into parts is listed once."""
+    rng = random.Random(12)
+    vocabulary = [f"t{i}" for i in range(12)]
+    items = [(i % 40, " ".join(rng.choices(vocabulary, k=rng.choice([0, 3, 10, 11, 60])))) for i in range(60)]
+    texts = [(i, " ".join(rng.choices(vocabulary, k=40) + rng.choice(items)[1].split() + ["x"])) for i in range(80)]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    wanted = {}
+    for key, text in texts:
+        words, hit, found = text.split(), set(), set()
+        for item, phrase in items:
+            own = phrase.split()
+            for window in {tuple(own[i:i + 10]) for i in range(max(1, len(own) - 9))} if own else ():
+                for at in range(len(words) - len(window) + 1):
+                    if tuple(words[at:at + len(window)]) == window:
+                        hit |= set(range(at, at + len(window)))
+                        found.add(str(item))
+        wanted[key] = (len(words), len(hit), sorted(found))
+    for block, part in ((decontaminate.BLOCK_WINDOWS, decontaminate.PART), (100, 7)):
+        monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", block)
+        monkeypatch.setattr(decontaminate, "PART", part)
+        got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.report(docs, bench).collect()}
+        assert got == wanted
+
+
 # --- repeats --------------------------------------------------------------------------------------
 def without_repeats(rows):
     seen, out = set(), {}
