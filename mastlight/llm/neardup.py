@@ -28,7 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -299,8 +299,19 @@ def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> D
     return found if links is None else found.unionByName(links)
 
 
+def one_of_each(docs: DataFrame, settings: Settings = Settings(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, as it is: that of the smallest key (NULL last), of equal keys that of the smallest digest of the
+    text; and every row without words."""
+    whole = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
+    found = near_duplicates(whole, settings, key="id").where("kept").select("component", "id", "text", "row")
+    order = Window.partitionBy("component").orderBy(F.asc_nulls_last("id"), F.md5("text"))
+    grouped = found.where("component IS NOT NULL").withColumn("place", F.row_number().over(order)).where("place = 1")
+    return grouped.select("row.*").unionByName(found.where("component IS NULL").select("row.*"))
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Adds ``n_shingles``, ``component_id`` (its smallest key) and ``kept`` (that key's rows) to every row."""
+    """Adds ``n_shingles``, ``component`` (a number, NULL without words), ``component_id`` (its smallest key) and ``kept`` (that
+    key's rows, and rows without a key) to every row."""
     mark = F.xxhash64(F.col(text).cast("string"))
     texts = docs.select(F.col(key).alias("id"), mark.alias("mark"), F.col(text).cast("string").alias("text"))
     prints = written(_prints(texts, settings), "prints")
@@ -314,8 +325,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), *, key: st
     labelled = classes.join(labels.select(F.col("id").alias("class"), "component"), "class", "left").select(
         "digest", "id", F.coalesce("component", "class").alias("component"))
     names = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = written(labelled.join(names, "component").select("digest", "component_id"), "class-components")
-    added = ["n_shingles", "component_id", "kept"]
+    named = written(labelled.join(names, "component").select("digest", "component", "component_id"), "class-components")
+    added = ["n_shingles", "component", "component_id", "kept"]
     rows = docs.drop(*[c for c in added if c != key]).withColumn("__mark", mark)
     marks = written(
         prints.select(F.col("id").alias("__id"), F.col("mark").alias("__m"), F.col("n").alias("n_shingles"), "digest").distinct()

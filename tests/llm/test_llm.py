@@ -213,6 +213,18 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, odd, empty):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(5, text, "a"), (5, text, "a"), (5, text + " end", "a"), (9, text, "b"), (None, text, "c"), (None, "none has a key here", "d"),
+            (None, "none has a key here", "d"), (7, None, "e"), (7, "", "e"), (8, "alone with its own words", "f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, component string")
+    kept = neardup.one_of_each(frame)
+    assert kept.columns == frame.columns
+    got = sorted(((r.doc_id, r.component) for r in kept.collect()), key=repr)
+    assert got == [(5, "a"), (7, "e"), (7, "e"), (8, "f"), (None, "d")]
+    assert neardup.one_of_each(empty).count() == 0 and neardup.one_of_each(odd).count() == 7
+
+
 # --- decontamination ------------------------------------------------------------------------------
 def test_phrases_and_proximity(spark, docs, odd, empty):
     items = spark.createDataFrame([(1, "three four FIVE"), (2, None), (3, ""), (None, "six seven"), (4, "three, four five"), (4, "seven")],
