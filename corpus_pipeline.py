@@ -27,9 +27,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; documents without words are in no group."""
+    """Keeps one document of each group, that of the smallest id; documents without words are in no group."""
     prepare(spark)
-    return neardup.near_duplicates(docs).where("kept").select(*docs.columns)
+    return neardup.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
