@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,21 @@ def event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
     return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
+def children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    """Names below a folder that begin with the prefix; none if the folder is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    return [name for s in system.listStatus(path) if (name := s.getPath().getName()).startswith(prefix)]
+
+
+def batches_of(spark: SparkSession, folder: str) -> list[int]:
+    """The batches that have written a folder ``batch=<id>`` to its end, ascending."""
+    names = [n for n in children(spark, folder, "batch=") if children(spark, f"{folder}/{n}", "_SUCCESS")]
+    return sorted(int(name.split("=")[1]) for name in names)
+
+
 def append_available(
     stream: DataFrame, path: str, checkpoint: str, partition_by: str | None = None
 ) -> None:

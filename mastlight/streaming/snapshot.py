@@ -14,20 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mastlight.session import remove_folder
+from mastlight.streaming.runs import batches_of, children
 
 #: Manifests, and with them versions, that stay readable.
 KEPT = 2
 
 
-def _children(spark: SparkSession, folder: str, prefix: str) -> list[str]:
-    """Names below a folder that begin with the prefix."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path):
-        return []
-    return [name for s in system.listStatus(path) if (name := s.getPath().getName()).startswith(prefix)]
-
-
 class Snapshot:
     """The newest row of each entity below a path; ``key`` is the column that names the entity."""
 
@@ -35,7 +27,7 @@ class Snapshot:
         self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
 
     def versions(self) -> list[int]:
-        return sorted(int(name.split("=")[1]) for name in _children(self.spark, f"{self.path}/manifest", "batch="))
+        return batches_of(self.spark, f"{self.path}/manifest")
 
     def folders(self, batch_id: int) -> dict[int, str]:
         """The folder of each bucket in a version; one small row a bucket."""
@@ -60,7 +52,7 @@ class Snapshot:
         # The batch goes to its buckets first; only those are read from the version before.
         arrived = f"{self.path}/arrived/batch={batch_id}"
         own.write.mode("overwrite").partitionBy("bucket").parquet(arrived)
-        touched = sorted(int(name.split("=")[1]) for name in _children(self.spark, arrived, "bucket="))
+        touched = sorted(int(name.split("=")[1]) for name in children(self.spark, arrived, "bucket="))
         schema = batch.schema
         old = self._rows([before[b] for b in touched if b in before], schema)
         new = self._rows([f"{arrived}/bucket={b}" for b in touched], schema)
@@ -68,7 +60,7 @@ class Snapshot:
         if keep is not None:
             merged = merged.where(keep)
         merged.withColumn("bucket", bucket).repartition(max(1, len(touched)), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(fresh)
-        written = {int(name.split("=")[1]) for name in _children(self.spark, fresh, "bucket=")}
+        written = {int(name.split("=")[1]) for name in children(self.spark, fresh, "bucket=")}
         now = {b: f for b, f in before.items() if b not in touched} | {b: f"{fresh}/bucket={b}" for b in written}
         self.spark.createDataFrame(sorted(now.items()), "bucket int, folder string").coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/manifest/batch={batch_id}")
@@ -81,11 +73,11 @@ class Snapshot:
         named = {folder for v in versions[-KEPT:] for folder in self.folders(v).values()}
         for version in versions[:-KEPT]:
             remove_folder(self.spark, f"{self.path}/manifest/batch={version}")
-        for batch in _children(self.spark, f"{self.path}/data", "batch="):
+        for batch in children(self.spark, f"{self.path}/data", "batch="):
             folder = f"{self.path}/data/{batch}"
             if int(batch.split("=")[1]) > versions[-1]:
                 continue
-            inside = [f"{folder}/{name}" for name in _children(self.spark, folder, "bucket=")]
+            inside = [f"{folder}/{name}" for name in children(self.spark, folder, "bucket=")]
             used = [f for f in inside if f in named]
             for old in inside if used else [folder]:
                 if old not in named:

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from mastlight.streaming import gate
 from mastlight.streaming import outages as outage_streams
 from mastlight.streaming import readings as reading_streams
 from mastlight.streaming.runs import append_available
@@ -51,6 +52,30 @@ def test_late_rows_are_dropped_and_windows_close(spark, feed, tmp_path):
     assert run() == {(START, 2, -85.0), (START + dt.timedelta(minutes=5), 1, -80.0), (START + dt.timedelta(minutes=30), 1, -80.0)}
 
 
+def test_late_rows_are_kept(spark, feed, tmp_path):
+    source = feed("readings", READING)
+    path, check, out, check_out = (str(tmp_path / n) for n in ("gate", "check", "out", "check_out"))
+    schema = source.stream().schema
+    dropped, sent = 0, []
+    parts = [[reading(1, 0), reading(2, 30)], [reading(3, 18), reading(4, 19.5), reading(5, 20.2), reading(6, 100)],
+             [reading(7, 40), reading(8, 89.9), reading(9, 90.1), reading(10, 200)], [reading(11, 0)]]
+    for rows in parts:
+        source.add(*rows)
+        sent += rows
+        for _ in range(2):  # a run without new rows changes nothing
+            gate.gate(source.stream(), "recorded_at", dt.timedelta(minutes=10), path, check, "1 minute")
+        query = reading_streams.minute_averages(gate.in_time(spark, path, schema)).writeStream.format("parquet").option(
+            "path", out).option("checkpointLocation", check_out).trigger(availableNow=True).start()
+        query.awaitTermination()
+        dropped += sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+    late = gate.late(spark, path, schema)
+    assert {(r.id, r.batch) for r in late.collect()} == {(3, 1), (4, 1), (7, 2), (8, 2), (11, 3)} and dropped == 0
+    counted = gate.notes(spark, path).agg(F.sum("in_time").alias("n"), F.sum("late").alias("late")).first()
+    assert (counted.n, counted.late) == (len(sent) - 5, 5)
+    closed = spark.read.parquet(out).agg(F.sum("count").alias("n")).first().n
+    assert closed == len(sent) - 5 - 1  # the newest minute is open still
+
+
 def test_latest_state_over_batches(spark, feed, tmp_path):
     source = feed("readings", READING)
     out, check = str(tmp_path / "out"), str(tmp_path / "check")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from mastlight.schemas import TABLES
 from mastlight.session import new_work_folder
 from mastlight.sources import feed
 from mastlight.sources.store import TableStore
+from mastlight.streaming import gate
 from mastlight.streaming import outages as outage_streams
 from mastlight.streaming import readings as reading_streams
 from mastlight.streaming.runs import append_available
@@ -29,10 +31,13 @@ DELAY_MINUTES = 10
 ARRIVALS = 3
 
 
-def in_time_order(tables: Tables, times: dict[str, str], run: Callable[[dict[str, DataFrame]], None]) -> None:
+def in_time_order(
+    tables: Tables, times: dict[str, str], run: Callable[[dict[str, DataFrame]], None], delayed: str = "false"
+) -> None:
     """Let the rows of some views arrive in parts, earlier times first, and run the stream after each part.
 
     ``times`` names the time column of each view; the runs share their checkpoint, so each goes on where the last one ended.
+    ``delayed`` rows all come with the last part.
     """
     spark, folder = tables.spark, new_work_folder(tables.spark, "arriving")
     ends = [tables[name].agg(F.min(time).alias("low"), F.max(time).alias("high")).first() for name, time in times.items()]
@@ -42,10 +47,8 @@ def in_time_order(tables: Tables, times: dict[str, str], run: Callable[[dict[str
         streams = {}
         for name, time in times.items():
             rows = tables[name]
-            if part:
-                rows = rows.where(F.col(time) >= F.lit(cuts[part - 1]))
-            if part < ARRIVALS - 1:
-                rows = rows.where((F.col(time) < F.lit(cuts[part])) if part else (F.col(time) < F.lit(cuts[0])) | F.col(time).isNull())
+            place = sum(F.coalesce(F.col(time) >= F.lit(cut), F.lit(False)).cast("int") for cut in cuts)
+            rows = rows.where(F.when(F.expr(delayed), ARRIVALS - 1).otherwise(place) == part)
             rows.write.mode("append").parquet(f"{folder}/{name}")
             streams[name] = spark.readStream.schema(rows.schema).parquet(f"{folder}/{name}")
         run(streams)
@@ -106,6 +109,22 @@ def _signals(spark: SparkSession, folder: str) -> DataFrame:
     return outage_streams.read_signals_before(spark, path).where(F.col("started_at") < last - F.expr("INTERVAL 1 HOUR"))
 
 
+def _late(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth reading comes with the last part: those that come too late for their minute."""
+    path, checkpoint = _folders(spark, "late")
+    tables = Tables(spark, folder)
+    readings = tables["readings"]
+    sums, sums_checkpoint = _folders(spark, "in-time")
+
+    def run(streams: dict[str, DataFrame]) -> None:
+        gate.gate(streams["readings"], "recorded_at", dt.timedelta(minutes=DELAY_MINUTES), path, checkpoint, "1 minute")
+        append_available(reading_streams.minute_averages(gate.in_time(spark, path, readings.schema), f"{DELAY_MINUTES} minutes"),
+                         sums, sums_checkpoint)
+
+    in_time_order(tables, {"readings": "recorded_at"}, run, delayed="id % 10 = 0")
+    return gate.late(spark, path, readings.schema).select("id", "operator", "recorded_at")
+
+
 def _feed(spark: SparkSession, folder: str) -> DataFrame:
     path = raw_files.write_raw_feed(Tables(spark, folder))
     store_path, checkpoint = _folders(spark, "feed")
@@ -126,6 +145,7 @@ def stream_queries() -> dict[str, Query]:
         "stream_readings_ingest": _ingest,
         "stream_minute_averages": _averages(reading_streams.minute_averages),
         "stream_rolling_summary": _averages(reading_streams.rolling_summary),
+        "stream_late_readings": _late,
         "stream_latest_state": _latest,
         "stream_first_arrivals": _arrivals,
         "stream_signals_before_outages": _signals,
@@ -161,6 +181,11 @@ def stream_oracles() -> dict[str, str]:
             "cut": "SELECT *, time_bucket(INTERVAL 5 MINUTE, recorded_at) - INTERVAL 5 MINUTE * s.n AS bucket "
                    "FROM readings CROSS JOIN (SELECT unnest(range(12)) AS n) s"},
             sql=f"SELECT bucket, operator, {_AVERAGES} FROM cut WHERE {_closed(60)} GROUP BY bucket, operator"),
+        "stream_late_readings": over("readings", steps={
+            "parts": "SELECT *, MIN(recorded_at) OVER () + (MAX(recorded_at) OVER () - MIN(recorded_at) OVER ()) * 2 / 3 AS last_part FROM readings",
+            "seen": "SELECT MAX(recorded_at) AS newest FROM parts WHERE recorded_at < last_part AND id % 10 <> 0"},
+            sql="SELECT id, operator, recorded_at FROM parts WHERE id % 10 = 0 AND date_trunc('minute', recorded_at) + INTERVAL 1 MINUTE "
+                f"<= (SELECT newest FROM seen) - INTERVAL {DELAY_MINUTES} MINUTE"),
         "stream_latest_state": over("readings", steps={
             "keyed": "SELECT *, COALESCE(CAST(tower_id AS BIGINT), -cell_id, -id) AS entity FROM readings"},
             sql="SELECT * EXCLUDE (entity) FROM (SELECT DISTINCT ON (entity) * FROM keyed "
