@@ -69,6 +69,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder that only the caller's job has written and nothing reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

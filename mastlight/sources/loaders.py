@@ -19,7 +19,7 @@ from mastlight.sources.rows import (
     with_ordinal,
     with_position,
 )
-from mastlight.sources.store import TableStore
+from mastlight.sources.store import TableStore, counted
 
 SYNTHETIC_SOURCE = "synthetic training data"
 
@@ -35,24 +35,33 @@ class LoadReport:
     inserted: int
 
 
-def _finish(store: TableStore, table: str, staged: DataFrame, rows: DataFrame, source: str | None) -> LoadReport:
-    totals = staged.agg(
-        F.count("*").alias("parsed"), F.count_if(F.col("_valid")).alias("sent")
-    ).first()
-    before = store.count(table)
-    store.merge_new(table, rows.filter("_valid"), POSITION, source)
-    inserted = store.count(table) - before
-    return LoadReport(table, totals.parsed, totals.sent, totals.parsed - totals.sent, inserted)
+@dataclass(frozen=True)
+class Staged:
+    """Typed rows in the shared folder, counted as they were written."""
+
+    rows: DataFrame
+    parsed: int
+    valid: int
+
 
+def _staged(rows: DataFrame, label: str) -> Staged:
+    rows, seen = counted(rows, valid=F.count_if(F.col("_valid")))
+    return Staged(written(rows, label), seen(), seen("valid"))
 
-def stage_dataset(spark: SparkSession, table: str, path: str, multiline: bool = False) -> DataFrame:
+
+def _finish(store: TableStore, table: str, staged: Staged, rows: DataFrame, source: str | None) -> LoadReport:
+    """Add the valid rows; the report takes what the two writes have counted and reads nothing again."""
+    inserted = store.merge_new(table, rows.filter("_valid"), POSITION, source)
+    return LoadReport(table, staged.parsed, staged.valid, staged.parsed - staged.valid, inserted)
+
+
+def stage_dataset(spark: SparkSession, table: str, path: str, multiline: bool = False) -> Staged:
     """Parse and type one headed file (or a folder of files with one header) into a staged table.
 
     Text is parsed once; everything after reads the staged columns.
     """
-    layout = LAYOUTS[table]
     raw = with_position(read_headed_csv(spark, path, multiline))
-    return written(normalise(raw, layout, POSITION), f"stage-{table}")
+    return _staged(normalise(raw, LAYOUTS[table], POSITION), f"stage-{table}")
 
 
 def load_dataset(
@@ -61,24 +70,24 @@ def load_dataset(
     """Load one of the thirteen headed datasets.  Running it again adds nothing."""
     layout = LAYOUTS[table]
     staged = stage_dataset(store.spark, table, path, multiline)
-    rows = staged
+    rows = staged.rows
     if layout.id_prefix:
         id_missing = F.col(layout.id_field.target).isNull()
-        if not staged.filter(id_missing & F.col("_valid")).isEmpty():
-            rows = fill_ids(with_ordinal(staged), layout)
+        if not rows.filter(id_missing & F.col("_valid")).isEmpty():
+            rows = fill_ids(with_ordinal(rows), layout)
     return _finish(store, table, staged, rows, source)
 
 
 def load_towers(store: TableStore, path: str, force: bool = False) -> LoadReport | None:
     """Load the tower file unless towers are present; ``force`` empties towers and readings first."""
-    if store.count("towers") > 0:
+    if not store.read("towers").isEmpty():
         if not force:
             return None
         store.clear("towers")
         store.clear("readings")
     raw = with_position(read_tower_csv(store.spark, path))
-    staged = written(normalise_towers(raw, POSITION), "stage-towers")
-    numbered = with_ordinal(staged, "id").withColumn("id", F.col("id").cast("int"))
+    staged = _staged(normalise_towers(raw, POSITION), "stage-towers")
+    numbered = with_ordinal(staged.rows, "id").withColumn("id", F.col("id").cast("int"))
     return _finish(store, "towers", staged, numbered, None)
 
 

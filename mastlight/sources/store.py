@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mastlight.schemas import PARTITION_COLUMN, TABLES
+from mastlight.session import folder_exists
+
+
+def counted(rows: DataFrame, **more: Column) -> tuple[DataFrame, Callable[..., int]]:
+    """Rows that are counted as they are written, and what tells the count afterwards (or that of a named column)."""
+    seen = Observation()
+    # Where nothing was written Spark may have left the counter out.
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()]), (
+        lambda name="rows": int(seen.get.get(name) or 0))
 
 
 def first_by_key(
@@ -58,23 +66,22 @@ class TableStore:
 
     def read(self, name: str) -> DataFrame:
         """The table, or an empty frame of its schema before the first load."""
-        try:
-            return self.spark.read.schema(self._stored_columns(name)).parquet(self.path(name))
-        except AnalysisException as err:
-            if err.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not folder_exists(self.spark, self.path(name)):
             return self.spark.createDataFrame([], self._stored_columns(name))
+        return self.spark.read.schema(self._stored_columns(name)).parquet(self.path(name))
 
-    def _write(self, name: str, rows: DataFrame, mode: str) -> None:
+    def _write(self, name: str, rows: DataFrame, mode: str) -> int:
+        """Write the rows; returns how many went by."""
         event_time = TABLES[name].event_time
         if event_time is None:
+            rows, seen = counted(rows)
             rows.write.mode(mode).parquet(self.path(name))
-            return
+            return seen()
         dated = rows.withColumn(PARTITION_COLUMN, F.col(event_time).cast("date"))
         # Rebalancing keeps files large and splits a date that holds much of the load.
-        dated.hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(
-            self.path(name)
-        )
+        dated, seen = counted(dated.hint("rebalance", PARTITION_COLUMN))
+        dated.write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(self.path(name))
+        return seen()
 
     def _stamped(self, name: str, rows: DataFrame, source: str | None) -> DataFrame:
         columns = TABLES[name].columns
@@ -83,9 +90,9 @@ class TableStore:
             out = out.withColumn("source", F.lit(source).cast("string"))
         return out.withColumn("imported_at", F.current_timestamp().cast("timestamp_ntz"))
 
-    def append(self, name: str, rows: DataFrame, source: str | None = None) -> None:
-        """Add rows without any duplicate check."""
-        self._write(name, self._stamped(name, rows, source), "append")
+    def append(self, name: str, rows: DataFrame, source: str | None = None) -> int:
+        """Add rows without any duplicate check; returns their number."""
+        return self._write(name, self._stamped(name, rows, source), "append")
 
     def merge_new(
         self,
@@ -94,8 +101,8 @@ class TableStore:
         order: Sequence[Column | str],
         source: str | None = None,
         nulls_equal: bool = False,
-    ) -> None:
-        """Add the rows whose natural key is new; of equal keys within ``rows`` the first wins.
+    ) -> int:
+        """Add the rows whose natural key is new, and return their number; of equal keys within ``rows`` the first wins.
 
         By default a NULL key part never conflicts, so such rows are added at every load.
         """
@@ -107,7 +114,7 @@ class TableStore:
             day = F.col(PARTITION_COLUMN)
             target = target.filter((day >= span.select("lo").scalar()) & (day <= span.select("hi").scalar()))
         fresh = absent_from(first_by_key(rows, key, order, nulls_equal), target, key, nulls_equal)
-        self.append(name, fresh, source)
+        return self.append(name, fresh, source)
 
     def replace(self, name: str, rows: DataFrame, source: str | None = None) -> None:
         """Drop the table's content and write the rows; they must not be read from the table."""

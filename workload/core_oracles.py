@@ -465,6 +465,14 @@ def core_oracles() -> dict[str, str]:
     for name in LISTS:
         out[f"{name}_list"] = listed(name, "true", LIST_LIMIT.get(name, 1000))
         out[f"{name}_list_filtered"] = listed(name, LIST_WHERE[name], LIST_LIMIT.get(name, 1000))
+    out["towers_list_all"] = listed("towers", "true", 10**9)
+    out["towers_list_top"] = listed("towers", "true", 7)
+    out["penetration_list_top"] = listed("penetration", "operator = 'MTN'", 5)
+    out["hardware_list_cut_filter"] = listed("hardware", "equipment_type = 'battery'", 1000).replace(
+        "SELECT " + ", ".join(LISTS["hardware"].columns), "SELECT " + ", ".join(
+            "rpad(equipment_type, 40, '-') AS equipment_type" if c == "equipment_type" else c for c in LISTS["hardware"].columns))
+    out["readings_latest_all"] = out["readings_latest"].replace(" LIMIT 20000", "")
+    out["readings_latest_first"] = out["readings_latest"].replace(" LIMIT 20000", " LIMIT 25")
     breakdowns = {
         "towers": ("operator, network", ""), "qos_metrics": ("operator, network", ""),
         "coverage_data": ("operator, network", ""), "network_events": ("operator, event_type", ""),

@@ -34,6 +34,8 @@ LIST_FILTERS: dict[str, dict[str, object]] = {
     "penetration": {"operator": "MTN", "state": "STATE_1", "from": "2024-02-01", "until": "2024-11-30", "limit": 1000},
     "technicians": {"operator": "Airtel", "status": "closed", "type": "view", "limit": 1000},
 }
+#: Characters of the filter on equipment types that count.
+PADDED = 40
 #: Several filters above leave few rows; these variants keep one filter each.
 LIST_NEWEST_LIMIT = {"towers": 5000, "coverage": 2000}
 
@@ -47,6 +49,13 @@ def _list_query(name: str, params: dict[str, object]) -> Query:
     return run
 
 
+def _padded_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Types as long as the filter's cut: a longer filter finds them."""
+    spec = listings.LISTS["hardware"]
+    table = Tables(spark, folder)[spec.table].withColumn("equipment_type", F.rpad("equipment_type", PADDED, "-"))
+    return listings.listing(table, spec, {"equipment_type": "battery".ljust(PADDED, "-") + " and more", "limit": 1000})
+
+
 def _flat_correlation(df: DataFrame) -> DataFrame:
     """Maps as sorted ``name=count`` text, so that they compare across engines."""
     maps = [b.map_name for b in correlate.BLOCKS.values() if b.map_name]
@@ -150,6 +159,12 @@ def core_queries() -> dict[str, Query]:
         newest = {"limit": LIST_NEWEST_LIMIT.get(name, 1000)}
         out[f"{name}_list"] = _list_query(name, newest)
         out[f"{name}_list_filtered"] = _list_query(name, LIST_FILTERS[name])
+    out["towers_list_all"] = _list_query("towers", {"limit": None})
+    out["towers_list_top"] = _list_query("towers", {"limit": "7"})
+    out["penetration_list_top"] = _list_query("penetration", {"operator": "MTN", "limit": 5})
+    out["hardware_list_cut_filter"] = _padded_list
+    add("readings_latest_all", lambda t: latest_readings(t["readings"], None))
+    add("readings_latest_first", lambda t: latest_readings(t["readings"], 25))
     add("speedtests_latest", lambda t: listings.latest_speed_tests(t["speed_tests"]))
     add("outages_list", lambda t: listings.list_outages(
         t["outages"], AS_OF, operator="MTN", min_severity="20", limit=500))

@@ -13,7 +13,7 @@ from mastlight.schemas import TABLES
 from mastlight.session import new_work_folder
 from mastlight.sources import feed, loaders
 from mastlight.sources.layouts import LAYOUTS
-from mastlight.sources.readings import bulk_readings, device_readings, resolve_towers
+from mastlight.sources.readings import bulk_readings, bulk_refusals, device_readings, resolve_towers
 from mastlight.sources.store import TableStore
 from workload import raw_files
 from workload.core_oracles import NOW
@@ -108,6 +108,20 @@ def _bulk(spark: SparkSession, folder: str) -> DataFrame:
     return resolve_towers(accepted, tables["towers"])
 
 
+def _refused(spark: SparkSession, folder: str) -> DataFrame:
+    """Refused bulk requests by reason and place of the first bad reading."""
+    return bulk_refusals(raw_files.bulk_requests(Tables(spark, folder)), AS_OF).groupBy("error").agg(F.count("*").alias("requests"))
+
+
+def _provenance(spark: SparkSession, folder: str) -> DataFrame:
+    """What the loaded rows say of where they come from, of two datasets loaded under different names."""
+    store = _store(spark)
+    for table, source in (("uptime_logs", loaders.SYNTHETIC_SOURCE), ("energy_consumption", "meter export")):
+        loaders.load_dataset(store, table, raw_files.write_raw_csv(Tables(spark, folder), table), source)
+    return store.read("uptime_logs").select("source").unionByName(store.read("energy_consumption").select("source")).groupBy(
+        "source").agg(F.count("*").alias("rows"))
+
+
 def load_queries() -> dict[str, Query]:
     out: dict[str, Query] = {f"load_{table}": _load_twice(table) for table in LAYOUTS}
     out["load_towers"] = _load_towers
@@ -118,6 +132,8 @@ def load_queries() -> dict[str, Query]:
     out["outage_feed_report"] = _feed_report
     out["readings_normalise"] = _device
     out["readings_bulk_requests"] = _bulk
+    out["readings_bulk_refused"] = _refused
+    out["load_provenance"] = _provenance
     out["readings_stored"] = _stored_readings
     out["speedtests_appended"] = _speed_tests
     return out
@@ -145,6 +161,12 @@ def load_oracles() -> dict[str, str]:
         f"{counts[0]} - {counts[1]} AS skipped, CASE load WHEN 1 THEN {added} ELSE 0 END AS inserted "
         "FROM (VALUES (1), (2)) loads(load)"
     )
+    out["load_provenance"] = (
+        f"SELECT 'synthetic training data' AS source, COUNT(*) AS rows FROM ({loaded}) u UNION ALL "
+        f"SELECT 'meter export', COUNT(*) FROM ({raw_files.loaded_sql('energy_consumption')}) e")
+    out["readings_bulk_refused"] = (
+        f"WITH typed AS ({typed}), firsts AS (SELECT k // 20 AS request, arg_min(error, k) AS error FROM typed "
+        "WHERE error IS NOT NULL GROUP BY 1) SELECT error, COUNT(*) AS requests FROM firsts GROUP BY error")
     out["outage_feed_rows"] = found
     out["outage_feed_synced_twice"] = (
         f"WITH found AS ({found}) SELECT * FROM found UNION ALL SELECT * FROM found WHERE ended_at IS NULL")

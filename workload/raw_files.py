@@ -22,6 +22,14 @@ ROW_NUMBER = {
     "lineitem": "l_orderkey * 8 + l_linenumber",
 }
 
+#: Words for yes and no in the raw files, by the list that the column is read with; written out here, with other cases and blanks.
+SAID = {
+    "plain": (("Yes", "true", "Y", "1"), ("no", "FALSE", "n", "0")),
+    "sla": (("Yes", "Met", "pass", " PASSED ", "1"), ("no", "missed", "Fail", "failed", "0")),
+    "handover": (("Yes", "Success", "successful", "COMPLETED", "y"), ("No", "failure", "Failed", " dropped", "n")),
+    "technician": (("Yes", "resolved", "Completed", "SUCCESS "), ("no", "Unresolved", "failed", "False")),
+}
+
 
 def source_names(table: str) -> dict[str, str]:
     """Header per target: the first alias, or for every other field the last one if it is free."""
@@ -57,7 +65,9 @@ def raw_text(table: str, spec: Field) -> str:
         names = " ".join(f"WHEN '{g}' THEN '{n[0].lower()}'" for g, n in NETWORK_SYNONYMS.items())
         return f"CASE WHEN k % 10 = 8 THEN 'wifi' WHEN k % 10 = 7 THEN CASE {v} {names} END ELSE {v} END"
     if spec.kind == "boolean":
-        return f"CASE WHEN k % 10 = 9 THEN 'maybe' WHEN {v} THEN 'Yes' WHEN NOT {v} THEN 'no' END"
+        yes, no = SAID[spec.words]
+        said = lambda words: f"element_at(array({', '.join(map(repr, words))}), CAST(1 + k % {len(words)} AS INT))"
+        return f"CASE WHEN k % 10 = 9 THEN 'maybe' WHEN {v} THEN {said(yes)} WHEN NOT {v} THEN {said(no)} END"
     if spec.kind == "timestamp":
         text = f"CASE WHEN k % 2 = 0 THEN concat(replace({text}, ' ', 'T'), 'Z') ELSE {text} END"
     if spec.kind == "month":
