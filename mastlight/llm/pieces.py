@@ -37,8 +37,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Bytes, by estimate, of all tables of encodings that a task keeps, and the share of each.
 KEPT_BYTES = 128 << 20
 SHARES = {"pairs": 0.25, "words": 0.55, "segments": 0.05, "runs": 0.15}
-#: Bytes of an entry: of a pair of pieces, and of a text apart from its characters.
-PAIR, ENTRY = 100, 250
+#: Bytes of an entry: of a pair of pieces, of a word, and of another text, apart from their characters.
+PAIR, WORD, ENTRY = 100, 150, 250
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -83,7 +83,8 @@ class Kept(dict):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        size = ENTRY + len(key) + len(value[0]) + len(value[1]) if isinstance(key, str) else PAIR
+        size = (PAIR if isinstance(key, int) else WORD + len(key) + len(value) if isinstance(value, str)
+                else ENTRY + len(key) + len(value[0]) + len(value[1]))
         if self.held + size > self.limit:
             self.old = dict(self)
             self.clear()
@@ -292,13 +293,14 @@ class PieceCodec:
         rows = [self.runs[run] for run in self.segment_runs(segment)]
         return "".join([r[0] for r in rows]), "".join([r[1] for r in rows]).replace(BLANK, " ")
 
-    def word(self, word: str) -> tuple[str, str]:
-        """The same of a word after one blank."""
+    def word(self, word: str) -> str:
+        """Ids in decimal of a word after one blank; empty if they do not decode to just that."""
         if word.isalpha() and self.known.issuperset(word):
             ids = self.backtrack(BLANK + word)  # letters: hardly ever a cut, and none is needed
-            pieces = self.vocabulary.pieces
-            return "".join([self.decimal[i] for i in ids]), "".join([pieces[i] for i in ids]).replace(BLANK, " ")
-        return self.segment(BLANK + word)
+            decimal, decoded = "".join([self.decimal[i] for i in ids]), self.piece_text(ids)
+        else:
+            decimal, decoded = self.segment(BLANK + word)
+        return decimal if decoded.replace(BLANK, " ") == " " + word else ""
 
     def both(self, text: str) -> tuple[str, int, str]:
         """Decimal ids joined by blanks, their count, and the decoded text."""
@@ -307,10 +309,11 @@ class PieceCodec:
             return end, 1, ""
         marked = text.replace(" ", BLANK)
         if v.dummy_prefix and not v.crossing and BLANK * 2 not in marked and marked[0] != BLANK and marked[-1] != BLANK:
-            rows = map(self.words.__getitem__, marked.split(BLANK))
-        else:
-            rows = map(self.segments.__getitem__, self.cuts(text))
-        ids, decoded = map("".join, zip(*rows))
+            words = list(map(self.words.__getitem__, marked.split(BLANK)))
+            if "" not in words:  # every word decodes to itself, so the text does
+                ids = "".join(words)
+                return ids + end, ids.count(" ") + 1, marked.replace(BLANK, " ")
+        ids, decoded = map("".join, zip(*map(self.segments.__getitem__, self.cuts(text))))
         if v.dummy_prefix and decoded.startswith(" "):
             decoded = decoded[1:]
         return ids + end, ids.count(" ") + 1, decoded
