@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from mastlight.operators.latest import READING_COLUMNS, entity_key
 from mastlight.operators.measures import average, merges, partials, results, rows
 from mastlight.schemas import PARTITION_COLUMN, TABLES
+from mastlight.session import remove_folder
 from mastlight.sources.readings import device_readings, resolve_towers
-from mastlight.streaming.runs import append_available, event_time
+from mastlight.streaming.runs import event_time
 from mastlight.streaming.snapshot import Snapshot
 
 
@@ -21,18 +22,27 @@ def ingest_readings(
 ) -> None:
     """Normalise JSON lines, resolve towers against the static table, append by date.
 
-    Refused readings are appended, with the line and the reason, below ``refused_path`` (by default a folder
-    ``<path>_refused``), from the same lines and with a checkpoint of their own.
+    Each micro-batch is parsed once, and what it was judged to be is split: accepted readings go below ``path``, refused lines
+    with the reason below ``refused_path`` (by default a folder ``<path>_refused``), both in a folder ``batch=<id>`` that a
+    repeated batch overwrites.
     """
-    accepted = device_readings(lines, now).filter("error IS NULL").select(*TABLES["readings"].columns)
-    dated = resolve_towers(accepted, towers).withColumn(PARTITION_COLUMN, F.col("recorded_at").cast("date"))
-    append_available(dated, path, checkpoint, PARTITION_COLUMN)
-    append_available(refused_readings(lines, now), refused_path or f"{path.rstrip('/')}_refused", f"{checkpoint.rstrip('/')}_refused")
+    path = path.rstrip("/")
+    refused = (refused_path or f"{path}_refused").rstrip("/")
 
+    def take(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{path}_judged/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        judged = spark.read.schema(batch.schema).parquet(folder)
+        accepted = judged.filter("error IS NULL").select(*TABLES["readings"].columns)
+        dated = resolve_towers(accepted, towers).withColumn(PARTITION_COLUMN, F.col("recorded_at").cast("date"))
+        dated.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(f"{path}/batch={batch_id}")
+        judged.filter("error IS NOT NULL").select("line", "error").write.mode("overwrite").parquet(f"{refused}/batch={batch_id}")
+        remove_folder(spark, folder)
 
-def refused_readings(lines: DataFrame, now: dt.datetime | str | None = None) -> DataFrame:
-    """The lines that hold no acceptable reading, with the reason."""
-    return device_readings(lines, now, keep="value AS line").filter("error IS NOT NULL").select("line", "error")
+    (
+        device_readings(lines, now, keep="value AS line").writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    )
 
 
 MEASURES = (

@@ -59,13 +59,20 @@ def _folders(spark: SparkSession, label: str) -> tuple[str, str]:
     return f"{folder}/table", f"{folder}/checkpoint"
 
 
-def _ingest(spark: SparkSession, folder: str) -> DataFrame:
-    tables = Tables(spark, folder)
-    lines = new_work_folder(spark, "lines")
-    raw_files.reading_lines(tables).select("value").write.text(lines)
-    path, checkpoint = _folders(spark, "ingest")
-    reading_streams.ingest_readings(spark.readStream.text(lines), tables["towers"], path, checkpoint, AS_OF)
-    return spark.read.parquet(path).drop("event_date")
+def _ingested(refused: bool) -> Query:
+    """Lines that arrive in three parts: what was accepted, or what was refused and why."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tables = Tables(spark, folder)
+        lines = new_work_folder(spark, "lines")
+        path, checkpoint = _folders(spark, "ingest")
+        for part in range(ARRIVALS):
+            raw_files.reading_lines(tables).where(f"k % {ARRIVALS} = {part}").select("value").write.mode("append").text(lines)
+            reading_streams.ingest_readings(spark.readStream.text(lines), tables["towers"], path, checkpoint, AS_OF)
+        if refused:
+            return spark.read.parquet(f"{path}_refused").groupBy("error").agg(F.count("*").alias("lines"))
+        return spark.read.parquet(path).drop("event_date", "batch")
+
+    return run
 
 
 def _averages(build: Callable[[DataFrame, str], DataFrame]) -> Query:
@@ -142,7 +149,8 @@ def _freshness(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_queries() -> dict[str, Query]:
     return {
-        "stream_readings_ingest": _ingest,
+        "stream_readings_ingest": _ingested(False),
+        "stream_readings_refused": _ingested(True),
         "stream_minute_averages": _averages(reading_streams.minute_averages),
         "stream_rolling_summary": _averages(reading_streams.rolling_summary),
         "stream_late_readings": _late,
@@ -173,6 +181,7 @@ def stream_oracles() -> dict[str, str]:
             "best AS (SELECT cell_id AS cell, arg_max(id, samples * 100000 - id) AS found FROM towers GROUP BY cell_id) "
             f"SELECT CASE WHEN COALESCE(tower_id, 0) = 0 THEN found ELSE tower_id END AS tower_id, {columns} "
             "FROM typed LEFT JOIN best ON cell = cell_id WHERE error IS NULL"),
+        "stream_readings_refused": f"WITH typed AS ({typed}) SELECT error, COUNT(*) AS lines FROM typed WHERE error IS NOT NULL GROUP BY error",
         "stream_minute_averages": over("readings", steps={
             "cut": "SELECT *, date_trunc('minute', recorded_at) AS bucket FROM readings"},
             sql=f"SELECT bucket, operator, network, city, {_AVERAGES} FROM cut WHERE {_closed(1)} "
