@@ -56,13 +56,17 @@ def _present(names: Sequence[str]) -> str:
 def read_feed(
     spark: SparkSession, path: str, per_line: bool = False, streaming: bool = False
 ) -> DataFrame:
-    """Responses below ``<path>/entity_code=<code>/``: one per file, or one per line."""
+    """Responses below ``<path>/entity_code=<code>/``: one per file, or one per line.
+
+    ``arrived`` tells where a response stands among all: by its file's time and path, then by its place in the file.
+    """
     reader = spark.readStream if streaming else spark.read
-    responses = reader.schema("value STRING, entity_code STRING").text(path, wholetext=not per_line)
+    responses = reader.schema("value STRING, entity_code STRING").text(path, wholetext=not per_line).withColumn(
+        "arrived", F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start"))
     # Entities are a fixed list of five, so this lookup is always broadcast.
     entities = spark.createDataFrame(FEED_ENTITIES, "operator STRING, entity_type STRING, entity_code STRING")
     return responses.join(F.broadcast(entities), "entity_code").select(
-        "operator", "entity_type", "entity_code", F.col("value").alias("body")
+        "operator", "entity_type", "entity_code", F.col("value").alias("body"), "arrived"
     )
 
 
@@ -73,13 +77,15 @@ PLACE = ("_response", "_event", "_signal")
 def outages_from_feed(responses: DataFrame, places: bool = False) -> DataFrame:
     """Rows of the outages table from ``operator, entity_type, entity_code, body`` responses.
 
-    ``places`` adds the columns of PLACE, by which the first of equal rows is known; responses count in the order in which
-    they are read, so the result must be written before it is used twice, and it must not be a stream.
+    ``places`` adds the columns of PLACE, by which the first of equal rows is known: responses count as they ``arrived``, where
+    that is known, and within a file in the order in which they are read, so the result must be written before it is used
+    twice, and it must not be a stream.
     """
     entity = ("operator", "entity_type", "entity_code")
     where = list(PLACE[:2]) if places else []
     if places:
-        responses = responses.withColumn("_response", F.monotonically_increasing_id())
+        known = ["arrived"] if "arrived" in responses.columns else []
+        responses = responses.withColumn("_response", F.struct(*known, F.monotonically_increasing_id().alias("read")))
         entity_ = (*entity, "_response")
     else:
         entity_ = entity

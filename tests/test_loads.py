@@ -280,6 +280,21 @@ def test_first_of_equal_feed_rows_wins_and_open_ones_stay(spark, store, tmp_path
     assert got == [(0.0, True), (0.0, True), (90.0, False)]
 
 
+def test_first_response_to_arrive_wins(spark, store, tmp_path):
+    """Spark reads large files first; the first file to arrive has the rows that stay, however small it is."""
+    import os
+
+    path = put_feed(tmp_path, json.dumps([{"start": 100, "end": 200, "severity": 90}]))
+    folder = tmp_path / "feed" / "entity_code=29465"
+    (folder / "response.json").rename(folder / "z-first.json")
+    later = [{"start": 100, "end": 200, "severity": 10}] + [{"start": 1000 + i, "end": 5000, "severity": 1} for i in range(500)]
+    (folder / "a-later.json").write_text(json.dumps(later))
+    for name, time in (("z-first.json", 1_700_000_000), ("a-later.json", 1_700_000_100)):
+        os.utime(folder / name, (time, time))
+    feed.sync_outages(store, feed.read_feed(spark, path))
+    assert [r.severity for r in store.read("outages").collect() if r.ended_at == dt.datetime(1970, 1, 1, 0, 3, 20)] == [90.0]
+
+
 def test_headers_of_a_folder_must_agree(spark, tmp_path):
     from mastlight.sources.rows import read_headed_csv
 
