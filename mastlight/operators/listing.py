@@ -41,7 +41,7 @@ def parse_time(name: str, value: object) -> dt.datetime:
         try:
             moment = dt.datetime.fromisoformat(str(value).strip())
         except ValueError:
-            raise ValueError(f"{name} must be a valid date/time") from None
+            raise ValueError(f"{name} is not a date or time") from None
     if moment.tzinfo is not None:
         moment = moment.astimezone(dt.UTC).replace(tzinfo=None)
     return moment
@@ -52,10 +52,10 @@ def parse_box(value: str, checked: bool = True) -> tuple[float, float, float, fl
     try:
         low_lat, low_lon, high_lat, high_lon = (float(p) for p in str(value).split(",")[:4])
     except ValueError:
-        raise ValueError("bbox must be minLat,minLon,maxLat,maxLon") from None
+        raise ValueError("bbox takes four numbers: south, west, north, east") from None
     box = (low_lat, low_lon, high_lat, high_lon)
     if checked and not all(math.isfinite(x) for x in box):
-        raise ValueError("bbox must be minLat,minLon,maxLat,maxLon")
+        raise ValueError("bbox takes four numbers: south, west, north, east")
     return box
 
 
@@ -80,7 +80,7 @@ class Match:
                 return None
             word = str(value).lower()
             if word not in ("true", "false"):
-                raise ValueError(f"{self.param} must be true or false")
+                raise ValueError(f"{self.param} is either true or false")
             return F.col(self.columns[0]) == F.lit(word == "true")
         if value is None or value == "" or (value == "all" and not self.literal_all):
             return None
@@ -153,7 +153,7 @@ def listing(df: DataFrame, spec: ListSpec, params: Mapping[str, object] | None =
     if spec.most is None:
         limit = leading_int(wanted)
         if limit is None:
-            raise ValueError("limit must be a number")
+            raise ValueError("limit is not a number")
     else:
         limit = clamp_limit(wanted, spec.default_limit, spec.most)
     return ordered.limit(limit)

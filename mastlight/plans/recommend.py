@@ -45,7 +45,7 @@ def clamp_radius(radius_km: object) -> float:
     """Radius in km: missing means 5, then 1..50."""
     value = float(radius_km or 5)
     if math.isnan(value):
-        raise ValueError("radius_km must be a number")
+        raise ValueError("radius_km is not a number")
     return min(max(value, 1.0), 50.0)
 
 

@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from mastlight.fixed_values import (
-    CITIES,
-    COVERAGE_WEIGHTS,
-    LIVE_WEIGHTS,
-    RISK_CONTRIBUTORS,
-)
 from mastlight.plans.listings import LISTS
+from workload.known_values import CITIES, COVERAGE_WEIGHTS, LIVE_WEIGHTS, RISK_CONTRIBUTORS
 from workload.views import AS_OF, duck_view
 
 NOW = f"TIMESTAMP '{AS_OF}'"

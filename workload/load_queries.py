@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.fixed_values import CITIES
 from mastlight.plans.listings import latest_speed_tests
 from mastlight.schemas import TABLES
 from mastlight.session import new_work_folder
@@ -17,6 +16,7 @@ from mastlight.sources.readings import bulk_readings, bulk_refusals, device_read
 from mastlight.sources.store import TableStore
 from workload import raw_files
 from workload.core_oracles import NOW
+from workload.known_values import CITIES
 from workload.views import AS_OF, Tables, duck_view
 
 Query = Callable[[SparkSession, str], DataFrame]
