@@ -6,6 +6,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,13 +65,38 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Work tables made within the innermost ``passing_tables``, or None outside of any.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to a fresh table in the shared folder and read it back."""
     folder = new_work_folder(df.sparkSession, label)
     df.write.parquet(folder)
+    passing = _PASSING.get()
+    if passing is not None:
+        passing.append(folder)
     return df.sparkSession.read.parquet(folder)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove all tables that were written within, but for the last one, which holds the outcome.
+
+    What is still to be run afterwards must read no other of them.
+    """
+    outer, made = _PASSING.get(), []
+    token = _PASSING.set(made)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+    for folder in made[:-1]:
+        remove_folder(spark, folder)
+    if outer is not None:
+        outer += made[-1:]
+
+
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
