@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from mastlight.llm.common import byte_class, hashed_words, let_go, slices
-from mastlight.session import written
+from mastlight.session import passing_tables, written
 
 #: Words are digits, lower-case letters and everything outside ASCII, after A-Z became lower case.
 WORD_BYTES = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
@@ -265,7 +265,8 @@ def report(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str
 
 def clean(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of the items occurs; columns as they are."""
-    bad = report(docs, items, key=key, text=text).where("contaminated").select(
-        F.col(key).alias("__id"), F.col("mark").alias("__mark")).distinct()
+    with passing_tables(docs.sparkSession):
+        bad = written(report(docs, items, key=key, text=text).where("contaminated").select(
+            F.col(key).alias("__id"), F.col("mark").alias("__mark")).distinct(), "contaminated")
     rows = docs.withColumn("__own", F.xxhash64(F.col(text).cast("string")))
     return rows.join(bad, rows[key].eqNullSafe(bad["__id"]) & (rows["__own"] == bad["__mark"]), "left_anti").drop("__own")

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from mastlight.llm.common import byte_class, hashed_words, mixed, powers, slices
 from mastlight.llm.components import connected_components
-from mastlight.session import written
+from mastlight.session import passing_tables, written
 
 #: Words are what lies between blank and U+0009 to U+000D.
 WORD_BYTES = byte_class((0, 8), (14, 31), (33, 255))
@@ -314,24 +314,25 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), *, key: st
     key's rows, and rows without a key) to every row."""
     mark = F.xxhash64(F.col(text).cast("string"))
     texts = docs.select(F.col(key).alias("id"), mark.alias("mark"), F.col(text).cast("string").alias("text"))
-    prints = written(_prints(texts, settings), "prints")
-    # One row a set, with the document that stands for it; hot sets shrink before the shuffle.
-    classes = written(
-        prints.where("digest is not null").groupBy("digest")
-        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "n", "minima")).alias("r"))
-        .select("digest", "r.id", "r.mark", "r.n", "r.minima", F.monotonically_increasing_id().alias("class")), "classes")
-    links = written(links_between(classes, texts, settings), "near-links")
-    labels = connected_components(links)
-    labelled = classes.join(labels.select(F.col("id").alias("class"), "component"), "class", "left").select(
-        "digest", "id", F.coalesce("component", "class").alias("component"))
-    names = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = written(labelled.join(names, "component").select("digest", "component", "component_id"), "class-components")
+    with passing_tables(docs.sparkSession):
+        prints = written(_prints(texts, settings), "prints")
+        # One row a set, with the document that stands for it; hot sets shrink before the shuffle.
+        classes = written(
+            prints.where("digest is not null").groupBy("digest")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "n", "minima")).alias("r"))
+            .select("digest", "r.id", "r.mark", "r.n", "r.minima", F.monotonically_increasing_id().alias("class")), "classes")
+        links = written(links_between(classes, texts, settings), "near-links")
+        labels = connected_components(links)
+        labelled = classes.join(labels.select(F.col("id").alias("class"), "component"), "class", "left").select(
+            "digest", "id", F.coalesce("component", "class").alias("component"))
+        names = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
+        named = written(labelled.join(names, "component").select("digest", "component", "component_id"), "class-components")
+        marks = written(
+            prints.select(F.col("id").alias("__id"), F.col("mark").alias("__m"), F.col("n").alias("n_shingles"), "digest").distinct()
+            .join(named, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("__id")).otherwise(F.col("component_id")))
+            .drop("digest"), "near-marks")
     added = ["n_shingles", "component", "component_id", "kept"]
     rows = docs.drop(*[c for c in added if c != key]).withColumn("__mark", mark)
-    marks = written(
-        prints.select(F.col("id").alias("__id"), F.col("mark").alias("__m"), F.col("n").alias("n_shingles"), "digest").distinct()
-        .join(named, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("__id")).otherwise(F.col("component_id")))
-        .drop("digest"), "near-marks")
     return (
         rows.join(marks, rows[key].eqNullSafe(marks["__id"]) & (rows["__mark"] == marks["__m"]))
         .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
