@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mastlight.operators.measures import Measure, merges, partials
-from mastlight.operators.sumtree import window_sums
+from mastlight.operators.sumtree import sums_of_instants, window_sums
 from mastlight.operators.timeslice import at_or_after, before
 
 #: Windows whose parts may be broadcast: those of a limited list.
@@ -113,6 +113,11 @@ def preceding_stats(
     return _fold(combined, [*keys, "upper"], measures, category)
 
 
+def preceding_sums(windows: DataFrame, base: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    """Like ``preceding_stats`` for many windows, from a stored table of ``instants``."""
+    return sums_of_instants(windows, _between(windows, base, "at"), keys, measures)
+
+
 def _fold(
     combined: DataFrame, window: list[str], measures: Sequence[Measure], category: str | None
 ) -> DataFrame:

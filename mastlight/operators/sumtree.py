@@ -26,11 +26,13 @@ def minute_of(time: str) -> Column:
     return F.expr(f"({micros} - pmod({micros}, {MINUTE})) div {MINUTE}")
 
 
-def instants(facts: DataFrame, time: str, keys: Sequence[str], measures: Sequence[Measure], category: str | None) -> DataFrame:
-    """Partial aggregates per key, instant and category, with the minute; written, as both ends of the tree read it."""
+def instants(
+    facts: DataFrame, time: str, keys: Sequence[str], measures: Sequence[Measure], category: str | None = None
+) -> DataFrame:
+    """Partial aggregates per key, instant and category, with the minute."""
     kind = [F.col(category).alias("_category")] if category else []
     summed = facts.groupBy(*keys, F.col(time).alias("at"), *kind).agg(*partials(measures))
-    return written(summed.withColumn("minute", minute_of("at")), "instants")
+    return summed.withColumn("minute", minute_of("at"))
 
 
 def tree(base: DataFrame, keys: Sequence[str], kind: Sequence[str], measures: Sequence[Measure], levels: int) -> DataFrame:
@@ -100,9 +102,16 @@ def window_sums(
     ``windows`` has distinct ``keys, lower, upper``, each over an edge of a minute at least.  Output: keys, lower, upper, the
     category where there is one, partial columns; windows without facts may be missing.
     """
-    kind = ["_category"] if category else []
+    # Written, as both ends of the tree read it.
+    base = written(instants(facts, time, keys, measures, category), "instants")
+    return sums_of_instants(windows, base, keys, measures, ["_category"] if category else [])
+
+
+def sums_of_instants(
+    windows: DataFrame, base: DataFrame, keys: Sequence[str], measures: Sequence[Measure], kind: Sequence[str] = ()
+) -> DataFrame:
+    """Like ``window_sums``, from a stored table of ``instants``, which may hold an instant in several rows."""
     levels = levels_of(windows)
-    base = instants(facts, time, keys, measures, category)
     middles = _middles(windows, tree(base, keys, kind, measures, levels), keys, kind, measures, levels)
     both = _edges(windows, base, keys, kind, measures).unionByName(middles)
     return both.groupBy(*keys, "lower", "upper", *kind).agg(*merges(measures))

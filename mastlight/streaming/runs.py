@@ -28,6 +28,14 @@ def batches_of(spark: SparkSession, folder: str) -> list[int]:
     return sorted(int(name.split("=")[1]) for name in names)
 
 
+def batches_so_far(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows of all finished folders ``batch=<id>``, with their batch; ``schema`` is for when there is none yet."""
+    found = [f"{folder}/batch={b}" for b in batches_of(spark, folder)]
+    if not found:
+        return spark.createDataFrame([], f"{schema}, batch INT")
+    return spark.read.option("basePath", folder).parquet(*found)
+
+
 def append_available(
     stream: DataFrame, path: str, checkpoint: str, partition_by: str | None = None
 ) -> None:

@@ -173,6 +173,37 @@ def test_signals_before_outages_in_any_arrival_order(spark, feed, tmp_path):
     assert run() == {1: (3, -90.0), 2: (0, None), 3: (1, -80.0), 4: (0, None), 5: (0, None)}
 
 
+def test_all_outages_come_with_their_whole_windows_at_the_end(spark, feed, tmp_path):
+    """Open outages have the sums so far; starts and readings within one second are told apart."""
+    outage = "id bigint, operator string, started_at timestamp_ntz"
+    outages, readings = feed("outages", outage), feed("readings", READING)
+    half = START + dt.timedelta(hours=2, milliseconds=500)
+    outages.add((1, "MTN", half), (2, "MTN", START + dt.timedelta(hours=50)), (3, "Glo", None))
+    readings.add(reading(1, 0), reading(2, 120, signal=-90.0), reading(3, 60 * 50 - 1, signal=-100.0))
+    out = str(tmp_path / "out")
+    outage_streams.track_signals_before(outages.stream(), readings.stream(), out, str(tmp_path / "check"))
+    assert {r.id for r in outage_streams.read_signals_before(spark, out).collect()} == {1}
+    got = outage_streams.read_signals_before(spark, out, still_open=True).collect()
+    assert {r.id: (r.sample_count, r.pre_avg_signal) for r in got} == {1: (1, -90.0), 2: (1, -100.0), 3: (0, None)}
+
+
+def test_outages_that_come_late_are_closed_once(spark, feed, tmp_path):
+    outage = "id bigint, operator string, started_at timestamp_ntz"
+    outages, readings = feed("outages", outage), feed("readings", READING)
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+
+    def run():
+        outage_streams.track_signals_before(outages.stream(), readings.stream(), out, check)
+        return {r.id: r.sample_count for r in outage_streams.read_signals_before(spark, out).collect()}
+
+    outages.add((1, "MTN", START + dt.timedelta(hours=1)), (2, "MTN", START + dt.timedelta(hours=9)))
+    readings.add(reading(1, 0), reading(2, 60 * 9))
+    assert run() == {1: 1}
+    outages.add((3, "MTN", START + dt.timedelta(hours=2)), (4, "MTN", START + dt.timedelta(hours=9, minutes=30)))
+    assert run() == {1: 1, 3: 1}
+    assert {r.id: r.sample_count for r in outage_streams.read_signals_before(spark, out, still_open=True).collect()} == {1: 1, 2: 0, 3: 1, 4: 1}
+
+
 def test_ingest_resumes_and_skips_bad_lines(spark, tmp_path):
     lines, out, check = tmp_path / "lines", str(tmp_path / "out"), str(tmp_path / "check")
     lines.mkdir()
