@@ -107,13 +107,12 @@ def _arrivals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _signals(spark: SparkSession, folder: str) -> DataFrame:
-    """The outages that are complete: those whose start both watermarks have passed."""
+    """All outages: the closed ones as they came out, the others as they stand at the end of the data."""
     tables = Tables(spark, folder)
     path, checkpoint = _folders(spark, "signals")
     in_time_order(tables, {"outages": "started_at", "readings": "recorded_at"}, lambda streams: outage_streams.track_signals_before(
         streams["outages"], streams["readings"], path, checkpoint))
-    last = F.least(tables["outages"].agg(F.max("started_at")).scalar(), tables["readings"].agg(F.max("recorded_at")).scalar())
-    return outage_streams.read_signals_before(spark, path).where(F.col("started_at") < last - F.expr("INTERVAL 1 HOUR"))
+    return outage_streams.read_signals_before(spark, path, still_open=True)
 
 
 def _late(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,9 +200,7 @@ def stream_oracles() -> dict[str, str]:
                 "ORDER BY entity, recorded_at DESC, id DESC) newest"),
         "stream_first_arrivals": over("network_events", sql="SELECT * FROM network_events"),
         "stream_signals_before_outages": over(
-            "outages", BLOCK_SQL["readings"][0], steps={"chosen": "SELECT * FROM outages WHERE started_at < least("
-            "(SELECT MAX(started_at) FROM outages), (SELECT MAX(recorded_at) FROM readings)) - INTERVAL 1 HOUR"},
-            sql=f"SELECT * EXCLUDE (operator) FROM ({block_sql('readings')})"),
+            "outages", BLOCK_SQL["readings"][0], steps={"chosen": "SELECT * FROM outages"}, sql=block_sql("readings")),
         "stream_outage_feed": raw_files.feed_rows_sql(),
         "readings_freshness": over("readings", sql=(
             f"SELECT CASE WHEN age <= 3600 THEN 1e2 WHEN age <= 21600 THEN 75e0 ELSE 5e1 END AS freshness, COUNT(*) AS readings "
