@@ -180,21 +180,31 @@ class Dictionary(dict):
         super().__init__()
         self[b"."] = 0
         self.words, self.lang, self.prefix = words, lang, lang.encode() + b"\0"
+        # The bit table's content, tested in place: most words are new once a task, and most of them are rare.
+        table = words.table
+        self.raw, self.mask = (table.raw, table.mask) if table else (None, 0)
 
     def __missing__(self, word: bytes) -> int:
-        known = self.words
+        raw = self.raw
+        if raw is None:  # every word counts, and no hash is asked for
+            listed = self.words.listed
+            self[word] = number = len(listed)
+            listed.append((self.lang, word))
+            return number
         value = xxhash.xxh64_intdigest(self.prefix + word)
-        number = 0
-        if known.table is None or known.table.has(value):
-            known.listed.append((self.lang, word))
-            known.hashes.append(value)
-            number = len(known.listed) - 1
-        self[word] = number
-        return number
+        a, b = value & self.mask, value >> 32 & self.mask
+        if raw[a >> 3] >> (a & 7) & 1 and raw[b >> 3] >> (b & 7) & 1:
+            listed = self.words.listed
+            self[word] = number = len(listed)
+            listed.append((self.lang, word))
+            self.words.hashes.append(value)
+            return number
+        self[word] = 0
+        return 0
 
 
 class Words:
-    """The words a task has seen: ids by language, and for each id its language, bytes and hash."""
+    """The words a task has seen: ids by language, and for each id its language, bytes and, where there is a table, hash."""
 
     def __init__(self, table: BitTable | None):
         self.table = table
@@ -230,10 +240,6 @@ class BitTable:
     def __init__(self, raw: bytes):
         self.raw, self.bits, self.mask = raw, np.frombuffer(raw, np.uint8), 8 * len(raw) - 1
 
-    def has(self, value: int) -> bool:
-        bits, a, b = self.raw, value & self.mask, (value >> 32) & self.mask
-        return bool(bits[a >> 3] >> (a & 7) & 1 and bits[b >> 3] >> (b & 7) & 1)
-
     def holds(self, values: np.ndarray) -> np.ndarray:
         out = np.ones(len(values), bool)
         for part in (values, values >> np.uint64(32)):
@@ -327,12 +333,14 @@ class Counter:
         """Write subtrees as runs; with all of them gone, ids start anew."""
         langs = pa.array([w[0] for w in self.own_words], pa.string())
         words = pa.array([w[1] for w in self.own_words], pa.binary())
+        # Places count from 1: 0 is left for the end of a phrase, so no place needs more bits than an id.
         place = np.empty(len(self.own_words), np.uint64)
-        place[pc.sort_indices(words).to_numpy()] = np.arange(len(self.own_words))
+        place[pc.sort_indices(words.slice(1)).to_numpy() + 1] = np.arange(1, len(self.own_words))
+        place[0] = 0
         bits, mask = self.trie.bits, self.trie.mask
         for keys, counts in self.trie.spill(share):
             columns = [((keys >> np.uint64(64 - bits * (i + 1))) & mask).astype(np.int64) for i in range(64 // bits)]
-            order = np.lexsort([np.where(c > 0, place[c] + np.uint64(1), np.uint64(0)) for c in reversed(columns)])
+            order = np.argsort(np.bitwise_or.reduce([place[c] << np.uint64(64 - bits * (i + 1)) for i, c in enumerate(columns)]))
             sizes = sum((c > 0).astype(int) for c in columns)
             for begin in range(0, len(order), ROWS):
                 rows = order[begin:begin + ROWS]
@@ -398,7 +406,8 @@ def _runs(docs: DataFrame, lengths: range, words, pairs) -> DataFrame:
 def _merged(runs: DataFrame, label: str, least: int) -> DataFrame:
     """(lang, phrase, f) of the phrases that reach the least count: the runs, written, then dealt out by ranges and summed."""
     spark, folder = runs.sparkSession, new_work_folder(runs.sparkSession, f"runs-{label}")
-    runs.write.parquet(folder)
+    # Hardly a phrase comes twice in a file: a dictionary of them would be built only to be thrown away.
+    runs.write.option("parquet.enable.dictionary#phrase", "false").parquet(folder)
     dealt = spark.read.parquet(folder).repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     counts = written(dealt.where((F.col("f") >= least) | (F.col("phrase") == "")), f"counts-{label}")
     removed(spark, folder)

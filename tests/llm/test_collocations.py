@@ -128,3 +128,21 @@ def test_stretches_are_cut_beside_blanks():
     for text in (b"", b"abc", b"a b  c." * 50, b"x" * 500, b" " * 300):
         parts = list(c.stretches(text, 20))
         assert b"".join(parts) == text and [t for p in parts for t in tokens(p)] == tokens(text)
+
+
+def test_words_are_counted_without_hashes(monkeypatch):
+    """Hashes are for the bit tables, which the first pass has none of."""
+    def refuse(_):
+        raise AssertionError("a hash of a word")
+
+    monkeypatch.setattr(c.xxhash, "xxh64_intdigest", refuse)
+    counter = c.Counter(range(1, 2), None, None)
+    runs = [*counter.count("en", b"b a. b c"), *counter.spill(1.0)]
+    assert [(r["phrase"], r["f"]) for run in runs for r in run.to_pylist()] == [("a", 1), ("b", 2), ("c", 1)]
+
+
+def test_runs_of_phrases_of_several_lengths_are_in_order():
+    counter = c.Counter(range(3, 5), None, None)
+    runs = [*counter.count("en", b"d c b a b. c b a"), *counter.spill(1.0)]
+    phrases = [r["phrase"].split() for run in runs for r in run.to_pylist()]
+    assert phrases == sorted(phrases) and len(phrases) == 6
