@@ -48,15 +48,19 @@ def within_radius(
 ) -> DataFrame:
     """Pairs of destination and point at most ``radius_km`` apart: dest_id, carry..., distance_km.
 
-    Equi-join on grid cells, then the exact distance.  Reduce points (one row per site) before.
+    Equi-join on grid cells, then a strip of latitude, then the exact distance.  Reduce points (one row per site) before, and
+    sum up after: what is summed right behind the join leaves its task as one row per destination and cell, not as pairs.
     """
     cells = covering_cells(destinations.select("dest_id", "lat", "lon", "radius_km")).select(
         "dest_id", "radius_km", "gy", "gx", F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon")
     )
     placed = points.selectExpr("*", f"{_grid('lat')} AS gy", f"{_grid('lon')} AS gx")
     apart = distance_km(F.col("_dlat"), F.col("_dlon"), F.col("lat"), F.col("lon"))
+    # Points off the circle's strip cost no trigonometry.
+    strip = F.abs(F.col("_dlat") - F.col("lat")) <= F.col("radius_km") / F.lit(KM_PER_DEGREE) * 1.0001 + 1e-6
     return (
         placed.join(cells, ["gy", "gx"])
+        .filter(strip)
         .withColumn("distance_km", apart)
         .filter(F.col("distance_km") <= F.col("radius_km"))
         .select("dest_id", *carry, "distance_km")

@@ -15,7 +15,7 @@ from mastlight.functions.geo import near_box
 from mastlight.functions.numeric import half_up_tenth
 from mastlight.operators.geo_radius import within_radius
 from mastlight.operators.listing import leading_int
-from mastlight.operators.measures import average, merges, partials, results, rows
+from mastlight.operators.measures import average, merges, partial_names, partials, results, rows
 from mastlight.operators.timeslice import as_time, at_or_after, hours_before
 from mastlight.session import written
 
@@ -63,8 +63,8 @@ def live_evidence(
 ) -> DataFrame:
     """Recent readings near each destination per operator.
 
-    The distance depends on the tower only, so readings shrink to one row per tower and operator
-    before they meet the destinations.
+    The distance depends on the tower only, so readings shrink to one row per tower and operator, and those of
+    towers at one place to one row, before they meet the destinations.  Towers without a recent reading meet none.
     """
     recent = at_or_after(readings, "recorded_at", hours_before(as_of, hours), strict=True)
     per_tower = (
@@ -72,12 +72,13 @@ def live_evidence(
         .groupBy("tower_id", "operator")
         .agg(*partials(LIVE_MEASURES), F.min("recorded_at").alias("oldest"))
     )
-    near = within_radius(destinations, towers.select("id", "lat", "lon"), ["id"])
-    joined = near.join(per_tower, near["id"] == per_tower["tower_id"])
+    located = per_tower.join(towers.select("id", "lat", "lon"), F.col("tower_id") == F.col("id"))
+    per_site = located.groupBy("lat", "lon", "operator").agg(*merges(LIVE_MEASURES), F.min("oldest").alias("oldest"))
+    near = within_radius(destinations, per_site, ["operator", *partial_names(LIVE_MEASURES), "oldest"])
     age = (
         F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.min("oldest").cast("timestamp"))
     ) / 1e6
-    merged = joined.groupBy("dest_id", "operator").agg(
+    merged = near.groupBy("dest_id", "operator").agg(
         *merges(LIVE_MEASURES), _nearest(), F.round(age.cast("decimal(38,10)"), 0).cast("double").alias("max_age_sec")
     )
     return merged.select("dest_id", "operator", *results(LIVE_MEASURES), "nearest_km", "max_age_sec")
@@ -86,8 +87,7 @@ def live_evidence(
 def coverage_evidence(destinations: DataFrame, coverage: DataFrame) -> DataFrame:
     """Coverage samples near each destination per operator, first summed up per site."""
     per_site = coverage.groupBy("lat", "lon", "operator").agg(*partials(COVERAGE_MEASURES))
-    names = [n for m in COVERAGE_MEASURES for n in m.partial_names()]
-    near = within_radius(destinations, per_site, ["operator", *names])
+    near = within_radius(destinations, per_site, ["operator", *partial_names(COVERAGE_MEASURES)])
     merged = near.groupBy("dest_id", "operator").agg(*merges(COVERAGE_MEASURES), _nearest())
     return merged.select("dest_id", "operator", *results(COVERAGE_MEASURES), "nearest_km")
 

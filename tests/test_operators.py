@@ -13,7 +13,7 @@ from mastlight.operators.listing import listing
 from mastlight.operators import sumtree
 from mastlight.operators.measures import average, matches, partials, results, rows, total
 from mastlight.operators.preceding import CATEGORIES, preceding_stats
-from mastlight.plans import correlate, summaries
+from mastlight.plans import correlate, recommend, summaries
 from mastlight.plans.listings import LISTS, list_outages, run_list
 from mastlight.schemas import TABLES
 
@@ -263,3 +263,24 @@ def test_facts_of_many_windows_are_summed_before_any_exchange(spark):
     base = sumtree.instants(facts, "t", [], [total("s", "x")], None)
     assert plan.index("Exchange") < plan.rindex("HashAggregate")  # printed from the top: an aggregate lies below the exchange
     assert base.count() == 1000 and set(base.columns) == {"at", "s_s", "minute"}
+
+
+def test_only_places_with_recent_readings_meet_destinations(spark, monkeypatch):
+    """Towers at one place are one point, and towers without a recent reading are none."""
+    met = []
+
+    def spied(destinations, points, carry):
+        met.append(points.count())
+        return within_radius(destinations, points, carry)
+
+    monkeypatch.setattr(recommend, "within_radius", spied)
+    towers = spark.createDataFrame([(1, 6.5, 3.3), (2, 6.5, 3.3), (3, 6.6, 3.3), (4, 6.5, 3.3)], "id int, lat double, lon double")
+    reading = "tower_id int, operator string, signal_dbm double, latency_ms int, dl_mbps double, ul_mbps double, recorded_at timestamp_ntz"
+    at = dt.datetime(2024, 1, 1)
+    rows = [(1, "MTN", -80.0, 10, 1.0, 1.0, at), (2, "MTN", -90.0, 30, 1.0, 1.0, at - dt.timedelta(minutes=1)),
+            (None, "MTN", -10.0, 10, 1.0, 1.0, at), (4, "Glo", -70.0, 10, 1.0, 1.0, at - dt.timedelta(days=3))]
+    near = spark.createDataFrame([(7, 6.5, 3.3, 5.0), (8, 6.5, 3.31, 5.0)], "dest_id bigint, lat double, lon double, radius_km double")
+    found = recommend.live_evidence(near, spark.createDataFrame(rows, reading), towers, F.lit("2024-01-01 01:00:00").cast("timestamp_ntz"), 24)
+    got = {(r.dest_id, r.operator): (r.sample_count, r.avg_signal, r.nearest_km, r.max_age_sec) for r in found.collect()}
+    assert got == {(7, "MTN"): (2, -85.0, 0.0, 3660.0), (8, "MTN"): (2, -85.0, 1.1, 3660.0)}
+    assert met == [1]
