@@ -248,7 +248,8 @@ def centrality(classes: DataFrame) -> DataFrame:
 def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between classes (class, n, minima, id, mark); ``texts`` (id, mark, text) holds the documents.
 
-    All links that matter for components are found; two classes already tied by a common tag need no own link.
+    All links that matter for components are found; two classes already tied by a common tag need no own link.  The many links of a
+    group with its pivots are handed on as one link per class, with its tag.
     """
     classes = written(classes.join(centrality(classes), "class"), "central")
     members = (
@@ -257,7 +258,7 @@ def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> D
                 _children(F.col("tree"), F.lit(0), F.xxhash64("tree"), settings))
         .select("class", "n", "central", "tag", "at.*")
     )
-    pairs, links, sets, depth = [], None, None, 1
+    pairs, tied, sets, depth = [], None, None, 1
     while True:
         # What a node holds, summed up before the shuffle and written, so that the join below can split hot nodes.
         # The most central member of each lane is a pivot: a group that meets in many nodes has the same ones there.
@@ -285,8 +286,8 @@ def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> D
             .select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
         )
         new = confirmed(tried, sets, settings.percent)
-        links = written(new if links is None else links.unionByName(new), "pivot-links")
-        tags = connected_components(links).withColumnRenamed("id", "class")
+        tags = connected_components(written(new if tied is None else tied.unionByName(new), "pivot-links")).withColumnRenamed("id", "class")
+        tied = tags.where("class <> component").select(F.col("class").alias("a"), F.col("component").alias("b"))
         members = (
             large.join(tags, "class", "left").withColumn("tag", F.coalesce("component", "class"))
             .join(classes.select("class", "minima"), "class")
@@ -296,7 +297,7 @@ def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> D
         depth += 1
     candidates = written(reduce(DataFrame.unionByName, pairs).distinct(), "candidates")
     found = confirmed(candidates, sets, settings.percent).unionByName(_block_links(large, sets, settings))
-    return found if links is None else found.unionByName(links)
+    return found if tied is None else found.unionByName(tied)
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings(), *, key: str = "doc_id", text: str = "text") -> DataFrame:

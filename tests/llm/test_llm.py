@@ -445,3 +445,19 @@ def test_pipeline(spark, docs):
     assert kept == sorted(kept, reverse=True) and kept[-1] > 0.5 * docs.count()
     assert corpus_pipeline.run(spark, FOLDER).count() == kept[-1]
     assert zlib.crc32(b"5") == spark.range(1).select(F.crc32(F.lit("5"))).first()[0]
+
+
+def test_large_groups_hand_on_one_link_a_class(spark, monkeypatch):
+    """The links of a group of near copies with its pivots follow its size once, not once a pivot."""
+    handed = []
+
+    def spied(links):
+        handed.append(links.count())
+        return components_of(links)
+
+    components_of = neardup.connected_components
+    monkeypatch.setattr(neardup, "connected_components", spied)
+    rows = [(i, " ".join(f"w{j}" for j in range(200)) + f" end{i}") for i in range(120)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
+    assert handed[0] > 240 and handed[-1] < 120
