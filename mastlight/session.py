@@ -97,6 +97,18 @@ def passing_tables(spark: SparkSession) -> Iterator[None]:
         outer += made[-1:]
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """For jobs whose rows pass long expressions: the JVM compiles no method above 8000 bytes, so Spark is told to split those."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

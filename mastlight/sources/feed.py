@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mastlight.fixed_values import FEED_ENTITIES, FEED_SOURCE
 from mastlight.functions import parsing
 from mastlight.schemas import TABLES
-from mastlight.session import written
+from mastlight.session import small_methods, written
 from mastlight.sources.store import TableStore
 
 # --- fixed values: field names of the feed, in order of preference -----------------------------
@@ -148,7 +148,8 @@ def sync_outages(store: TableStore, responses: DataFrame, nulls_equal: bool = Fa
     again at every sync.
     """
     spark = store.spark
-    found = written(outages_from_feed(responses, places=True), "stage-outages")
+    with small_methods(spark):
+        found = written(outages_from_feed(responses, places=True), "stage-outages")
     counted = _rows_per_operator(store, "before").collect()  # one row per feed operator
     store.merge_new("outages", found, PLACE, nulls_equal=nulls_equal)
     before = spark.createDataFrame(counted, "operator STRING, before BIGINT")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.session import written
+from mastlight.session import small_methods, written
 from mastlight.sources.layouts import LAYOUTS
 from mastlight.sources.normalise import fill_ids, normalise, normalise_towers
 from mastlight.sources.readings import resolve_towers, sql_time
@@ -46,7 +46,9 @@ class Staged:
 
 def _staged(rows: DataFrame, label: str) -> Staged:
     rows, seen = counted(rows, valid=F.count_if(F.col("_valid")))
-    return Staged(written(rows, label), seen(), seen("valid"))
+    with small_methods(rows.sparkSession):
+        staged = written(rows, label)
+    return Staged(staged, seen(), seen("valid"))
 
 
 def _finish(store: TableStore, table: str, staged: Staged, rows: DataFrame, source: str | None) -> LoadReport:

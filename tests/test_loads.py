@@ -306,3 +306,14 @@ def test_headers_of_a_folder_must_agree(spark, tmp_path):
         read_headed_csv(spark, str(folder)).collect()
     (folder / "b.csv").write_text("metric_id,operator\n2,Glo\n")
     assert sorted(r.metric_id for r in read_headed_csv(spark, str(folder)).collect()) == ["1", "2"]
+
+
+def test_long_expressions_are_split_while_rows_are_typed(spark, tmp_path, monkeypatch):
+    """Generated methods of more than 8000 bytes would run uncompiled; the session's own limit comes back afterwards."""
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before, write = spark.conf.get(name), loaders.written
+    monkeypatch.setattr(loaders, "written", lambda rows, label: (seen.append(spark.conf.get(name)), write(rows, label))[1])
+    file = tmp_path / "uptime.csv"
+    file.write_text("tower_id,date\nT1,2024-01-02\n")
+    assert loaders.stage_dataset(spark, "uptime_logs", str(file)).parsed == 1
+    assert seen == ["8000"] and spark.conf.get(name) == before
