@@ -109,6 +109,31 @@ def small_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: Rows that a task of a shuffle is to sort, about.
+ROWS_OF_A_TASK = 100_000
+
+
+@contextmanager
+def shuffled_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For a job that sorts so many rows after a shuffle: the shuffle's partitions follow them, so a task's memory does not.
+
+    Where the cores alone make tasks that small nothing changes; else partitions are not put together again, as that is done by
+    bytes and down to the number of cores.  More partitions that the session asks for stay.
+    """
+    wanted, most = -(-rows // ROWS_OF_A_TASK), "spark.sql.shuffle.partitions"
+    held = {most: str(max(int(spark.conf.get(most)), wanted)), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    if wanted <= spark.sparkContext.defaultParallelism:
+        held = {}
+    before = {name: spark.conf.get(name) for name in held}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def folder_exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from mastlight.fixed_values import FEED_ENTITIES, FEED_SOURCE
 from mastlight.functions import parsing
 from mastlight.schemas import TABLES
-from mastlight.session import small_methods, written
-from mastlight.sources.store import TableStore
+from mastlight.session import shuffled_for, small_methods, written
+from mastlight.sources.store import TableStore, counted
 
 # --- fixed values: field names of the feed, in order of preference -----------------------------
 CONTAINERS = ("outages", "events", "results")
@@ -148,11 +148,13 @@ def sync_outages(store: TableStore, responses: DataFrame, nulls_equal: bool = Fa
     again at every sync.
     """
     spark = store.spark
+    rows, seen = counted(outages_from_feed(responses, places=True))
     with small_methods(spark):
-        found = written(outages_from_feed(responses, places=True), "stage-outages")
-    counted = _rows_per_operator(store, "before").collect()  # one row per feed operator
-    store.merge_new("outages", found, PLACE, nulls_equal=nulls_equal)
-    before = spark.createDataFrame(counted, "operator STRING, before BIGINT")
+        found = written(rows, "stage-outages")
+    known = _rows_per_operator(store, "before").collect()  # one row per feed operator
+    with shuffled_for(spark, seen()):
+        store.merge_new("outages", found, PLACE, nulls_equal=nulls_equal)
+    before = spark.createDataFrame(known, "operator STRING, before BIGINT")
     return (
         found.groupBy("operator").agg(F.count("*").alias("found"))
         .join(F.broadcast(before), "operator", "left")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.session import small_methods, written
+from mastlight.session import shuffled_for, small_methods, written
 from mastlight.sources.layouts import LAYOUTS
 from mastlight.sources.normalise import fill_ids, normalise, normalise_towers
 from mastlight.sources.readings import resolve_towers, sql_time
@@ -53,7 +53,8 @@ def _staged(rows: DataFrame, label: str) -> Staged:
 
 def _finish(store: TableStore, table: str, staged: Staged, rows: DataFrame, source: str | None) -> LoadReport:
     """Add the valid rows; the report takes what the two writes have counted and reads nothing again."""
-    inserted = store.merge_new(table, rows.filter("_valid"), POSITION, source)
+    with shuffled_for(store.spark, staged.valid):
+        inserted = store.merge_new(table, rows.filter("_valid"), POSITION, source)
     return LoadReport(table, staged.parsed, staged.valid, staged.parsed - staged.valid, inserted)
 
 

@@ -3,9 +3,11 @@ import json
 
 import pytest
 
+from mastlight import session
 from mastlight.operators.latest import best_tower_per_cell
 from mastlight.schemas import PARTITION_COLUMN, TABLES
 from mastlight.sources import feed, loaders
+from mastlight.sources import store as store_module
 from mastlight.sources.layouts import LAYOUTS
 from mastlight.sources.normalise import normalise
 from mastlight.sources.readings import bulk_readings, check_all_valid, device_readings, resolve_towers
@@ -317,3 +319,23 @@ def test_long_expressions_are_split_while_rows_are_typed(spark, tmp_path, monkey
     file.write_text("tower_id,date\nT1,2024-01-02\n")
     assert loaders.stage_dataset(spark, "uptime_logs", str(file)).parsed == 1
     assert seen == ["8000"] and spark.conf.get(name) == before
+
+
+def test_partitions_follow_the_rows_of_a_load(spark, store, tmp_path, monkeypatch):
+    """A task sorts about as many rows however large the load; small loads keep the session's settings."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before, seen = [spark.conf.get(n) for n in names], []
+
+    def spied(*args):
+        seen.append([spark.conf.get(n) for n in names])
+        return absent_from(*args)
+
+    absent_from = store_module.absent_from
+    monkeypatch.setattr(store_module, "absent_from", spied)
+    header = "latitude,longitude,operator,coverage_id,signal_dbm\n"
+    path = write(tmp_path, header + "".join(f"6.5,3.4,MTN,C{i},-80\n" for i in range(130)))
+    assert loaders.load_dataset(store, "coverage_data", path).inserted == 130
+    monkeypatch.setattr(session, "ROWS_OF_A_TASK", 10)
+    assert loaders.load_dataset(store, "coverage_data", path).inserted == 0
+    assert seen == [before, ["13", "false"]] and [spark.conf.get(n) for n in names] == before
+    assert store.count("coverage_data") == 130
