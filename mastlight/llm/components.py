@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mastlight.session import written
+from mastlight.session import remove_folder, written_at
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -13,11 +13,13 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Each round takes the smallest label over an id's links (summed up before the shuffle, so that a star with a huge
     centre is fine), then replaces each label by that label's own label.  Rounds grow with the logarithm of the
-    longest chain; each is written to the shared folder, which cuts the lineage and survives lost executors.
+    longest chain; each is written to the shared folder, which cuts the lineage and survives lost executors, and removed
+    after the next one.
     """
+    spark = links.sparkSession
     both = links.select("a", "b").where("a <> b").distinct()
-    both = written(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = written(
+    both, both_at = written_at(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels, labels_at = written_at(
         both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("low"))
         .select("id", F.least("id", "low").alias("component")), "labels")
     while True:
@@ -25,14 +27,17 @@ def connected_components(links: DataFrame) -> DataFrame:
             both.join(labels.select(F.col("id").alias("a"), "component"), "a")
             .groupBy(F.col("b").alias("id")).agg(F.min("component").alias("near"))
         )
-        lower = written(
+        lower, lower_at = written_at(
             labels.join(seen, "id", "left")
             .select("id", F.col("component").alias("old"), F.least("component", "near").alias("component")), "labels")
         jump = lower.select(F.col("id").alias("component"), F.col("component").alias("farther"))
-        after = written(
+        after, after_at = written_at(
             lower.join(jump, "component", "left")
             .select("id", "old", F.least("component", "farther").alias("component")), "labels")
         changed = after.where("component <> old").limit(1).count()
-        labels = after.select("id", "component")
+        remove_folder(spark, labels_at)
+        remove_folder(spark, lower_at)
+        labels, labels_at = after.select("id", "component"), after_at
         if not changed:
+            remove_folder(spark, both_at)
             return labels

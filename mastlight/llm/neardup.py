@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from mastlight.llm.common import byte_class, hashed_words, mixed, powers, slices
 from mastlight.llm.components import connected_components
-from mastlight.session import passing_tables, written
+from mastlight.session import passing_tables, remove_folder, written, written_at
 
 #: Words are what lies between blank and U+0009 to U+000D.
 WORD_BYTES = byte_class((0, 8), (14, 31), (33, 255))
@@ -236,50 +236,60 @@ def _block_links(members: DataFrame, sets: DataFrame, settings: Settings) -> Dat
     return spread.groupBy("tree", "path", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def centrality(classes: DataFrame) -> DataFrame:
-    """(class, central): how many classes share a class's minima, over the last few functions; that estimates its
-    similarity to all others summed up, so it is highest for what a group of copies was made from."""
+def with_centrality(classes: DataFrame) -> DataFrame:
+    """The classes, written, with ``central``: how many classes share a class's minima, over the last few functions; that
+    estimates its similarity to all others summed up, so it is highest for what a group of copies was made from."""
     picked = F.slice("minima", -CENTRAL, CENTRAL)
     own = classes.select("class", F.posexplode(picked).alias("f", "value"))
-    shared = written(own.groupBy("f", "value").agg(F.count("*").alias("k")).where("k > 1"), "shared-minima")
-    return own.join(shared, ["f", "value"], "left").groupBy("class").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("central"))
+    shared, shared_at = written_at(own.groupBy("f", "value").agg(F.count("*").alias("k")).where("k > 1"), "shared-minima")
+    central = own.join(shared, ["f", "value"], "left").groupBy("class").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("central"))
+    found = written(classes.join(central, "class"), "central")
+    remove_folder(classes.sparkSession, shared_at)
+    return found
 
 
 def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) between classes (class, n, minima, id, mark); ``texts`` (id, mark, text) holds the documents.
+    """Links (a, b) between classes (class, n, minima, central, id, mark); ``texts`` (id, mark, text) holds the documents.
 
     All links that matter for components are found; two classes already tied by a common tag need no own link.  The many links of a
-    group with its pivots are handed on as one link per class, with its tag.
+    group with its pivots are handed on as one link per class, with its tag.  What a level has written is removed
+    once the next level is there.
     """
-    classes = written(classes.join(centrality(classes), "class"), "central")
+    spark = classes.sparkSession
     members = (
         classes.select("class", "n", "central", "minima", F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))).alias("tree"))
         .select("class", "n", "central", F.col("class").alias("tag"),
                 _children(F.col("tree"), F.lit(0), F.xxhash64("tree"), settings))
         .select("class", "n", "central", "tag", "at.*")
     )
-    pairs, tied, sets, depth = [], None, None, 1
+    pairs, tied, sets, depth, level_at = [], None, None, 1, None
     while True:
         # What a node holds, summed up before the shuffle and written, so that the join below can split hot nodes.
         # The most central member of each lane is a pivot: a group that meets in many nodes has the same ones there.
         one = F.struct((-F.col("central")).alias("h"), F.col("class").alias("pivot"), F.col("n").alias("m"), F.col("tag").alias("other"))
         lane = F.pmod(F.xxhash64("class", F.lit(depth)), F.lit(settings.pivots))
-        stats = written(
+        stats, stats_at = written_at(
             members.groupBy("tree", "path")
             .agg(F.count("*").alias("size"), F.min("tag").alias("low"), F.max("tag").alias("high"),
                  F.array(*[F.min(F.when(lane == i, one)) for i in range(settings.pivots)]).alias("pivots"))
             .where("size > 1 and low <> high").drop("low", "high"), "node-stats")
-        members = written(members.join(stats, ["tree", "path"]).withColumn(
+        members, members_at = written_at(members.join(stats, ["tree", "path"]).withColumn(
             "pivots", F.when(F.col("size") > settings.leaf, F.col("pivots"))), "node-members")
+        remove_folder(spark, stats_at)
+        if level_at:
+            remove_folder(spark, level_at)
+        level_at = members_at
         if sets is None:  # of classes that share a node with another; the rest are done
             open_ = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "id", "mark")
             whole = texts.join(open_, texts["id"].eqNullSafe(open_["id"]) & (texts["mark"] == open_["mark"])).select("class", "text")
             sets = written(_sets(whole, settings).dropDuplicates(["class"]), "sets")
         last = depth >= settings.depth
-        pairs.append(_leaf_pairs(members.where(F.col("size") <= settings.leaf), settings))
+        met = _leaf_pairs(members.where(F.col("size") <= settings.leaf), settings)
         large = members.where(F.col("size") > settings.leaf)
         if last or not large.limit(1).count():
+            pairs.append(met)
             break
+        pairs.append(written(met.distinct(), "leaf-pairs"))
         tried = (
             large.select("class", "n", "tag", F.explode("pivots").alias("p")).select("class", "n", "tag", "p.*")
             .where((F.col("tag") != F.col("other")) & _alike("n", "m", settings.percent))
@@ -316,21 +326,27 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), *, key: st
     mark = F.xxhash64(F.col(text).cast("string"))
     texts = docs.select(F.col(key).alias("id"), mark.alias("mark"), F.col(text).cast("string").alias("text"))
     with passing_tables(docs.sparkSession):
-        prints = written(_prints(texts, settings), "prints")
+        prints, prints_at = written_at(_prints(texts, settings), "prints")
         # One row a set, with the document that stands for it; hot sets shrink before the shuffle.
-        classes = written(
+        classes, classes_at = written_at(
             prints.where("digest is not null").groupBy("digest")
             .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "n", "minima")).alias("r"))
             .select("digest", "r.id", "r.mark", "r.n", "r.minima", F.monotonically_increasing_id().alias("class")), "classes")
-        links = written(links_between(classes, texts, settings), "near-links")
+        # The minima are the widest columns: from here on only the table that the links come from holds them.
+        numbered = written(
+            prints.select(F.col("id").alias("__id"), F.col("mark").alias("__m"), F.col("n").alias("n_shingles"), "digest").distinct(), "numbered")
+        remove_folder(docs.sparkSession, prints_at)
+        standing = written(classes.select("digest", "id", "class"), "standing")
+        central = with_centrality(classes.drop("digest"))
+        remove_folder(docs.sparkSession, classes_at)
+        links = written(links_between(central, texts, settings), "near-links")
         labels = connected_components(links)
-        labelled = classes.join(labels.select(F.col("id").alias("class"), "component"), "class", "left").select(
+        labelled = standing.join(labels.select(F.col("id").alias("class"), "component"), "class", "left").select(
             "digest", "id", F.coalesce("component", "class").alias("component"))
         names = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
         named = written(labelled.join(names, "component").select("digest", "component", "component_id"), "class-components")
         marks = written(
-            prints.select(F.col("id").alias("__id"), F.col("mark").alias("__m"), F.col("n").alias("n_shingles"), "digest").distinct()
-            .join(named, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("__id")).otherwise(F.col("component_id")))
+            numbered.join(named, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("__id")).otherwise(F.col("component_id")))
             .drop("digest"), "near-marks")
     added = ["n_shingles", "component", "component_id", "kept"]
     rows = docs.drop(*[c for c in added if c != key]).withColumn("__mark", mark)

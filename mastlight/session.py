@@ -71,12 +71,17 @@ _PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to a fresh table in the shared folder and read it back."""
+    return written_at(df, label)[0]
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Like ``written``, with the folder, for who removes it as soon as nothing reads the table any more."""
     folder = new_work_folder(df.sparkSession, label)
     df.write.parquet(folder)
     passing = _PASSING.get()
     if passing is not None:
         passing.append(folder)
-    return df.sparkSession.read.parquet(folder)
+    return df.sparkSession.read.parquet(folder), folder
 
 
 @contextmanager

@@ -2,10 +2,12 @@
 
 import hashlib
 import json
+import os
 import random
 import re
 import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from mastlight.llm import decontaminate, language, neardup, pieces, pii, quality, suffixes, tokens, topk, toxicity
 from mastlight.llm.common import prepare
+from mastlight.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -461,3 +464,23 @@ def test_large_groups_hand_on_one_link_a_class(spark, monkeypatch):
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
     assert handed[0] > 240 and handed[-1] < 120
+
+
+def test_near_duplicate_work_tables_go_when_read(spark, monkeypatch):
+    """When the links are labelled, the tables that only the search for them needed are gone."""
+    folder = Path(shared_folder(spark), "mastlight")
+    folder.mkdir(exist_ok=True)
+    before, seen = set(os.listdir(folder)), []
+
+    def spied(links):
+        out = components_of(links)
+        seen.append({name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before})
+        return out
+
+    components_of = neardup.connected_components
+    monkeypatch.setattr(neardup, "connected_components", spied)
+    rows = [(i, " ".join(f"w{j}" for j in range(200)) + f" end{i}") for i in range(60)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and len(seen) == 2
+    assert seen[-1] >= {"near-links", "standing", "numbered", "labels"}
+    assert not seen[-1] & {"prints", "classes", "shared-minima", "node-stats", "links"}
