@@ -35,7 +35,7 @@ MOST_WORDS, LEAST, COVERS = 4, 30, 80
 #: Score of a phrase whose parts never stand without each other is half of this.
 SCALE = 2_000_000
 #: Keys of a container before it bursts; keys of a trie before it spills; words a task keeps in its dictionary.
-BURST, TRIE_KEYS, DICTIONARY = 1 << 15, 1 << 20, 300_000
+BURST, TRIE_KEYS, DICTIONARY = 1 << 15, 1 << 21, 500_000
 #: Keys that are added to a trie together.
 BATCH = 1 << 19
 #: Bits of the table of frequent parts, at most (16 MB).
@@ -174,13 +174,13 @@ class HatTrie:
 
 
 class Dictionary(dict):
-    """Word ids of one language; 0 for words that cannot be in a phrase."""
+    """Word ids of one language; 0 for words that cannot be in a phrase, which are not kept: most are never met again."""
 
     def __init__(self, words: Words, lang: str):
         super().__init__()
         self[b"."] = 0
         self.words, self.lang, self.prefix = words, lang, lang.encode() + b"\0"
-        # The bit table's content, tested in place: most words are new once a task, and most of them are rare.
+        # The bit table's content, tested in place: most words that are asked for are rare.
         table = words.table
         self.raw, self.mask = (table.raw, table.mask) if table else (None, 0)
 
@@ -199,7 +199,6 @@ class Dictionary(dict):
             listed.append((self.lang, word))
             self.words.hashes.append(value)
             return number
-        self[word] = 0
         return 0
 
 
@@ -316,8 +315,8 @@ class Counter:
         for length, at in starts.items():
             for step in range(length):
                 used[at + step] = True
-        wanted = np.unique(ids[used])
-        if len(self.own_words) + len(wanted) > self.trie.most_words:
+        room = self.trie.most_words - len(self.own_words)
+        if np.count_nonzero(used) > room and len(np.unique(ids[used])) > room:
             yield from self.spill(1.0)
         small = np.zeros(len(ids), np.uint64)
         small[used] = self.small_ids(ids[used])

@@ -146,3 +146,18 @@ def test_runs_of_phrases_of_several_lengths_are_in_order():
     runs = [*counter.count("en", b"d c b a b. c b a"), *counter.spill(1.0)]
     phrases = [r["phrase"].split() for run in runs for r in run.to_pylist()]
     assert phrases == sorted(phrases) and len(phrases) == 5
+
+
+def test_rare_words_take_no_room(monkeypatch):
+    """What the bit table leaves out is not kept, so rare words neither fill the dictionary nor cut the runs short."""
+    monkeypatch.setattr(c, "DICTIONARY", 50)
+    raw = bytearray(1 << 16)
+    for word in (b"often", b"again"):
+        value = c.xxhash.xxh64_intdigest(b"en\0" + word)
+        for at in (value, value >> 32):
+            raw[(at & (1 << 19) - 1) >> 3] |= 1 << (at & 7)
+    counter = c.Counter(range(2, 3), c.BitTable(bytes(raw)), None)
+    text = b" ".join(b"often again rare%d" % i for i in range(300))
+    assert not list(counter.count("en", text)) and not counter.words.full()
+    runs = list(counter.spill(1.0))
+    assert [(p, f) for b in runs for p, f in zip(b["phrase"].to_pylist(), b["f"].to_pylist())] == [("often again", 300)]
