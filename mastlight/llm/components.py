@@ -8,17 +8,24 @@ from pyspark.sql import functions as F
 from mastlight.session import remove_folder, written_at
 
 
+def each_once(links: DataFrame) -> DataFrame:
+    """(a, b) links in one direction and without repeats, and none of a thing with itself."""
+    return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(a, b) links to (id, component): the smallest id reachable, for every id that has a link.
 
+    Every round reads the links, so they are a stored table, of ``each_once`` where they may come repeated.
+
     Each round takes the smallest label over an id's links (summed up before the shuffle, so that a star with a huge
     centre is fine), then replaces each label by that label's own label.  Rounds grow with the logarithm of the
     longest chain; each is written to the shared folder, which cuts the lineage and survives lost executors, and removed
     after the next one.
     """
     spark = links.sparkSession
-    both = links.select("a", "b").where("a <> b").distinct()
-    both, both_at = written_at(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    links = links.where("a <> b")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels, labels_at = written_at(
         both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("low"))
         .select("id", F.least("id", "low").alias("component")), "labels")
@@ -39,5 +46,4 @@ def connected_components(links: DataFrame) -> DataFrame:
         remove_folder(spark, lower_at)
         labels, labels_at = after.select("id", "component"), after_at
         if not changed:
-            remove_folder(spark, both_at)
             return labels

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mastlight.llm.common import byte_class, hashed_words, mixed, powers, slices
-from mastlight.llm.components import connected_components
+from mastlight.llm.components import connected_components, each_once
 from mastlight.session import passing_tables, remove_folder, written, written_at
 
 #: Words are what lies between blank and U+0009 to U+000D.
@@ -201,7 +201,8 @@ def _leaf_pairs(members: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _block_links(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Links between members of large nodes: blocks of members meet block by block, and only links leave a task."""
+    """Links between members of large nodes: blocks of members meet block by block, and only links leave a task, each
+    once for every node it is found in."""
     blocks = F.ceil(F.col("size") / settings.block).cast("int")
     own = F.pmod(F.xxhash64("class", F.lit(-1)), blocks).cast("int")
     spread = (
@@ -233,7 +234,7 @@ def _block_links(members: DataFrame, sets: DataFrame, settings: Settings) -> Dat
         a, b = names[first[x]], names[second[y]]
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
-    return spread.groupBy("tree", "path", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return spread.groupBy("tree", "path", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def with_centrality(classes: DataFrame) -> DataFrame:
@@ -251,7 +252,7 @@ def with_centrality(classes: DataFrame) -> DataFrame:
 def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between classes (class, n, minima, central, id, mark); ``texts`` (id, mark, text) holds the documents.
 
-    All links that matter for components are found; two classes already tied by a common tag need no own link.  The many links of a
+    All links that matter for components are found, some more than once; two classes already tied by a common tag need no own link.  The many links of a
     group with its pivots are handed on as one link per class, with its tag.  What a level has written is removed
     once the next level is there.
     """
@@ -283,20 +284,20 @@ def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> D
             open_ = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "id", "mark")
             whole = texts.join(open_, texts["id"].eqNullSafe(open_["id"]) & (texts["mark"] == open_["mark"])).select("class", "text")
             sets = written(_sets(whole, settings).dropDuplicates(["class"]), "sets")
-        last = depth >= settings.depth
         met = _leaf_pairs(members.where(F.col("size") <= settings.leaf), settings)
         large = members.where(F.col("size") > settings.leaf)
-        if last or not large.limit(1).count():
+        crowded = large.limit(1).count() > 0
+        if depth >= settings.depth or not crowded:
             pairs.append(met)
             break
-        pairs.append(written(met.distinct(), "leaf-pairs"))
+        pairs.append(written(met, "leaf-pairs"))  # at most leaf - 1 a class and node; repeats go with those of the other levels
         tried = (
             large.select("class", "n", "tag", F.explode("pivots").alias("p")).select("class", "n", "tag", "p.*")
             .where((F.col("tag") != F.col("other")) & _alike("n", "m", settings.percent))
             .select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
         )
         new = confirmed(tried, sets, settings.percent)
-        tags = connected_components(written(new if tied is None else tied.unionByName(new), "pivot-links")).withColumnRenamed("id", "class")
+        tags = connected_components(written(each_once(new if tied is None else tied.unionByName(new)), "pivot-links")).withColumnRenamed("id", "class")
         tied = tags.where("class <> component").select(F.col("class").alias("a"), F.col("component").alias("b"))
         members = (
             large.join(tags, "class", "left").withColumn("tag", F.coalesce("component", "class"))
@@ -305,8 +306,9 @@ def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> D
             .select("class", "n", "central", "tag", "at.*")
         )
         depth += 1
-    candidates = written(reduce(DataFrame.unionByName, pairs).distinct(), "candidates")
-    found = confirmed(candidates, sets, settings.percent).unionByName(_block_links(large, sets, settings))
+    found = confirmed(reduce(DataFrame.unionByName, pairs).distinct(), sets, settings.percent)
+    if crowded:
+        found = found.unionByName(_block_links(large, sets, settings))
     return found if tied is None else found.unionByName(tied)
 
 
@@ -334,19 +336,18 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), *, key: st
             .select("digest", "r.id", "r.mark", "r.n", "r.minima", F.monotonically_increasing_id().alias("class")), "classes")
         # The minima are the widest columns: from here on only the table that the links come from holds them.
         numbered = written(
-            prints.select(F.col("id").alias("__id"), F.col("mark").alias("__m"), F.col("n").alias("n_shingles"), "digest").distinct(), "numbered")
+            prints.select(F.col("id").alias("__id"), F.col("mark").alias("__m"), F.col("n").alias("n_shingles"), "digest"), "numbered")
         remove_folder(docs.sparkSession, prints_at)
         standing = written(classes.select("digest", "id", "class"), "standing")
         central = with_centrality(classes.drop("digest"))
         remove_folder(docs.sparkSession, classes_at)
-        links = written(links_between(central, texts, settings), "near-links")
-        labels = connected_components(links)
+        labels = connected_components(written(each_once(links_between(central, texts, settings)), "near-links"))
         labelled = standing.join(labels.select(F.col("id").alias("class"), "component"), "class", "left").select(
             "digest", "id", F.coalesce("component", "class").alias("component"))
         names = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-        named = written(labelled.join(names, "component").select("digest", "component", "component_id"), "class-components")
+        named = labelled.join(names, "component").select("digest", "component", "component_id")
         marks = written(
-            numbered.join(named, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("__id")).otherwise(F.col("component_id")))
+            numbered.distinct().join(named, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("__id")).otherwise(F.col("component_id")))
             .drop("digest"), "near-marks")
     added = ["n_shingles", "component", "component_id", "kept"]
     rows = docs.drop(*[c for c in added if c != key]).withColumn("__mark", mark)

@@ -484,3 +484,29 @@ def test_near_duplicate_work_tables_go_when_read(spark, monkeypatch):
     assert {r.component_id for r in got} == {0} and len(seen) == 2
     assert seen[-1] >= {"near-links", "standing", "numbered", "labels"}
     assert not seen[-1] & {"prints", "classes", "shared-minima", "node-stats", "links"}
+
+
+def test_links_are_written_once(spark, monkeypatch):
+    """Each table of links is written once, with every link once, and no block is made where no node is crowded."""
+    made, handed = [], []
+
+    def spied(df, label):
+        made.append(label)
+        return written_at(df, label)
+
+    def linked(links):
+        handed.append([tuple(sorted(r)) for r in links.select("a", "b").collect()])
+        return components_of(links)
+
+    written_at, components_of = neardup.written_at, neardup.connected_components
+    monkeypatch.setattr(neardup, "written_at", spied)
+    monkeypatch.setattr(neardup, "written", lambda df, label: spied(df, label)[0])
+    monkeypatch.setattr("mastlight.llm.components.written_at", spied)
+    monkeypatch.setattr(neardup, "connected_components", linked)
+    monkeypatch.setattr(neardup, "_block_links", None)
+    rows = [(i, " ".join(f"w{j}" for j in range(200)) + f" end{i}") for i in range(60)] * 2
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 120 and {r.component_id for r in got} == {0}
+    assert all(len(x) == len(set(x)) > 0 for x in handed)
+    tables = [label for label in made if label != "labels"]
+    assert len(tables) == len(set(tables)) + 2 and not set(tables) & {"links", "candidates", "class-components"}  # two levels of nodes
