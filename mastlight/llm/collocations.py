@@ -6,14 +6,16 @@ bursts: a range is cut in two; a container of one word gets a trie node of its o
 the trie holds more keys than its budget, its largest subtrees are spilled whole, as runs in the order of their phrases.
 Runs are written, dealt out by ranges of phrases (so by prefixes, where a heavy prefix takes several ranges) and merged.
 
-Three passes count words, pairs, and phrases of three and four words.  A phrase is at most as frequent as its parts, so a
-later pass leaves out what holds a part below the least count.  Tasks know these parts by a bit table of at
+Three passes count words, pairs by their hashes, and phrases of two to four words.  A phrase is at most as frequent as its parts,
+so a later pass leaves out what holds a part below the least count.  Tasks know these parts by a bit table of at
 most ``TABLE_BITS`` bits that is broadcast: it may let a part through too many, never one too few, so it
-bounds memory and cannot change a result.
+bounds memory and cannot change a result.  Most pairs are rare: the second pass only finds out which may be frequent, so it
+hands on a hash and a count for each; pairs that share a hash count together there, and the third pass counts those
+that are left by their words.
 
 Results: everything is per language; a NULL language is ``und``, a NULL text is empty.  Texts without words
 add nothing, repeated rows count each, extra columns are not read.  Long texts are read in stretches that
-carry three words over.  Words are told apart by their bytes; only the bit table works with hashes.
+carry three words over.  Words are told apart by their bytes; only the bit tables work with hashes.
 """
 
 from __future__ import annotations
@@ -264,18 +266,20 @@ def stretches(text: bytes, size: int = STRETCH) -> Iterator[bytes]:
 
 
 class Counter:
-    """Counts phrases of the given lengths; hands out runs of (language, phrase, count)."""
+    """Counts phrases of the given lengths; hands out runs of (language, phrase, count), or with ``hashed``, for pairs under a
+    table of words, of (hash, count) in no order."""
 
-    def __init__(self, lengths: range, words: BitTable | None, pairs: BitTable | None):
-        self.lengths, self.pairs, self.words = lengths, pairs, Words(words)
+    def __init__(self, lengths: range, words: BitTable | None, pairs: BitTable | None, hashed: bool = False):
+        self.lengths, self.pairs, self.words, self.hashed = lengths, pairs, Words(words), hashed
         self.trie = HatTrie(lengths[-1])
         self.total: dict[str, int] = {}
-        self.own_words: list[tuple[str, bytes]] = [("", b"")]
         self.renewed()
 
     def renewed(self) -> None:
         """No word has an id in the trie yet."""
         self.small = np.zeros(1024, np.int64)
+        self.own_words: list[tuple[str, bytes]] = [("", b"")]
+        self.own_hashes = [np.zeros(1, np.uint64)]
 
     def small_ids(self, ids: np.ndarray) -> np.ndarray:
         """Ids within the trie, given to words as they come."""
@@ -285,6 +289,8 @@ class Counter:
         fresh = fresh[fresh > 0]
         self.small[fresh] = np.arange(len(self.own_words), len(self.own_words) + len(fresh))
         self.own_words += [self.words.listed[i] for i in fresh.tolist()]
+        if self.hashed and len(fresh):
+            self.own_hashes.append(self.words.hashes_of(fresh))
         return self.small[ids].astype(np.uint64)
 
     def count(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
@@ -329,7 +335,21 @@ class Counter:
             yield from self.spill(0.5)
 
     def spill(self, share: float) -> Iterator[pa.RecordBatch]:
-        """Write subtrees as runs; with all of them gone, ids start anew."""
+        """Hand out subtrees as runs; with all of them gone, ids start anew."""
+        yield from self.hashed_runs(share) if self.hashed else self.runs(share)
+        if not self.trie.held:
+            self.trie = HatTrie(self.lengths[-1])
+            self.renewed()
+
+    def hashed_runs(self, share: float) -> Iterator[pa.RecordBatch]:
+        hashes, bits, mask = np.concatenate(self.own_hashes), self.trie.bits, self.trie.mask
+        for keys, counts in self.trie.spill(share):
+            value = pair_hashes(hashes[keys >> np.uint64(64 - bits)], hashes[(keys >> np.uint64(64 - 2 * bits)) & mask]).view(np.int64)
+            for begin in range(0, len(keys), ROWS):
+                rows = slice(begin, begin + ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(value[rows]), pa.array(counts[rows])], names=["hash", "f"])
+
+    def runs(self, share: float) -> Iterator[pa.RecordBatch]:
         langs = pa.array([w[0] for w in self.own_words], pa.string())
         words = pa.array([w[1] for w in self.own_words], pa.binary())
         # Places count from 1: 0 is left for the end of a phrase, so no place needs more bits than an id.
@@ -352,10 +372,6 @@ class Counter:
                 back = np.argsort(np.concatenate(spots), kind="stable")
                 joined = pa.concat_arrays([p.combine_chunks() if isinstance(p, pa.ChunkedArray) else p for p in phrases])
                 yield run_batch(langs.take(pa.array(columns[0][rows])), joined.take(pa.array(back)), counts[rows])
-        if not self.trie.held:
-            self.trie = HatTrie(self.lengths[-1])
-            self.own_words = [("", b"")]
-            self.renewed()
 
     def totals(self) -> pa.RecordBatch:
         """The number of words of each language, under the empty phrase."""
@@ -367,10 +383,10 @@ def run_batch(lang: pa.Array, phrase: pa.Array, count: np.ndarray) -> pa.RecordB
     return pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(count, pa.int64())], names=["lang", "phrase", "f"])
 
 
-def _runs(docs: DataFrame, lengths: range, words, pairs) -> DataFrame:
+def _runs(docs: DataFrame, lengths: range, words, pairs, hashed: bool = False) -> DataFrame:
     """Runs of partial counts of the phrases of the given lengths; one row for a phrase of a spilled subtree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(lengths, words and BitTable(words.value), pairs and BitTable(pairs.value))
+        counter = Counter(lengths, words and BitTable(words.value), pairs and BitTable(pairs.value), hashed)
 
         def whole(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
             """Short texts together; of a long one, stretch after stretch with the last words carried over."""
@@ -396,10 +412,11 @@ def _runs(docs: DataFrame, lengths: range, words, pairs) -> DataFrame:
                 counter.words.reset()
                 yield from counter.spill(1.0)
         yield from counter.spill(1.0)
-        yield counter.totals()
+        if counter.total:
+            yield counter.totals()
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "lang string, phrase string, f long")
+    return rows.mapInArrow(run, "hash long, f long" if hashed else "lang string, phrase string, f long")
 
 
 def _merged(runs: DataFrame, label: str, least: int) -> DataFrame:
@@ -413,24 +430,28 @@ def _merged(runs: DataFrame, label: str, least: int) -> DataFrame:
     return counts
 
 
-def bit_table(counts: DataFrame) -> bytes:
-    """The bit table of words or pairs: its size follows their number up to a fixed bound."""
-    entries = counts.where("phrase <> ''")
-    bits = 1 << min(TABLE_BITS.bit_length() - 1, max(16, (32 * entries.count()).bit_length()))
+def frequent_pairs(docs: DataFrame, words, least: int) -> DataFrame:
+    """Hashes of pairs, written: those of all pairs that reach the least count, and seldom another."""
+    summed = _runs(docs, range(2, 3), words, None, hashed=True).repartition("hash").groupBy("hash").agg(F.sum("f").alias("f"))
+    return written(summed.where(F.col("f") >= least).select("hash"), "pair-hashes")
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def word_hashes(counts: DataFrame) -> DataFrame:
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                prefix = lang.encode() + b"\0"
-                hashes.append([xxhash.xxh64_intdigest(prefix + w) for w in phrase.encode().split(b" ")])
-            grid = np.array(hashes, np.uint64).reshape(len(hashes), -1)
-            value = grid[:, 0] if grid.shape[1] == 1 else pair_hashes(grid[:, 0], grid[:, 1])
-            at = np.concatenate([value, value >> np.uint64(32)]) & np.uint64(bits - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], names=["at"])
+            found = [xxhash.xxh64_intdigest(lang.encode() + b"\0" + word.encode())
+                     for lang, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], names=["hash"])
+
+    return counts.where("phrase <> ''").select("lang", "phrase").mapInArrow(hashes, "hash long")
+
 
+def bit_table(hashes: DataFrame, entries: int) -> bytes:
+    """The bit table of so many hashes: its size follows their number up to a fixed bound."""
+    bits = 1 << min(TABLE_BITS.bit_length() - 1, max(16, (32 * entries).bit_length()))
+    both = F.array("hash", F.shiftrightunsigned("hash", 32))
     cells = (
-        entries.select("lang", "phrase").mapInArrow(places, "at long")
+        hashes.select(F.explode(both).alias("part")).select(F.col("part").bitwiseAND(F.lit(bits - 1)).alias("at"))
         .groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("held"))
     ).toArrow()  # at most TABLE_BITS / 64 rows
     table = np.zeros(bits // 64, np.int64)
@@ -443,11 +464,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     language under the empty phrase."""
     context = docs.sparkSession.sparkContext
     words = _merged(_runs(docs, range(1, 2), None, None), "words", least)
-    known = context.broadcast(bit_table(words))
-    pairs = _merged(_runs(docs, range(2, 3), known, None), "pairs", least)
-    linked = context.broadcast(bit_table(pairs))
-    longer = _merged(_runs(docs, range(3, MOST_WORDS + 1), known, linked), "longer", least)
-    return words.unionByName(pairs).unionByName(longer)
+    known = context.broadcast(bit_table(word_hashes(words), words.where("phrase <> ''").count()))
+    pairs = frequent_pairs(docs, known, least)
+    linked = context.broadcast(bit_table(pairs, pairs.count()))
+    return words.unionByName(_merged(_runs(docs, range(2, MOST_WORDS + 1), known, linked), "phrases", least))
 
 
 def collocations(docs: DataFrame, top: int | None = 2000, *, least: int = LEAST, covers: int = COVERS) -> DataFrame:

@@ -161,3 +161,49 @@ def test_rare_words_take_no_room(monkeypatch):
     assert not list(counter.count("en", text)) and not counter.words.full()
     runs = list(counter.spill(1.0))
     assert [(p, f) for b in runs for p, f in zip(b["phrase"].to_pylist(), b["f"].to_pylist())] == [("often again", 300)]
+
+
+def full_table(words):
+    raw = bytearray(1 << 16)
+    for word in words:
+        value = c.xxhash.xxh64_intdigest(b"en\0" + word)
+        for at in (value, value >> 32):
+            raw[(at & (1 << 19) - 1) >> 3] |= 1 << (at & 7)
+    return c.BitTable(bytes(raw))
+
+
+def test_pairs_are_handed_on_as_hashes(monkeypatch):
+    """The pass over pairs makes no phrases, also where its trie spills and the dictionary is emptied."""
+    monkeypatch.setattr(c, "TRIE_KEYS", 40)
+    monkeypatch.setattr(c, "BATCH", 50)
+    rng, got, wanted = random.Random(2), Counter(), Counter()
+    words = [b"w%d" % i for i in range(25)]
+    counter = c.Counter(range(2, 3), full_table(words), None, True)
+    monkeypatch.setattr(c.Counter, "runs", None)
+    hashes = {w: np.array([c.xxhash.xxh64_intdigest(b"en\0" + w)], np.uint64) for w in words}
+    for _ in range(40):
+        text = rng.choices(words + [b"rare"], k=60)
+        for a, b in zip(text, text[1:]):
+            if b"rare" not in (a, b):
+                wanted[int(c.pair_hashes(hashes[a], hashes[b]).view(np.int64)[0])] += 1
+        batches = list(counter.count("en", b" ".join(text)))
+        if rng.random() < 0.2:
+            counter.words.reset()
+            batches += counter.spill(1.0)
+        for batch in batches:
+            for h, f in zip(batch["hash"].to_pylist(), batch["f"].to_pylist()):
+                got[h] += f
+    for batch in counter.spill(1.0):
+        for h, f in zip(batch["hash"].to_pylist(), batch["f"].to_pylist()):
+            got[h] += f
+    assert got == wanted
+
+
+def test_false_alarms_change_nothing(spark, monkeypatch):
+    """With tables that let everything through, counts are still of the words themselves."""
+    prepare(spark)
+    monkeypatch.setattr(c, "TABLE_BITS", 64)
+    rng = random.Random(8)
+    rows = [("x", " ".join(rng.choices([f"w{i}" for i in range(60)], [1 / (i + 1) for i in range(60)], k=60))) for _ in range(80)]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    assert {tuple(r) for r in c.collocations(frame, 500, least=6).collect()} == brute(rows, 6, 500)
