@@ -252,9 +252,9 @@ def with_centrality(classes: DataFrame) -> DataFrame:
 def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between classes (class, n, minima, central, id, mark); ``texts`` (id, mark, text) holds the documents.
 
-    All links that matter for components are found, some more than once; two classes already tied by a common tag need no own link.  The many links of a
-    group with its pivots are handed on as one link per class, with its tag.  What a level has written is removed
-    once the next level is there.
+    All links that matter for components are found, some more than once; two classes already tied by a common tag need no
+    own link.  The many links of a group with its pivots are handed on as one link per class, with its tag.  What a level
+    has written is removed once the next level is there.
     """
     spark = classes.sparkSession
     members = (
@@ -306,7 +306,9 @@ def links_between(classes: DataFrame, texts: DataFrame, settings: Settings) -> D
             .select("class", "n", "central", "tag", "at.*")
         )
         depth += 1
-    found = confirmed(reduce(DataFrame.unionByName, pairs).distinct(), sets, settings.percent)
+    # Written, so that the join below knows how few they are before it shuffles any set.
+    candidates = written(reduce(DataFrame.unionByName, pairs).distinct(), "candidates")
+    found = confirmed(candidates, sets, settings.percent)
     if crowded:
         found = found.unionByName(_block_links(large, sets, settings))
     return found if tied is None else found.unionByName(tied)
