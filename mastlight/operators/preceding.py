@@ -3,25 +3,29 @@
 A plain range join would match every fact row with every window that covers it.  For a few windows each fact
 row is snapped to the part of the time line it lies in: windows are cut into clock cells (minutes or hours), and
 cells are cut again at the window edges.  Parts do not overlap and no window edge lies inside one, so a
-fact row joins exactly one part, which is broadcast, and is summed up there, before the shuffle.  Many windows are made up from a
-tree of sums over the time line (``sumtree``), which facts enter without meeting a window.
+fact row joins exactly one part, which is broadcast, and is summed up there, before the shuffle.  Many windows are made up from
+sums over the time line (``sumtree``), which facts enter without meeting a window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mastlight.operators.measures import Measure, merges, partials
-from mastlight.operators.sumtree import sums_of_instants, window_sums
+from mastlight.operators.measures import Measure, merges, partial_names, partials
+from mastlight.operators.sumtree import Part, shape_of, sums_of_instants, sums_of_tables
 from mastlight.operators.timeslice import at_or_after, before
+from mastlight.session import written
 
 #: Windows whose parts may be broadcast: those of a limited list.
 MOST_BOUNDED = 1000
+#: Different categories that are counted in a column each, if windows are many.
+MOST_KINDS = 32
 #: Column with the category counts of a window: array of (category, total), unordered.
 CATEGORIES = "_categories"
+NO_CATEGORIES = "cast(array() AS array<struct<category: string, total: bigint>>)"
 
 
 def _floor(time: str, cell: str) -> Column:
@@ -109,10 +113,51 @@ def preceding_stats(
     if bounded:
         combined = _from_cells(windows, snap(windows, facts, time, keys, measures, cell, category), keys, kind, cell, measures)
     else:
-        combined = window_sums(windows, facts, time, keys, measures, category)
+        return preceding_of_tables(written(windows, "windows"), {"": (facts, time, measures, category)}, keys).withColumnRenamed(f"{CATEGORIES}_", CATEGORIES)
     return _fold(combined, [*keys, "upper"], measures, category)
 
 
+def _kinds(facts: DataFrame, category: str | None) -> list[str] | None:
+    """The categories as hexadecimal digits, which no setting reads in another way, if they are few texts."""
+    if not category:
+        return []
+    if facts.schema[category].dataType.simpleString() != "string":
+        return None
+    known = facts.where(F.col(category).isNotNull()).select(F.hex(category).alias("digits"), F.is_valid_utf8(category).alias("valid"))
+    found = known.distinct().limit(MOST_KINDS + 1).collect()
+    return sorted(r.digits for r in found) if len(found) <= MOST_KINDS and all(r.valid for r in found) else None
+
+
+def preceding_of_tables(windows: DataFrame, tables: Mapping[str, Part], keys: Sequence[str]) -> DataFrame:
+    """``preceding_stats`` of several tables in the same many windows, which are stored.
+
+    Output: keys, upper, all partial columns, and the category counts of a table in ``CATEGORIES_<its name>``.  Tables
+    with few categories are summed together, the categories as further columns; others on their own.
+    """
+    shape = shape_of(windows)
+    together, alone, counts = [], [], []
+    for name, (facts, time, measures, category) in tables.items():
+        facts = _between(windows, facts, time)
+        kinds = _kinds(facts, category) if shape.length else None if category else []
+        if kinds is None:
+            sums = sums_of_tables(windows, [(facts, time, measures, category)], keys, shape)
+            alone.append(_fold(sums, [*keys, "upper"], measures, category).withColumnRenamed(CATEGORIES, f"{CATEGORIES}_{name}"))
+            continue
+        counted = [Measure(f"_{name}_{i}", "matches", f"hex({category}) = '{k}'") for i, k in enumerate(kinds)]
+        together.append((facts, time, [*measures, *counted], None))
+        if category:
+            each = [f"named_struct('category', cast(X'{k}' AS string), 'total', {m.name}_n)" for k, m in zip(kinds, counted)]
+            found = f"filter(array({', '.join(each)}), x -> x.total > 0)"
+            counts.append(f"{found if each else NO_CATEGORIES} AS {CATEGORIES}_{name}")
+    if together:
+        names = [n for _, _, measures, _ in together for n in partial_names(measures) if not n.startswith("_")]
+        alone.append(sums_of_tables(windows, together, keys, shape).selectExpr(*keys, "upper", *names, *counts))
+    out = alone[0]
+    for other in alone[1:]:
+        out = out.join(other, [*keys, "upper"], "full")
+    return out
+
+
 def preceding_sums(windows: DataFrame, base: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Like ``preceding_stats`` for many windows, from a stored table of ``instants``."""
     return sums_of_instants(windows, _between(windows, base, "at"), keys, measures)

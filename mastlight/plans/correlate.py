@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from mastlight.fixed_values import BAD_HEALTH, HIGH_PRIORITY
 from mastlight.operators.listing import clamp_limit
 from mastlight.operators.measures import Measure, average, matches, rows, total
-from mastlight.operators.preceding import CATEGORIES, daily_stats, few, preceding_stats
+from mastlight.operators.preceding import CATEGORIES, daily_stats, few, preceding_of_tables, preceding_stats
 from mastlight.schemas import PARTITION_COLUMN
-from mastlight.session import pinned
+from mastlight.session import pinned, written
 
 
 def _one_of(column: str, words: tuple[str, ...]) -> str:
@@ -137,20 +137,27 @@ def block_summary(name: str, outages: DataFrame, facts: DataFrame, bounded: bool
     ``bounded`` is for a list that a limit or ``few`` keeps small.
     """
     block = BLOCKS[name]
-    used = {*block.keys, block.time, block.category, PARTITION_COLUMN}
-    facts = facts.select(*[c for c in facts.columns if c in used or _measured(c, block)])
+    facts = _used(facts, block)
     if block.days is not None:
         windows = outages.select(*block.keys, F.to_date("started_at").alias("day")).distinct()
         return daily_stats(
             windows, facts, block.time, block.keys, block.measures, block.days, block.category
         )
-    lower = F.expr(f"started_at - INTERVAL {block.hours} HOURS AS lower")
-    windows = outages.select(*block.keys, lower, F.col("started_at").alias("upper")).distinct()
     return preceding_stats(
-        windows, facts, block.time, block.keys, block.measures, block.cell, block.category, bounded
+        _windows(outages, block.keys, block.hours), facts, block.time, block.keys, block.measures, block.cell, block.category, bounded
     )
 
 
+def _windows(outages: DataFrame, keys: list[str], hours: int) -> DataFrame:
+    lower = F.expr(f"started_at - INTERVAL {hours} HOURS AS lower")
+    return outages.select(*keys, lower, F.col("started_at").alias("upper")).distinct()
+
+
+def _used(facts: DataFrame, block: Block) -> DataFrame:
+    used = {*block.keys, block.time, block.category, PARTITION_COLUMN}
+    return facts.select(*[c for c in facts.columns if c in used or _measured(c, block)])
+
+
 def _measured(column: str, block: Block) -> bool:
     return any(m.value and re.search(rf"\b{column}\b", m.value) for m in block.measures)
 
@@ -167,9 +174,27 @@ def _anchored(outages: DataFrame) -> DataFrame:
     return outages.selectExpr("*", "started_at AS upper", "to_date(started_at) AS day")
 
 
-def _joined(left: DataFrame, name: str, facts: DataFrame, outages: DataFrame, bounded: bool) -> DataFrame:
+def _joined(left: DataFrame, name: str, facts: DataFrame, outages: DataFrame, bounded: bool, stored: bool = False) -> DataFrame:
     summary = block_summary(name, outages, facts, bounded).withColumnRenamed(CATEGORIES, f"{CATEGORIES}_{name}")
-    return left.join(summary, BLOCKS[name].window, "left")
+    return left.join(written(summary, "summary") if stored else summary, BLOCKS[name].window, "left")
+
+
+def _joined_to_all(left: DataFrame, tables: Mapping[str, DataFrame], outages: DataFrame) -> DataFrame:
+    """All ten summaries of many outages: blocks with the same windows are made up together and joined once."""
+    alike: dict[tuple[tuple[str, ...], int], list[str]] = {}
+    for name, block in BLOCKS.items():
+        if block.days is None:
+            alike.setdefault((tuple(block.keys), block.hours), []).append(name)
+    # Fewest columns first, as the outages are dealt out anew for other keys.
+    for (keys, hours), names in sorted(alike.items(), key=lambda group: (len(group[0][0]), len(group[1]))):
+        windows = written(_windows(outages, list(keys), hours), "windows")
+        parts = {n: (_used(tables[BLOCKS[n].table], BLOCKS[n]), BLOCKS[n].time, BLOCKS[n].measures, BLOCKS[n].category) for n in names}
+        left = left.join(preceding_of_tables(windows, parts, keys), [*keys, "upper"], "left")
+    for name, block in BLOCKS.items():
+        if block.days is not None:
+            # Written, so that its size is known: where it is small the outages are not dealt out by day.
+            left = _joined(left, name, tables[block.table], outages, False, True)
+    return left
 
 
 def block_stats(name: str, outages: DataFrame, facts: DataFrame, bounded: bool = False) -> DataFrame:
@@ -188,14 +213,17 @@ def correlate_outages(tables: Mapping[str, DataFrame], limit: int | str | None =
     """Each of the newest outages with the statistics of all ten fact tables before it.
 
     Category counts are maps with sorted keys.  ``limit=None`` takes every outage: windows are then made up from
-    sum trees, and nothing is broadcast by hint.
+    sums over the time line, and nothing is broadcast by hint.
     """
     bounded = limit is not None  # at most 500, by newest_outages
     outages = pinned(newest_outages(tables["outages"], limit))
     out = _anchored(outages)
     columns = ["id AS outage_id" if c == "id" else c for c in outages.columns]
+    if not bounded:
+        out = _joined_to_all(out, tables, outages)
     for name, block in BLOCKS.items():
-        out = _joined(out, name, tables[block.table], outages, bounded)
+        if bounded:
+            out = _joined(out, name, tables[block.table], outages, bounded)
         columns += _result_sql(block)
         if block.map_name:
             sorted_entries = f"coalesce(array_sort({CATEGORIES}_{name}), array())"

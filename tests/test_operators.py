@@ -284,3 +284,68 @@ def test_only_places_with_recent_readings_meet_destinations(spark, monkeypatch):
     got = {(r.dest_id, r.operator): (r.sample_count, r.avg_signal, r.nearest_km, r.max_age_sec) for r in found.collect()}
     assert got == {(7, "MTN"): (2, -85.0, 0.0, 3660.0), (8, "MTN"): (2, -85.0, 1.1, 3660.0)}
     assert met == [1]
+
+
+def filled(spark, name, count, values):
+    """Rows of one table: the given expressions of ``id``, NULL elsewhere."""
+    schema = spark.createDataFrame([], TABLES[name].ddl).schema
+    at = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(pmod(hash(id, {}), 40000000) / 1000 AS decimal(18,3)))"
+    values = {"operator": "element_at(array('MTN', 'Glo', NULL, 'Airtel'), cast(1 + pmod(hash(id, 7), 4) AS int))", **values}
+    return spark.range(count).select(*[
+        F.expr(f"cast({values.get(f.name, 'NULL').replace('AT', at.format(len(name)))} AS {f.dataType.simpleString()})").alias(f.name) for f in schema])
+
+
+@pytest.mark.parametrize("whole", [True, False])
+@pytest.mark.parametrize("kinds", [3, 40])
+def test_all_outages_are_correlated_like_a_limited_list(spark, monkeypatch, kinds, whole):
+    """Equal windows need no tree, and tables with the same windows and few categories are summed in one pass."""
+    steps = []
+
+    def spied(base, *others):
+        steps.append("tree")
+        return tree(base, *others)
+
+    def stored(df, label):
+        steps.append(label)
+        return written(df, label)
+
+    tree, written = sumtree.tree, sumtree.written
+    monkeypatch.setattr(sumtree, "tree", spied)
+    monkeypatch.setattr(sumtree, "written", stored)
+    # A quote, a backslash and an empty text are categories like others.
+    kind = "element_at(array('it\\'s', 'a\\\\b', '', NULL), cast(1 + pmod(hash(id, 3), 4) AS int))" if kinds == 3 else "concat('k', id % 40)"
+    eighth = "pmod(hash(id), 640) / 8D"
+    tables = empty_tables(spark) | {
+        "readings": filled(spark, "readings", 500, {"recorded_at": "AT", "signal_dbm": eighth, "latency_ms": "id % 50", "dl_mbps": eighth}),
+        "network_events": filled(spark, "network_events", 500, {"event_time": "AT", "event_type": kind, "packet_loss_percent": eighth}),
+        "hardware_sensors": filled(spark, "hardware_sensors", 500, {"sensor_time": "AT", "temperature_celsius": eighth, "health_status": "'critical'"}),
+        "latency_logs": filled(spark, "latency_logs", 500, {"measured_at": "AT", "latency_ms": eighth, "sla_met": "id % 3 = 0"}),
+        "handover_records": filled(spark, "handover_records", 500, {"handover_time": "AT", "duration_ms": eighth, "success": "id % 2 = 0"}),
+        "dropped_calls": filled(spark, "dropped_calls", 500, {"dropped_at": "AT", "drop_reason": "concat('r', id % 2)"}),
+        "technician_logs": filled(spark, "technician_logs", 500, {"started_at": "AT", "duration_min": "id % 90", "travel_km": eighth}),
+        "uptime_logs": filled(spark, "uptime_logs", 50, {"log_date": "date'2024-01-01'", "outage_reason": "'A'"}),
+    }
+    started = "AT" if not whole else "cast(date_trunc('second', AT) AS timestamp_ntz)"
+    outages = filled(spark, "outages", 120, {"started_at": f"CASE WHEN id % 19 > 0 THEN {started} END", "signal_type": "'bgp'", "severity": "id"})
+    same = outages.unionByName(outages.where("severity < 9"))  # repeated rows stay
+    found = {}
+    for limit in (500, None):
+        got = correlate.correlate_outages(tables | {"outages": same}, limit)
+        found[limit] = sorted(repr(sorted(r.asDict(recursive=True).items())) for r in got.collect())
+    assert len(found[None]) == 129 and found[None] == found[500]
+    assert any("('pre_event_types', {})" not in r for r in found[None])
+    assert steps.count("tree") == (1 if kinds == 40 else 0)
+    # One table for the blocks that share two hours by operator, one each for hardware and technicians.
+    assert steps.count("instants") == (4 if kinds == 40 else 3)
+
+
+def test_shape_of_windows(spark):
+    def shape(*pairs):
+        return sumtree.shape_of(spark.createDataFrame(
+            [(START + dt.timedelta(seconds=a), START + dt.timedelta(seconds=b)) for a, b in pairs], "lower timestamp_ntz, upper timestamp_ntz"))
+
+    assert shape((0, 7200), (5, 7205)) == sumtree.Shape(120, True)
+    assert shape((0, 7200), (5.25, 7205.25)) == sumtree.Shape(120, False)
+    assert shape((0, 7200), (5, 7206)) == sumtree.Shape(None, True)
+    assert shape((0, 90), (5, 95)) == sumtree.Shape(None, True)
+    assert shape() == sumtree.Shape(None, True)
