@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,8 +85,8 @@ def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 
 
 @contextmanager
-def passing_tables(spark: SparkSession) -> Iterator[None]:
-    """Remove all tables that were written within, but for the last one, which holds the outcome.
+def passing_tables(spark: SparkSession, keep: int = 1) -> Iterator[None]:
+    """Remove all tables that were written within, but for the last one, which holds the outcome (``keep=0``: that one too).
 
     What is still to be run afterwards must read no other of them.
     """
@@ -96,22 +96,34 @@ def passing_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _PASSING.reset(token)
-    for folder in made[:-1]:
+    left = made[-keep:] if keep else []
+    for folder in made[: len(made) - len(left)]:
         remove_folder(spark, folder)
     if outer is not None:
-        outer += made[-1:]
+        outer += left
 
 
 @contextmanager
-def small_methods(spark: SparkSession) -> Iterator[None]:
-    """For jobs whose rows pass long expressions: the JVM compiles no method above 8000 bytes, so Spark is told to split those."""
-    name = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "8000")
+def set_within(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings that hold within; the session's own come back afterwards."""
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def small_methods(spark: SparkSession) -> AbstractContextManager[None]:
+    """For jobs whose rows pass long expressions: the JVM compiles no method above 8000 bytes, so Spark is told to split those."""
+    return set_within(spark, {"spark.sql.codegen.hugeMethodLimit": "8000"})
+
+
+def passing_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """For jobs that write what they shuffle: a write's shuffle files go as it ends, not when the driver happens to collect its garbage."""
+    return set_within(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 #: Rows that a task of a shuffle is to sort, about.
@@ -119,24 +131,36 @@ ROWS_OF_A_TASK = 100_000
 
 
 @contextmanager
-def shuffled_for(spark: SparkSession, rows: int) -> Iterator[None]:
+def shuffled_for(spark: SparkSession, rows: int, each: int | None = None) -> Iterator[None]:
     """For a job that sorts so many rows after a shuffle: the shuffle's partitions follow them, so a task's memory does not.
 
+    ``each`` is about how many rows a task gets, ``ROWS_OF_A_TASK`` if it is not given.
+
     Where the cores alone make tasks that small nothing changes; else partitions are not put together again, as that is done by
     bytes and down to the number of cores.  More partitions that the session asks for stay.
     """
-    wanted, most = -(-rows // ROWS_OF_A_TASK), "spark.sql.shuffle.partitions"
+    wanted, most = -(-rows // (each or ROWS_OF_A_TASK)), "spark.sql.shuffle.partitions"
     held = {most: str(max(int(spark.conf.get(most)), wanted)), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     if wanted <= spark.sparkContext.defaultParallelism:
         held = {}
-    before = {name: spark.conf.get(name) for name in held}
-    for name, value in held.items():
-        spark.conf.set(name, value)
-    try:
+    with set_within(spark, held):
         yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+
+
+#: Rows of a file of a table that is staged for sorting, and bytes of such files that a task reads.
+ROWS_OF_A_STAGED_FILE, BYTES_OF_A_SORTING_TASK = 1_000_000, 16 << 20
+
+
+def staging(spark: SparkSession) -> AbstractContextManager[None]:
+    """For writing a table that ``sorting_staged`` reads: small on disk, in files that a task can sort without spilling."""
+    return set_within(spark, {
+        "spark.sql.parquet.compression.codec": "zstd", "spark.sql.files.maxRecordsPerFile": str(ROWS_OF_A_STAGED_FILE)})
+
+
+def sorting_staged(spark: SparkSession) -> AbstractContextManager[None]:
+    """For a job that sorts rows in the tasks that read them: what they spill lies on the disk until a task ends, so tasks are small."""
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return set_within(spark, {"spark.sql.files.maxPartitionBytes": str(min(most, BYTES_OF_A_SORTING_TASK))})
 
 
 def folder_exists(spark: SparkSession, folder: str) -> bool:

@@ -8,7 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mastlight.session import shuffled_for, small_methods, written
+from mastlight.session import (
+    passing_shuffles,
+    passing_tables,
+    remove_folder,
+    shuffled_for,
+    small_methods,
+    sorting_staged,
+    staging,
+    written,
+)
 from mastlight.sources.layouts import LAYOUTS
 from mastlight.sources.normalise import fill_ids, normalise, normalise_towers
 from mastlight.sources.readings import resolve_towers, sql_time
@@ -46,14 +55,14 @@ class Staged:
 
 def _staged(rows: DataFrame, label: str) -> Staged:
     rows, seen = counted(rows, valid=F.count_if(F.col("_valid")))
-    with small_methods(rows.sparkSession):
+    with small_methods(rows.sparkSession), staging(rows.sparkSession):
         staged = written(rows, label)
     return Staged(staged, seen(), seen("valid"))
 
 
 def _finish(store: TableStore, table: str, staged: Staged, rows: DataFrame, source: str | None) -> LoadReport:
     """Add the valid rows; the report takes what the two writes have counted and reads nothing again."""
-    with shuffled_for(store.spark, staged.valid):
+    with shuffled_for(store.spark, staged.valid), passing_shuffles(store.spark), sorting_staged(store.spark):
         inserted = store.merge_new(table, rows.filter("_valid"), POSITION, source)
     return LoadReport(table, staged.parsed, staged.valid, staged.parsed - staged.valid, inserted)
 
@@ -68,17 +77,23 @@ def stage_dataset(spark: SparkSession, table: str, path: str, multiline: bool =
 
 
 def load_dataset(
-    store: TableStore, table: str, path: str, source: str = SYNTHETIC_SOURCE, multiline: bool = False
+    store: TableStore, table: str, path: str, source: str = SYNTHETIC_SOURCE, multiline: bool = False, passing: bool = False
 ) -> LoadReport:
-    """Load one of the thirteen headed datasets.  Running it again adds nothing."""
+    """Load one of the thirteen headed datasets.  Running it again adds nothing.
+
+    ``passing`` files are removed as soon as their rows are staged, so that they do not lie beside the shuffles of the merge.
+    """
     layout = LAYOUTS[table]
-    staged = stage_dataset(store.spark, table, path, multiline)
-    rows = staged.rows
-    if layout.id_prefix:
-        id_missing = F.col(layout.id_field.target).isNull()
-        if not rows.filter(id_missing & F.col("_valid")).isEmpty():
-            rows = fill_ids(with_ordinal(rows), layout)
-    return _finish(store, table, staged, rows, source)
+    with passing_tables(store.spark, keep=0):
+        staged = stage_dataset(store.spark, table, path, multiline)
+        if passing:
+            remove_folder(store.spark, path)
+        rows = staged.rows
+        if layout.id_prefix:
+            id_missing = F.col(layout.id_field.target).isNull()
+            if not rows.filter(id_missing & F.col("_valid")).isEmpty():
+                rows = fill_ids(with_ordinal(rows), layout)
+        return _finish(store, table, staged, rows, source)
 
 
 def load_towers(store: TableStore, path: str, force: bool = False) -> LoadReport | None:

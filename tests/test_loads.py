@@ -1,7 +1,12 @@
 import datetime as dt
+import glob
+import gzip
 import json
+import time
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from mastlight import session
 from mastlight.operators.latest import best_tower_per_cell
@@ -12,6 +17,9 @@ from mastlight.sources.layouts import LAYOUTS
 from mastlight.sources.normalise import normalise
 from mastlight.sources.readings import bulk_readings, check_all_valid, device_readings, resolve_towers
 from mastlight.sources.store import TableStore
+from workload import raw_files
+from workload.load_queries import load_oracles, load_queries
+from workload.views import Tables
 
 NOW = "2024-01-31 00:00:00"
 
@@ -339,3 +347,82 @@ def test_partitions_follow_the_rows_of_a_load(spark, store, tmp_path, monkeypatc
     assert loaders.load_dataset(store, "coverage_data", path).inserted == 0
     assert seen == [before, ["13", "false"]] and [spark.conf.get(n) for n in names] == before
     assert store.count("coverage_data") == 130
+
+
+@pytest.fixture
+def work(tmp_path, monkeypatch):
+    """A folder for the work tables of one test; gives what lists them."""
+    folder = tmp_path / "work" / "mastlight"
+    folder.mkdir(parents=True)
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(folder.parent))
+    return lambda: sorted(p.name.rpartition("-")[0] for p in folder.iterdir())
+
+
+def lineitems(spark, tmp_path, count=700):
+    """Lineitem rows that are out of order, many with equal keys."""
+    spark.range(count).repartition(3).orderBy(F.hash("id")).selectExpr(
+        "id AS l_orderkey", "id % 9 AS l_partkey", "id % 11 AS l_suppkey", "cast(1 + id % 7 AS int) AS l_linenumber", "id % 50 / 1D AS l_quantity",
+        "id * 1.5D AS l_extendedprice", "id % 8 / 1e2D AS l_tax", "element_at(array('A', 'N', 'R'), cast(1 + id % 3 AS int)) AS l_returnflag",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def test_a_load_leaves_no_staged_table(spark, store, tmp_path, work):
+    path = write(tmp_path, "latitude,longitude,coverage_id\n6.5,3.4,A\n6.6,3.5,\n")
+    assert loaders.load_dataset(store, "coverage_data", path).inserted == 2
+    assert work() == [] and sorted(r.measurement_id for r in store.read("coverage_data").collect()) == ["A", "COV-2"]
+
+
+def test_provenance_leaves_only_what_it_loaded(spark, tmp_path, work, monkeypatch):
+    """The raw files, staged rows and shuffle files of two datasets would lie on the disk at once."""
+    folder = lineitems(spark, tmp_path)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f and f.endswith(".data")}
+
+    def left():
+        return sum(spark._jvm.java.io.File(f).length() for f in shuffled() - before)
+
+    before, seen, absent_from = shuffled(), [], store_module.absent_from
+    monkeypatch.setattr(store_module, "absent_from", lambda *args: (seen.append(work()), absent_from(*args))[1])
+    rows = load_queries()["load_provenance"](spark, folder)
+    assert seen == [["stage-uptime_logs"], ["stage-energy_consumption", "store"]] and work() == ["store"]
+    until = time.monotonic() + 20
+    while left() > 1000 and time.monotonic() < until:  # they go in the background, but for a row per task of the span of dates
+        time.sleep(0.2)
+    assert left() <= 1000
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{folder}/lineitem.parquet/*.parquet'")
+    assert sorted(map(tuple, rows.collect())) == sorted(connection.execute(load_oracles()["load_provenance"]).fetchall())
+
+
+def test_raw_files_are_small_and_in_row_order(spark, tmp_path, work, monkeypatch):
+    """Base rows are sorted, not the text made from them; compressed files stay small enough for a task each."""
+    tables = Tables(spark, lineitems(spark, tmp_path))
+    rows = raw_files.raw_rows(tables, "energy_consumption")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat" in plan and "concat" not in plan[plan.index("Sort ["):]
+    monkeypatch.setattr(raw_files, "ROWS_OF_A_FILE", 50)
+    folder = raw_files.write_raw_csv(tables, "energy_consumption")
+    files = sorted(glob.glob(f"{folder}/part-*.csv.gz"))
+    texts = [gzip.open(f, "rt").read().splitlines() for f in files]
+    assert len(files) >= 14 and len({t[0] for t in texts}) == 1 and max(map(len, texts)) < 300
+    costs = [line.split(",")[texts[0][0].split(",").index("total_cost_ngn")] for t in texts for line in t[1:]]
+    assert [float(c) for c in costs if c != "n/a"] == [i * 1.5 for i in range(700) if (i * 8 + 1 + i % 7) % 10 != 3]
+
+
+def test_staged_files_are_small_and_packed_tightly(spark, tmp_path, monkeypatch):
+    """What the tasks that sort them spill lies on the disk until they end; the session's own settings come back afterwards."""
+    names = ("spark.sql.files.maxRecordsPerFile", "spark.sql.parquet.compression.codec", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(n) for n in names]
+    monkeypatch.setattr(session, "ROWS_OF_A_STAGED_FILE", 10)
+    path = write(tmp_path, "tower_id,date\n" + "".join(f"T{i},2024-01-02\n" for i in range(35)))
+    staged = loaders.stage_dataset(spark, "uptime_logs", path)
+    assert staged.parsed == 35 and staged.rows.count() == 35
+    assert [f.endswith(".zstd.parquet") for f in staged.rows.inputFiles()] == [True] * 4
+    with session.sorting_staged(spark):
+        assert int(spark.conf.get(names[2])) == session.BYTES_OF_A_SORTING_TASK
+        with session.set_within(spark, {names[2]: "1000"}), session.sorting_staged(spark):
+            assert spark.conf.get(names[2]) == "1000"
+    assert [spark.conf.get(n) for n in names] == before
